@@ -24,8 +24,10 @@ def duck(sf_dir: str):
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
-            return "NaN"
+            return None
         return v
+    if v is None or (v.__class__.__name__ in ("NAType", "NaTType")):
+        return None
     if hasattr(v, "tolist"):
         return tuple(v.tolist())
     return v

@@ -8,10 +8,9 @@ Two modes mirror the original pipeline:
   to 4 digits, interactions to 3, ``mental_load`` and ``isolation_index``
   built from clipped norms.
 
-The min-max score needs the table-wide min/max of the raw score. It is taken
-as one scalar subquery (one partial+final aggregate, result reused as a
-literal) - never an unpartitioned window, which would pull every row into one
-task.
+The min-max score needs the table-wide min/max of the raw score. It is one
+global aggregate (partial on every executor, a single row at the end) - never
+an unpartitioned window, which would pull every row into one task.
 """
 
 from __future__ import annotations
@@ -99,17 +98,27 @@ def minmax_column(raw: Column, mn: Column, mx: Column) -> Column:
     return F.when(mx > mn, round_half_even(scaled, 2)).otherwise(F.lit(0.0))
 
 
-def minmax_score(df: DataFrame, raw: str = "raw_score", out: str = "burnout_score", frozen: tuple[float, float] | None = None) -> DataFrame:
+def minmax_score(
+    df: DataFrame, raw: str = "raw_score", out: str = "burnout_score", frozen: tuple[float, float] | None = None, lazy: bool = False
+) -> DataFrame:
     """0-100 min-max score, 2 digits; 0 everywhere when max == min.
 
-    ``frozen=(mn, mx)`` scores new rows against a stored range (streams and
-    answer sheets), where the table-wide range is not defined.
+    The table-wide range is one global aggregate (partial on every executor,
+    one row at the end). By default that row is read once and folded in as
+    literals, which keeps every downstream plan flat; ``lazy=True`` keeps it
+    as a scalar subquery instead. ``frozen=(mn, mx)`` scores new rows against
+    a stored range (streams, answer sheets).
     """
-    if frozen is not None:
-        mn, mx = F.lit(float(frozen[0])), F.lit(float(frozen[1]))
-    else:
+    if frozen is None and lazy:
         rng = score_range(df, raw)
         mn, mx = rng["mn"], rng["mx"]
+    else:
+        if frozen is None:
+            row = df.agg(F.min(raw).alias("mn"), F.max(raw).alias("mx")).first()
+            frozen = (row["mn"], row["mx"])
+        if frozen[0] is None:  # empty table: nothing to scale
+            return df.withColumn(out, F.lit(None).cast("double"))
+        mn, mx = F.lit(float(frozen[0])), F.lit(float(frozen[1]))
     return df.withColumn(out, minmax_column(F.col(raw), mn, mx))
 
 
