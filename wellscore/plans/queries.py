@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wellscore.plans import q_clean, q_features, q_report  # noqa: F401
+from wellscore.plans import q_clean, q_drivers, q_features, q_report, q_survey  # noqa: F401
 from wellscore.plans.registry import REGISTRY
 
 
