@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wellscore.plans import q_clean, q_drivers, q_features, q_models, q_report, q_survey  # noqa: F401
+from wellscore.plans import q_clean, q_drivers, q_features, q_models, q_report, q_stream, q_survey  # noqa: F401
 from wellscore.plans.registry import REGISTRY
 
 

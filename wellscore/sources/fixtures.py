@@ -24,7 +24,7 @@ def _div(dialect: str) -> str:
     return "div" if dialect == "spark" else "//"
 
 
-def respondent_exprs(dialect: str, key: str = "o_orderkey") -> list[str]:
+def respondent_exprs(dialect: str, key: str = "o_orderkey", cohort: str | None = "o_orderpriority") -> list[str]:
     """Select-list of the clean `respondents` table over `orders`."""
     d = _div(dialect)
     lat = f"((({key} * 37) % 101) * 10)"
@@ -36,7 +36,8 @@ def respondent_exprs(dialect: str, key: str = "o_orderkey") -> list[str]:
         lvl = f"(1000 - {lat})" if feat in INVERTED else lat
         exprs.append(f"CAST({lo} + (((6 * {lvl} + 4 * {noise}) * {hi - lo + 1}) {d} 10001) AS INT) AS {feat}")
     exprs.append(f"CAST(((({key} * 37) % 101) * 3) {d} 101 AS INT) AS stress_level")
-    exprs.append("o_orderpriority AS cohort")
+    if cohort:
+        exprs.append(f"{cohort} AS cohort")
     return exprs
 
 
