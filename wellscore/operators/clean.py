@@ -37,15 +37,21 @@ def other_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     return [c for c, t in df.dtypes if not (t in NUMERIC or t.startswith("decimal")) and c not in exclude]
 
 
-def missing_stats(df: DataFrame, approx: bool = False) -> dict:
-    """One aggregate: null count per column, median of numeric, mode of others."""
+def missing_stats(df: DataFrame, approx: bool = False, key_cols: tuple[str, ...] = ()) -> dict:
+    """One aggregate: null count per column, median of numeric, mode of others.
+
+    Key columns get a null count only (an exact median of a unique key would
+    buffer every distinct value).
+    """
     aggs = []
     num = set(numeric_columns(df))
     for c in df.columns:
         miss = is_missing(df, c)
         aggs.append(F.sum(miss.cast("long")).alias(f"n__{c}"))
         clean = F.when(~miss, F.col(c))
-        if c in num:
+        if c in key_cols:
+            aggs.append(F.lit(None).alias(f"fill__{c}"))
+        elif c in num:
             med = F.percentile_approx(clean, 0.5, 10000) if approx else F.median(clean)
             aggs.append(med.cast("double").alias(f"fill__{c}"))
         else:
@@ -54,13 +60,15 @@ def missing_stats(df: DataFrame, approx: bool = False) -> dict:
     return {c: (row[f"n__{c}"] or 0, row[f"fill__{c}"]) for c in df.columns}
 
 
-def impute(df: DataFrame, numeric: bool = True, other: bool = True, stats: dict | None = None, approx: bool = False) -> DataFrame:
+def impute(
+    df: DataFrame, numeric: bool = True, other: bool = True, stats: dict | None = None, approx: bool = False, key_cols: tuple[str, ...] = ()
+) -> DataFrame:
     """Median for numeric columns with missing values, mode for the others.
 
     A numeric column that gets imputed becomes double (the median may be
     fractional); an all-missing column stays missing.
     """
-    stats = stats or missing_stats(df, approx)
+    stats = stats or missing_stats(df, approx, key_cols)
     num = set(numeric_columns(df))
     fixes = {}
     for c in df.columns:
@@ -154,9 +162,21 @@ def one_hot(df: DataFrame, cols: list[str] | None = None, drop_first: bool = Tru
     return df.select(*keep, *dummies)
 
 
-def clean(df: DataFrame, method: str = "iqr", threshold: float = 1.5, key_cols: tuple[str, ...] = (), approx: bool = False) -> DataFrame:
-    """names -> impute -> dedupe -> (iqr clip) -> one-hot, as one lazy plan."""
-    out = dedupe(impute(standardize_names(df), approx=approx))
+def clean(
+    df: DataFrame, method: str = "iqr", threshold: float = 1.5, key_cols: tuple[str, ...] = (), approx: bool = False, materialize=None
+) -> DataFrame:
+    """names -> impute -> dedupe -> (iqr clip) -> one-hot.
+
+    Categories come from the raw columns (imputation, dedupe and clipping add
+    none and remove none). ``materialize(df) -> df`` may write the deduped
+    table once (e.g. to the checkpoint folder) so the quartile pass and the
+    final pass do not both repeat the dedupe shuffle.
+    """
+    named = standardize_names(df)
+    cats = categories(named, other_columns(named, exclude=key_cols))
+    out = dedupe(impute(named, approx=approx, key_cols=key_cols))
+    if materialize is not None:
+        out = materialize(out)
     if method == "iqr":
         out = iqr_clip(out, numeric_columns(out, exclude=key_cols), threshold, approx)
-    return one_hot(out, other_columns(out, exclude=key_cols))
+    return one_hot(out, list(cats), cats=cats)

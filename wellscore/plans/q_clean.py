@@ -10,6 +10,7 @@ from wellscore.plans import sqlspec as S
 from wellscore.plans.q_report import _corr_sql
 from wellscore.plans.registry import query
 from wellscore.plans.stored import stored
+from wellscore.session import scratch_path
 from wellscore.sources import fixtures as fx
 from wellscore.spec import DEFAULT_SPEC, IQR_THRESHOLD
 
@@ -25,7 +26,7 @@ def messy_name(c: str) -> str:
 
 
 def _imputed(spark, sf):
-    return cl.impute(fx.respondents_dirty(spark, sf))
+    return cl.impute(fx.respondents_dirty(spark, sf), key_cols=KEY)
 
 
 def _deduped(spark, sf):
@@ -83,12 +84,12 @@ def q_standardize_names(spark, sf):
     lambda: f"WITH {ctes.dirty()} SELECT * REPLACE (coalesce(CAST(anxiety_level AS DOUBLE), {MEDIAN}) AS anxiety_level) FROM dirty",
 )
 def q_impute_median(spark, sf):
-    return cl.impute(fx.respondents_dirty(spark, sf), numeric=True, other=False)
+    return cl.impute(fx.respondents_dirty(spark, sf), numeric=True, other=False, key_cols=KEY)
 
 
 @query("impute_mode", "P3", lambda: f"WITH {ctes.dirty()} SELECT * REPLACE (coalesce(cohort, {MODE}) AS cohort) FROM dirty")
 def q_impute_mode(spark, sf):
-    return cl.impute(fx.respondents_dirty(spark, sf), numeric=False, other=True)
+    return cl.impute(fx.respondents_dirty(spark, sf), numeric=False, other=True, key_cols=KEY)
 
 
 @query("dedupe_rows", "P4", lambda: f"{_chain('full')} SELECT * FROM deduped")
@@ -139,9 +140,18 @@ def q_one_hot(spark, sf):
     return cl.one_hot(_deduped(spark, sf), ["cohort"])
 
 
+def _materialize(spark, sf, name):
+    def write(df):
+        path = scratch_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return write
+
+
 @query("clean_pipeline", "P9", lambda: f"{_chain('full')} SELECT * FROM cleaned")
 def q_clean_pipeline(spark, sf):
-    return cl.clean(fx.respondents_dirty(spark, sf), "iqr", IQR_THRESHOLD, key_cols=KEY)
+    return cl.clean(fx.respondents_dirty(spark, sf), "iqr", IQR_THRESHOLD, key_cols=KEY, materialize=_materialize(spark, sf, "deduped"))
 
 
 def _clean_corr_sql() -> str:
@@ -152,7 +162,7 @@ def _clean_corr_sql() -> str:
 def q_correlation_clean(spark, sf):
     """The reference flow: clean -> engineer -> correlation (has a constant column)."""
     def build():
-        cleaned = cl.clean(fx.respondents_dirty(spark, sf), "iqr", IQR_THRESHOLD, key_cols=KEY)
+        cleaned = cl.clean(fx.respondents_dirty(spark, sf), "iqr", IQR_THRESHOLD, key_cols=KEY, materialize=_materialize(spark, sf, "deduped"))
         return feat.engineer(cleaned, SPEC)
 
     return rep.correlation_pairs(stored(spark, ("engineered_clean", sf), build))

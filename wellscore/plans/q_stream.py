@@ -20,7 +20,7 @@ DUCK_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
 def _events(spark, sf):
-    return spark.read.parquet(f"{sf}/events.parquet")
+    return fx.spread(spark.read.parquet(f"{sf}/events.parquet"))
 
 
 def _frozen(spark, sf):
