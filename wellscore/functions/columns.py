@@ -68,3 +68,13 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     """Turn NaN into null on float/double columns only."""
     fixes = {c: F.when(F.isnan(F.col(c)), F.lit(None)).otherwise(F.col(c)) for c, t in df.dtypes if t in ("double", "float")}
     return df.withColumns(fixes) if fixes else df
+
+
+def grid_mean(c: str | Column, scale: float) -> Column:
+    """Exact mean of values on a 1/scale grid (2-digit scores: scale=100).
+
+    The sum is taken over integers, so it does not depend on summation order
+    (partitioning); one final division gives the same double everywhere.
+    """
+    x = col(c)
+    return F.sum(F.rint(x * F.lit(float(scale))).cast("bigint")).cast("double") / (F.count(x).cast("double") * F.lit(float(scale)))

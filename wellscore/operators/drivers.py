@@ -12,7 +12,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellscore.functions.columns import clip, round_half_even
+from wellscore.functions.columns import clip, grid_mean, round_half_even
 from wellscore.spec import DEFAULT_DRIVER_MAX, DEFAULT_DRIVER_MIN, DEFAULT_SPEC, FEATURE_LABELS, Spec
 
 
@@ -153,5 +153,5 @@ def cohort_drivers(df: DataFrame, cohort: str = "cohort", n: int = 3, spec: Spec
     top = top_drivers(contributions(df, spec=spec), n)
     ex = df.select(F.col(cohort), F.explode(top).alias("d"))
     return ex.groupBy(cohort, F.col("d.name").alias("feature")).agg(
-        F.count(F.lit(1)).alias("n_top"), F.round(F.avg("d.stress_contribution"), 6).alias("mean_contribution")
+        F.count(F.lit(1)).alias("n_top"), grid_mean("d.stress_contribution", 1000).alias("mean_contribution")
     )

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellscore.functions.columns import clip, inv, norm, round_half_even, weighted_sum
+from wellscore.functions.columns import clip, grid_mean, inv, norm, round_half_even, weighted_sum
 from wellscore.spec import DEFAULT_SPEC, Spec
 
 
@@ -137,9 +137,9 @@ def engineer(df: DataFrame, spec: Spec = DEFAULT_SPEC, keep_raw: bool = False) -
 
 def score_by_label(df: DataFrame, label: str = "stress_level", labels=(0, 1, 2), score: str = "burnout_score") -> DataFrame:
     """Mean score per label; a label with no rows gets null (right join to the list)."""
-    means = df.groupBy(label).agg(F.avg(score).alias("mean_score"))
+    means = df.groupBy(label).agg(grid_mean(score, 100).alias("mean_score"))
     wanted = df.sparkSession.createDataFrame([(int(v),) for v in labels], f"{label} int")
-    return F.broadcast(wanted).join(means, label, "left").select(label, F.round(F.col("mean_score"), 6).alias("mean_score"))
+    return F.broadcast(wanted).join(means, label, "left").select(label, "mean_score")
 
 
 # --- scoring -----------------------------------------------------------------

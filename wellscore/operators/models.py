@@ -16,7 +16,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellscore.functions.columns import round_half_even
+from wellscore.functions.columns import grid_mean, round_half_even
 from wellscore.spec import MODEL_FEATURES, TARGET_COL
 
 
@@ -94,13 +94,23 @@ def make_pipeline(features: list[str], estimator) -> Pipeline:
     )
 
 
-def regression_metrics(df: DataFrame, label: str = TARGET_COL, pred: str = "prediction", digits: int = 4) -> DataFrame:
-    """MAE, RMSE, R^2 in one aggregate (R^2 null for a constant label)."""
+def regression_metrics(df: DataFrame, label: str = TARGET_COL, pred: str = "prediction", digits: int = 4, grid: float | None = None) -> DataFrame:
+    """MAE, RMSE, R^2 in one aggregate (R^2 null for a constant label).
+
+    ``grid=100`` when label and prediction are 2-digit values: the error sums
+    are then exact integer sums, independent of partitioning.
+    """
     e = F.col(pred) - F.col(label)
+    if grid:
+        sq = F.rint(e * e * F.lit(float(grid * grid))).cast("bigint")
+        mae, mse = grid_mean(F.abs(e), grid), grid_mean(e * e, grid * grid)
+        sse = F.sum(sq).cast("double") / F.lit(float(grid * grid))
+    else:
+        mae, mse, sse = F.avg(F.abs(e)), F.avg(e * e), F.sum(e * e)
     agg = df.agg(
-        F.avg(F.abs(e)).alias("mae"),
-        F.sqrt(F.avg(e * e)).alias("rmse"),
-        F.sum(e * e).alias("sse"),
+        mae.alias("mae"),
+        F.sqrt(mse).alias("rmse"),
+        sse.alias("sse"),
         (F.var_pop(F.col(label)) * F.count(F.col(label))).alias("sst"),
     )
     return agg.select(
@@ -110,10 +120,10 @@ def regression_metrics(df: DataFrame, label: str = TARGET_COL, pred: str = "pred
     )
 
 
-def residual_stats(df: DataFrame, label: str = TARGET_COL, pred: str = "prediction", digits: int = 4) -> DataFrame:
+def residual_stats(df: DataFrame, label: str = TARGET_COL, pred: str = "prediction", digits: int = 4, grid: float | None = None) -> DataFrame:
     r = F.col(label) - F.col(pred)
     return df.agg(
-        round_half_even(F.avg(r), digits).alias("mean"),
+        round_half_even(grid_mean(r, grid) if grid else F.avg(r), digits).alias("mean"),
         round_half_even(F.stddev_pop(r), digits).alias("std"),
         round_half_even(F.max(F.abs(r)), digits).alias("max_abs"),
     )

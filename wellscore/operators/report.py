@@ -13,7 +13,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellscore.functions.columns import round_half_even
+from wellscore.functions.columns import grid_mean, round_half_even
 
 # Columns of the correlation report, in display order (fixed values).
 CORRELATION_COLUMNS = [
@@ -71,12 +71,12 @@ def histogram(df: DataFrame, c: str = "burnout_score", bins: int = 30) -> DataFr
 
 
 def center(df: DataFrame, c: str = "burnout_score") -> DataFrame:
-    """Mean (rounded to 6) and exact median of a column.
+    """Exact mean (2-digit grid, order-independent) and exact median of a column.
 
     A score rounded to 2 digits in [0, 100] has at most 10,001 distinct
     values, so the exact median's value->count buffer stays small at any size.
     """
-    return df.agg(F.round(F.avg(c), 6).alias("mean_score"), F.median(c).alias("median_score"))
+    return df.agg(grid_mean(c, 100).alias("mean_score"), F.median(c).alias("median_score"))
 
 
 def risk_distribution(df: DataFrame, c: str = "burnout_score", low: float = 33.0, moderate: float = 66.0) -> DataFrame:
@@ -217,6 +217,6 @@ def box_stats(df: DataFrame, group: str, c: str = "burnout_score", whis: float =
 def mean_by_label_ordered(df: DataFrame, label_col: str = "stress_label", c: str = "burnout_score", order: list[str] | None = None) -> DataFrame:
     """Mean per label in a fixed order; a missing label gives null."""
     order = order or LABEL_ORDER
-    means = df.groupBy(label_col).agg(F.avg(c).alias("mean_score"))
+    means = df.groupBy(label_col).agg(grid_mean(c, 100).alias("mean_score"))
     wanted = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(order)], f"label_order int, {label_col} string")
-    return F.broadcast(wanted).join(means, label_col, "left").select("label_order", label_col, F.round("mean_score", 6).alias("mean_score"))
+    return F.broadcast(wanted).join(means, label_col, "left").select("label_order", label_col, "mean_score")

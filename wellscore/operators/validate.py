@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellscore.functions.columns import is_missing, round_half_even
+from wellscore.functions.columns import grid_mean, is_missing, round_half_even
 
 
 def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
@@ -69,13 +69,13 @@ def class_balance(df: DataFrame, label: str = "stress_level") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def describe(df: DataFrame, c: str, digits: int = 2) -> DataFrame:
+def describe(df: DataFrame, c: str, digits: int = 2, grid: float | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max - rounded like pandas."""
     x = F.col(c)
     q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     stats = df.agg(
         F.count(x).cast("double").alias("count"),
-        F.avg(x).alias("mean"),
+        (grid_mean(x, grid) if grid else F.avg(x)).alias("mean"),
         F.stddev_samp(x).alias("std"),
         F.min(x).cast("double").alias("min"),
         q.alias("q"),
@@ -121,12 +121,12 @@ def monotone_check(df: DataFrame, label: str = "stress_level", score: str = "bur
 
     The window runs over the handful of rows left after the aggregation.
     """
-    means = df.groupBy(label).agg(F.avg(score).alias("mean_score"))
+    means = df.groupBy(label).agg(grid_mean(score, 100).alias("mean_score"))
     w = Window.orderBy(label)
     prev = F.lag("mean_score").over(w)
     return means.select(
         label,
-        F.round("mean_score", 6).alias("mean_score"),
-        F.round(prev, 6).alias("prev_mean"),
+        F.col("mean_score"),
+        prev.alias("prev_mean"),
         F.coalesce(F.col("mean_score") > prev, F.lit(True)).alias("rises"),
     )

@@ -163,7 +163,7 @@ def q_followup_text(spark, sf):
     "cohort_drivers",
     "D10",
     lambda: f"""{_top_cte()}
-SELECT b.cohort, t.name AS feature, count(*) AS n_top, round(avg(t.stress_contribution), 6) AS mean_contribution
+SELECT b.cohort, t.name AS feature, count(*) AS n_top, {S.grid_mean('t.stress_contribution', 1000)} AS mean_contribution
 FROM top t JOIN banded b USING (respondent_id) GROUP BY b.cohort, t.name""",
 )
 def q_cohort_drivers(spark, sf):

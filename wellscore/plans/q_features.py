@@ -81,9 +81,9 @@ def q_engineered(spark, sf):
     "score_by_label",
     "F16",
     lambda: f"""{ctes.with_engineered()}
-SELECT l.stress_level, round(m.mean_score, 6) AS mean_score
+SELECT l.stress_level, m.mean_score
 FROM (VALUES (0), (1), (2)) l(stress_level)
-LEFT JOIN (SELECT stress_level, avg(burnout_score) AS mean_score FROM engineered GROUP BY stress_level) m USING (stress_level)""",
+LEFT JOIN (SELECT stress_level, {S.grid_mean('burnout_score', 100)} AS mean_score FROM engineered GROUP BY stress_level) m USING (stress_level)""",
 )
 def q_score_by_label(spark, sf):
     return feat.score_by_label(feat.engineer(fx.respondents(spark, sf), SPEC))

@@ -130,17 +130,18 @@ def _formula_pred(spark, sf):
 
 
 @query("regression_metrics", "M9", lambda: f"""{_formula_pred_cte()}
-SELECT {S.rnd('avg(abs(prediction - burnout_score))', 4)} AS mae, {S.rnd('sqrt(avg((prediction - burnout_score) * (prediction - burnout_score)))', 4)} AS rmse,
-       {S.rnd(f'{S.D(1.0)} - sum((prediction - burnout_score) * (prediction - burnout_score)) / (var_pop(burnout_score) * count(burnout_score))', 4)} AS r2 FROM pred""")
+SELECT {S.rnd(S.grid_mean('abs(prediction - burnout_score)', 100), 4)} AS mae,
+       {S.rnd(f"sqrt({S.grid_mean('(prediction - burnout_score) * (prediction - burnout_score)', 10000)})", 4)} AS rmse,
+       {S.rnd(f'{S.D(1.0)} - (CAST(sum(CAST(round_even((prediction - burnout_score) * (prediction - burnout_score) * {S.D(10000)}, 0) AS BIGINT)) AS DOUBLE) / {S.D(10000)}) / (var_pop(burnout_score) * count(burnout_score))', 4)} AS r2 FROM pred""")
 def q_regression_metrics(spark, sf):
-    return md.regression_metrics(_formula_pred(spark, sf))
+    return md.regression_metrics(_formula_pred(spark, sf), grid=100)
 
 
 @query("residual_stats", "M13", lambda: f"""{_formula_pred_cte()}
-SELECT {S.rnd('avg(burnout_score - prediction)', 4)} AS mean, {S.rnd('stddev_pop(burnout_score - prediction)', 4)} AS std,
+SELECT {S.rnd(S.grid_mean('burnout_score - prediction', 100), 4)} AS mean, {S.rnd('stddev_pop(burnout_score - prediction)', 4)} AS std,
        {S.rnd('max(abs(burnout_score - prediction))', 4)} AS max_abs FROM pred""")
 def q_residual_stats(spark, sf):
-    return md.residual_stats(_formula_pred(spark, sf))
+    return md.residual_stats(_formula_pred(spark, sf), grid=100)
 
 
 @query("train_all", "M10")

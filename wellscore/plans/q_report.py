@@ -87,7 +87,7 @@ def _describe_sql() -> str:
     x = "burnout_score"
     cols = {
         "count": f"CAST(count({x}) AS DOUBLE)",
-        "mean": f"avg({x})",
+        "mean": S.grid_mean(x, 100),
         "std": f"stddev_samp({x})",
         "min": f"min({x})",
         "p25": f"quantile_cont({x}, 0.25)",
@@ -100,7 +100,7 @@ def _describe_sql() -> str:
 
 @query("score_describe", "V6", _describe_sql)
 def q_score_describe(spark, sf):
-    return val.describe(_engineered(spark, sf), "burnout_score")
+    return val.describe(_engineered(spark, sf), "burnout_score", grid=100)
 
 
 def _range_sql() -> str:
@@ -121,8 +121,8 @@ def q_index_range_check(spark, sf):
 @query(
     "monotone_check",
     "V8",
-    lambda: f"""{ctes.with_engineered()}, m AS (SELECT stress_level, avg(burnout_score) AS mean_score FROM engineered GROUP BY stress_level)
-SELECT stress_level, round(mean_score, 6) AS mean_score, round(lag(mean_score) OVER (ORDER BY stress_level), 6) AS prev_mean,
+    lambda: f"""{ctes.with_engineered()}, m AS (SELECT stress_level, {S.grid_mean('burnout_score', 100)} AS mean_score FROM engineered GROUP BY stress_level)
+SELECT stress_level, mean_score, lag(mean_score) OVER (ORDER BY stress_level) AS prev_mean,
        coalesce(mean_score > lag(mean_score) OVER (ORDER BY stress_level), true) AS rises FROM m""",
 )
 def q_monotone_check(spark, sf):
@@ -162,7 +162,7 @@ def q_score_histogram(spark, sf):
 @query(
     "score_center",
     "R2",
-    lambda: f"{ctes.with_engineered()} SELECT round(avg(burnout_score), 6) AS mean_score, quantile_cont(burnout_score, 0.5) AS median_score FROM engineered",
+    lambda: f"{ctes.with_engineered()} SELECT {S.grid_mean('burnout_score', 100)} AS mean_score, quantile_cont(burnout_score, 0.5) AS median_score FROM engineered",
 )
 def q_score_center(spark, sf):
     return rep.center(_engineered(spark, sf))
@@ -238,8 +238,8 @@ def q_box_stats(spark, sf):
     "mean_by_label_ordered",
     "R8",
     lambda: f"""{ctes.with_engineered()},
-m AS (SELECT {LABEL_CASE} AS stress_label, avg(burnout_score) AS mean_score FROM engineered GROUP BY 1)
-SELECT CAST(o.label_order AS INTEGER) AS label_order, o.stress_label, round(m.mean_score, 6) AS mean_score
+m AS (SELECT {LABEL_CASE} AS stress_label, {S.grid_mean('burnout_score', 100)} AS mean_score FROM engineered GROUP BY 1)
+SELECT CAST(o.label_order AS INTEGER) AS label_order, o.stress_label, m.mean_score
 FROM (VALUES (0, 'Low (0)'), (1, 'Moderate (1)'), (2, 'High (2)')) o(label_order, stress_label) LEFT JOIN m USING (stress_label)""",
 )
 def q_mean_by_label_ordered(spark, sf):

@@ -88,3 +88,7 @@ def select_list(exprs: dict[str, str]) -> str:
 
 def band_expr(c: str, low: float = 33.0, mod: float = 66.0) -> str:
     return f"(CASE WHEN {c} <= {D(low)} THEN 'Low' WHEN {c} <= {D(mod)} THEN 'Moderate' ELSE 'High' END)"
+
+
+def grid_mean(c: str, scale: float) -> str:
+    return f"(CAST(sum(CAST(round_even(({c}) * {D(scale)}, 0) AS BIGINT)) AS DOUBLE) / (CAST(count({c}) AS DOUBLE) * {D(scale)}))"
