@@ -183,7 +183,7 @@ def q_scan_csv_roundtrip(spark, sf):
     return io.read_csv(spark, path, io.survey_schema(SPEC))
 
 
-@query("model_roundtrip", "S3 S4")
+@query("model_roundtrip", "S3 S4 Q2 Q3")
 def q_model_roundtrip(spark, sf):
     e = _engineered(spark, sf)
     train, test = md.split(e)
@@ -227,7 +227,7 @@ scored AS (SELECT respondent_id, {clipped} AS burnout_score FROM rawt, rng)
 SELECT respondent_id, burnout_score, {S.band_expr('burnout_score')} AS risk_level FROM scored"""
 
 
-@query("json_score_in_out", "S7 Q2 Q5", _json_sql)
+@query("json_score_in_out", "S7 Q5", _json_sql)
 def q_json_score_in_out(spark, sf):
     r = fx.respondents(spark, sf)
     row = feat.frozen_range(r, SPEC).first()
