@@ -139,7 +139,8 @@ def score_by_label(df: DataFrame, label: str = "stress_level", labels=(0, 1, 2),
     """Mean score per label; a label with no rows gets null (right join to the list)."""
     means = df.groupBy(label).agg(grid_mean(score, 100).alias("mean_score"))
     wanted = df.sparkSession.createDataFrame([(int(v),) for v in labels], f"{label} int")
-    return F.broadcast(wanted).join(means, label, "left").select(label, "mean_score")
+    # both sides hold one row per label after aggregation; AQE picks the join
+    return wanted.join(means, label, "left").select(label, "mean_score")
 
 
 # --- scoring -----------------------------------------------------------------

@@ -219,4 +219,5 @@ def mean_by_label_ordered(df: DataFrame, label_col: str = "stress_label", c: str
     order = order or LABEL_ORDER
     means = df.groupBy(label_col).agg(grid_mean(c, 100).alias("mean_score"))
     wanted = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(order)], f"label_order int, {label_col} string")
-    return F.broadcast(wanted).join(means, label_col, "left").select("label_order", label_col, "mean_score")
+    # both sides hold one row per label after aggregation; AQE picks the join
+    return wanted.join(means, label_col, "left").select("label_order", label_col, "mean_score")

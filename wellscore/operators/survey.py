@@ -47,7 +47,8 @@ def option_bank(spark: SparkSession, bank: str | None = None, spec: Spec = DEFAU
 def option_usage(answers: DataFrame, bank: DataFrame) -> DataFrame:
     """How many answers picked each option of the bank (A1 over the data)."""
     counts = answers.withColumn("opt_idx", F.col("opt_idx").cast("int")).groupBy("feature", "opt_idx").agg(F.count(F.lit(1)).alias("n_answers"))
-    return F.broadcast(bank).join(counts, ["feature", "opt_idx"], "left").withColumn("n_answers", F.coalesce("n_answers", F.lit(0)).cast("bigint"))
+    # counts are pre-aggregated per (feature, option); the bank is the preserved side
+    return bank.join(counts, ["feature", "opt_idx"], "left").withColumn("n_answers", F.coalesce("n_answers", F.lit(0)).cast("bigint"))
 
 
 def answers_to_values(answers: DataFrame, bank: DataFrame) -> DataFrame:
@@ -75,11 +76,14 @@ def rejected_answers(answers: DataFrame, bank: DataFrame) -> DataFrame:
 def answers_wide(values: DataFrame, features: list[str], id_col: str = "respondent_id", order_col: str = "answer_seq") -> DataFrame:
     """One row per respondent, one column per feature; the last answer wins.
 
-    ``pivot`` over the fixed feature list (no extra job to find the values);
-    ``max_by`` is aggregated partially map-side, so a respondent with very many
-    rows is reduced before the shuffle.
+    A pivot over the fixed feature list written as one filtered ``max_by`` per
+    feature: a single shuffle (``pivot`` would plan two), and ``max_by`` is
+    aggregated partially map-side, so a respondent with very many rows is
+    reduced before the shuffle.
     """
-    return values.groupBy(id_col).pivot("feature", features).agg(F.max_by("value", order_col))
+    return values.groupBy(id_col).agg(
+        *[F.max_by(F.col("value"), F.when(F.col("feature") == f, F.col(order_col))).alias(f) for f in features]
+    )
 
 
 def midpoints(bank: str = "A") -> dict[str, int]:
@@ -110,7 +114,7 @@ def bank_by_section_ordered(bank: DataFrame, order: list[str] | None = None) ->
     sections = spark.createDataFrame([(i, s) for i, s in enumerate(order)], "section_order int, section string")
     q = bank.select("q_pos", "feature", "section").distinct()
     grouped = q.groupBy("section").agg(F.array_sort(F.collect_list(F.struct(F.col("q_pos").alias("index"), "feature"))).alias("questions"))
-    return F.broadcast(sections).join(grouped, "section", "left").select(
+    return sections.join(grouped, "section", "left").select(
         "section_order", "section", F.coalesce("questions", F.array().cast("array<struct<index:int,feature:string>>")).alias("questions")
     )
 

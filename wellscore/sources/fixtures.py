@@ -125,26 +125,24 @@ def respondents_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long answers table (respondent_id, feature, opt_idx, answer_seq).
 
-    The 20 questions are expanded per respondent with a generator (``inline``)
-    rather than a join, so each input row produces its answers in place.
+    One scan: every respondent row expands through a generator (``inline``) to
+    its 20 answer candidates plus the unknown-item and repeated-answer
+    candidates, and a filter keeps the ones that exist. No join, no union of
+    separate scans.
     """
-    rid = F.col("o_orderkey")
-    params = F.array(
-        *[
-            F.struct(F.lit(q).alias("q"), F.lit(f).alias("feature"), F.lit(a).alias("a"), F.lit(p).alias("p"), F.lit(n).alias("n"))
-            for q, f, a, p, n in question_params()
-        ]
-    )
-    base = orders(spark, sf_dir).select(rid.alias("respondent_id"), F.inline(params))
-    rid = F.col("respondent_id")
-    q = F.col("q")
-    main = base.where(rid % 43 != q).select(
-        rid,
-        F.col("feature"),
-        F.when(rid % 41 == q, F.lit(9)).otherwise(1 + ((rid * F.col("a") + q) % F.col("p")) % F.col("n")).cast("int").alias("opt_idx"),
-        q.cast("int").alias("answer_seq"),
+    first = INDICATORS[0][0]
+    cand = [
+        F.struct(F.lit(q).alias("q"), F.lit(f).alias("feature"), F.lit(a).alias("a"), F.lit(p).alias("p"), F.lit(n).alias("n"), F.lit(0).alias("kind"))
+        for q, f, a, p, n in question_params()
+    ]
+    cand.append(F.struct(F.lit(20).alias("q"), F.lit("unknown_item").alias("feature"), F.lit(1).alias("a"), F.lit(1).alias("p"), F.lit(1).alias("n"), F.lit(1).alias("kind")))
+    cand.append(F.struct(F.lit(100).alias("q"), F.lit(first).alias("feature"), F.lit(1).alias("a"), F.lit(1).alias("p"), F.lit(1).alias("n"), F.lit(2).alias("kind")))
+    base = orders(spark, sf_dir).select(F.col("o_orderkey").alias("respondent_id"), F.inline(F.array(*cand)))
+    rid, q, kind = F.col("respondent_id"), F.col("q"), F.col("kind")
+    keep = ((kind == 0) & (rid % 43 != q)) | ((kind == 1) & (rid % 29 == 0)) | ((kind == 2) & (rid % 31 == 0))
+    opt = (
+        F.when(kind != 0, F.lit(1))
+        .when(rid % 41 == q, F.lit(9))
+        .otherwise(1 + ((rid * F.col("a") + q) % F.col("p")) % F.col("n"))
     )
-    ids = orders(spark, sf_dir).select(F.col("o_orderkey").alias("respondent_id"))
-    unknown = ids.where(rid % 29 == 0).select(rid, F.lit("unknown_item").alias("feature"), F.lit(1).alias("opt_idx"), F.lit(20).alias("answer_seq"))
-    repeat = ids.where(rid % 31 == 0).select(rid, F.lit(INDICATORS[0][0]).alias("feature"), F.lit(1).alias("opt_idx"), F.lit(100).alias("answer_seq"))
-    return main.unionByName(unknown).unionByName(repeat)
+    return base.where(keep).select(rid, F.col("feature"), opt.cast("int").alias("opt_idx"), q.cast("int").alias("answer_seq"))
