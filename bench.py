@@ -3,6 +3,10 @@
 Runs on local[$BENCH_CPUS] over $BENCH_SF_DIR (default /root/testdata/sf0.1)
 and prints ONE JSON line. Each query is executed in full through the ``noop``
 sink (every row computed, nothing collected to the driver).
+
+The JVM is warmed up first (JIT, class loading) by running two queries on the
+smallest data set, untimed; nothing computed there is reused by the timed runs
+(materialised tables are keyed by data folder).
 """
 
 from __future__ import annotations
@@ -42,8 +46,11 @@ def main() -> None:
     from wellscore.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="wellscore-bench")
-    spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
     qs = queries()
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
+        for name in ("engineered", "answers_wide"):
+            qs[name](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
         t0 = time.perf_counter()
