@@ -217,3 +217,48 @@ def answers_end_to_end(answers: DataFrame, bank: DataFrame, frozen: tuple[float,
     filled = fill_midpoint(wide, spec.features, mid_bank)
     scored = feat.formula_score(filled, spec, frozen=frozen)
     return scored.select("respondent_id", "burnout_score", "risk_level")
+
+
+# --- answered questions by section (A6, A7, A9 over the answers) ----------------------
+
+
+def _answered_questions(answers: DataFrame, bank: DataFrame) -> DataFrame:
+    """Distinct (respondent, question) pairs of the bank that were answered.
+
+    Deduplicating first bounds every later per-respondent list by the number of
+    questions in the bank, however many times a respondent answered.
+    """
+    q = section_fill(bank).select("q_pos", "feature", F.coalesce("section_filled", F.lit(DEFAULT_SECTION)).alias("section"))
+    a = answers.select("respondent_id", "feature").distinct()
+    return a.join(F.broadcast(q), "feature", "inner")
+
+
+def answered_by_section(answers: DataFrame, bank: DataFrame) -> DataFrame:
+    """Per respondent and (carried-forward) section: answered questions in order."""
+    aq = _answered_questions(answers, bank)
+    return aq.groupBy("respondent_id", "section").agg(
+        F.count(F.lit(1)).alias("n_answered"),
+        F.min("q_pos").alias("first_pos"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("q_pos", "feature"))), lambda s: s["feature"]), ",").alias("features"),
+    )
+
+
+def answered_by_section_ordered(answers: DataFrame, bank: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Fixed section order per respondent, empty sections kept (0 answered, empty list).
+
+    The section list is attached per respondent with a generator (``inline``),
+    not a join against the respondents.
+    """
+    order = order or BANK_B_SECTION_ORDER
+    counted = answered_by_section(answers, bank)
+    resp = answers.select("respondent_id").distinct()
+    slots = F.array(*[F.struct(F.lit(i).alias("section_order"), F.lit(s).alias("section")) for i, s in enumerate(order)])
+    grid = resp.select("respondent_id", F.inline(slots))
+    out = grid.join(counted, ["respondent_id", "section"], "left")
+    return out.select(
+        "respondent_id",
+        "section_order",
+        "section",
+        F.coalesce("n_answered", F.lit(0)).cast("bigint").alias("n_answered"),
+        F.coalesce("features", F.lit("")).alias("features"),
+    )

@@ -1,4 +1,4 @@
-"""Queries for survey answers and option banks."""
+"""Queries for survey answers and option banks."""
 
 from __future__ import annotations
 
@@ -142,3 +142,31 @@ UNION ALL SELECT bank, feature, 'duplicate' FROM pb GROUP BY bank, feature HAVIN
 def q_bank_coverage(spark, sf):
     expected = fx.answers(spark, sf).select("feature").distinct()
     return sv.bank_coverage(_bank(spark, None), expected).select("bank", "feature", "issue")
+
+
+def _sections_cte(bank: str) -> str:
+    return f"""WITH {ctes.answers()}, {bank_cte(bank)},
+qs AS (SELECT q_pos, feature, coalesce(last_value(section IGNORE NULLS) OVER (ORDER BY q_pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'General') AS section
+       FROM (SELECT DISTINCT q_pos, feature, section FROM bank{bank})),
+aq AS (SELECT a.respondent_id, qs.q_pos, qs.feature, qs.section FROM (SELECT DISTINCT respondent_id, feature FROM answers) a JOIN qs USING (feature)),
+bysec AS (SELECT respondent_id, section, count(*) AS n_answered, min(q_pos) AS first_pos, string_agg(feature, ',' ORDER BY q_pos) AS features
+          FROM aq GROUP BY respondent_id, section)"""
+
+
+@query("answers_by_section", "A6 A9", lambda: f"{_sections_cte('D')} SELECT * FROM bysec")
+def q_answers_by_section(spark, sf):
+    return sv.answered_by_section(fx.answers(spark, sf), _bank(spark, "D"))
+
+
+def _sections_ordered_sql() -> str:
+    slots = ", ".join(f"({i}, '{s}')" for i, s in enumerate(sv.BANK_B_SECTION_ORDER))
+    return f"""{_sections_cte('B')}
+SELECT r.respondent_id, CAST(o.section_order AS INTEGER) AS section_order, o.section, CAST(coalesce(b.n_answered, 0) AS BIGINT) AS n_answered,
+       coalesce(b.features, '') AS features
+FROM (SELECT DISTINCT respondent_id FROM answers) r, (VALUES {slots}) o(section_order, section)
+LEFT JOIN bysec b ON b.respondent_id = r.respondent_id AND b.section = o.section"""
+
+
+@query("answers_by_section_ordered", "A7", _sections_ordered_sql)
+def q_answers_by_section_ordered(spark, sf):
+    return sv.answered_by_section_ordered(fx.answers(spark, sf), _bank(spark, "B"))
