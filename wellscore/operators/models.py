@@ -169,7 +169,22 @@ def train_all(
         if model_dir:
             model.write().overwrite().save(f"{model_dir}/{name.lower()}_model")
     schema = "model string, position int, mae double, rmse double, r2 double, cv_r2_mean double, cv_r2_std double"
-    return spark.createDataFrame(rows, schema), fitted
+    metrics = spark.createDataFrame(rows, schema)
+    if model_dir and rows:
+        # the best model (highest R^2, first on ties) is also kept as its own copy
+        best = max(rows, key=lambda r: (r[4] if r[4] is not None else float("-inf"), -r[1]))[0]
+        fitted[best].write().overwrite().save(f"{model_dir}/{BEST_MODEL_DIR}")
+    return metrics, fitted
+
+
+BEST_MODEL_DIR = "best_model"
+
+
+def saved_model_dirs(model_dir: str, names: list[str]) -> dict[str, str]:
+    """Every saved model folder, the best-model copy included (as an extra entry)."""
+    out = {n.lower(): f"{model_dir}/{n.lower()}_model" for n in names}
+    out[BEST_MODEL_DIR] = f"{model_dir}/{BEST_MODEL_DIR}"
+    return out
 
 
 def best_model(metrics: DataFrame) -> DataFrame:
@@ -194,6 +209,11 @@ def feature_importance(model: PipelineModel, top: int = 18) -> list[tuple[str, f
     return [(f, float(v)) for f, v in pairs[:top]]
 
 
+def evaluate_saved(dirs: dict[str, str], test: DataFrame, label: str = TARGET_COL) -> DataFrame:
+    """Load each saved pipeline and evaluate it on the held-out part."""
+    return evaluate({name: PipelineModel.load(path) for name, path in dirs.items()}, test, label)
+
+
 def evaluate(models: dict[str, PipelineModel], test: DataFrame, label: str = TARGET_COL) -> DataFrame:
     """Union of every model's test predictions, metrics grouped by model."""
     preds = None

@@ -104,8 +104,11 @@ def q_model_gbt_sub(spark, sf):
 def q_cv_r2(spark, sf):
     e = _engineered(spark, sf)
     train, _ = md.split(e)
+    import statistics
+
     r2 = md.cv_r2(train, md.available_features(e), md.estimators(md.QUICK)["LinearRegression"])
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(r2)], "fold int, r2 double")
+    mean, std = round(statistics.fmean(r2), 4), round(statistics.pstdev(r2), 4)
+    return spark.createDataFrame([(i, float(v), mean, std) for i, v in enumerate(r2)], "fold int, r2 double, cv_r2_mean double, cv_r2_std double")
 
 
 def _formula_pred_cte() -> str:
@@ -156,9 +159,9 @@ def q_best_model(spark, sf):
 
 @query("evaluation_report", "M12")
 def q_evaluation_report(spark, sf):
-    _, fitted, _ = _trained(spark, sf)
+    _, fitted, model_dir = _trained(spark, sf)
     _, test = md.split(_engineered(spark, sf))
-    return md.evaluate(fitted, test)
+    return md.evaluate_saved(md.saved_model_dirs(model_dir, list(fitted)), test)
 
 
 @query("feature_importance", "M14")
