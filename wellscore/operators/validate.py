@@ -27,10 +27,23 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
 
 
 def column_presence(df: DataFrame, required: list[str]) -> DataFrame:
-    """(column_name, present) for each required column."""
+    """(column_name, present, n_values) for each required column.
+
+    Presence comes from the schema; the non-null count of every present column
+    comes from one aggregate over the table (null for an absent column).
+    """
     have = set(df.columns)
-    rows = [(c, c in have) for c in required]
-    return df.sparkSession.createDataFrame(rows, "column_name string, present boolean")
+    present = [c for c in required if c in have]
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in present]) if present else df.limit(1).select(F.lit(1).alias("__x"))
+    structs = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(c in have).alias("present"),
+            (F.col(c).cast("bigint") if c in have else F.lit(None).cast("bigint")).alias("n_values"),
+        )
+        for c in required
+    ]
+    return counts.select(F.inline(F.array(*structs)))
 
 
 def table_profile(df: DataFrame) -> DataFrame:

@@ -28,11 +28,14 @@ def _engineered(spark, sf):
 
 
 def _missing_sql() -> str:
-    req = ", ".join(f"('{c}')" for c in REQUIRED)
-    return f"""WITH {ctes.dirty()},
-have AS (SELECT column_name FROM (DESCRIBE SELECT * FROM dirty))
-SELECT r.column_name, h.column_name IS NOT NULL AS present
-FROM (VALUES {req}) r(column_name) LEFT JOIN have h ON r.column_name = h.column_name"""
+    dirty_cols = set(DIRTY_COLS)
+    parts = [
+        f"SELECT '{c}' AS column_name, true AS present, CAST(count({c}) AS BIGINT) AS n_values FROM dirty"
+        if c in dirty_cols
+        else f"SELECT '{c}' AS column_name, false AS present, CAST(NULL AS BIGINT) AS n_values"
+        for c in REQUIRED
+    ]
+    return f"WITH {ctes.dirty()} " + " UNION ALL ".join(parts)
 
 
 @query("missing_columns", "V1", _missing_sql)
