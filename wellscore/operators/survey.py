@@ -63,14 +63,17 @@ def answers_to_values(answers: DataFrame, bank: DataFrame) -> DataFrame:
 
 
 def rejected_answers(answers: DataFrame, bank: DataFrame) -> DataFrame:
-    """Answers the mapping drops, with the reason (unknown_feature / invalid_option)."""
+    """Answers the mapping drops, with the reason (unknown_feature / invalid_option).
+
+    One pass over the answers: two left lookups against bounded bank tables
+    (broadcast), then the reason is a column expression.
+    """
     a = answers.withColumn("opt_idx", F.col("opt_idx").cast("int"))
-    feats = bank.select("feature").distinct()
-    opts = bank.select("feature", "opt_idx")
-    unknown = a.join(F.broadcast(feats), "feature", "left_anti").withColumn("reason", F.lit("unknown_feature"))
-    known = a.join(F.broadcast(feats), "feature", "left_semi")
-    invalid = known.join(F.broadcast(opts), ["feature", "opt_idx"], "left_anti").withColumn("reason", F.lit("invalid_option"))
-    return unknown.unionByName(invalid)
+    feats = bank.select("feature").distinct().withColumn("__known", F.lit(True))
+    opts = bank.select("feature", "opt_idx").distinct().withColumn("__valid", F.lit(True))
+    j = a.join(F.broadcast(feats), "feature", "left").join(F.broadcast(opts), ["feature", "opt_idx"], "left")
+    reason = F.when(F.col("__known").isNull(), F.lit("unknown_feature")).when(F.col("__valid").isNull(), F.lit("invalid_option"))
+    return j.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(*a.columns, "reason")
 
 
 def answers_wide(values: DataFrame, features: list[str], id_col: str = "respondent_id", order_col: str = "answer_seq") -> DataFrame:
@@ -166,18 +169,19 @@ def position_profiles(bank: DataFrame) -> DataFrame:
 
 
 def bank_coverage(bank: DataFrame, expected: DataFrame, banks: list[str] | None = None) -> DataFrame:
-    """Per bank: expected features missing, features not expected, features listed twice."""
+    """Per bank: expected features missing, features not expected, features listed twice.
+
+    Expected features are paired with every bank by a generator (no join of
+    two tables), then one anti join against the bank (a bounded broadcast).
+    """
     banks = banks or list(OPTION_BANKS)
     per_bank = bank.select("bank", "feature", "q_pos").distinct()
     exp = expected.select("feature").distinct()
-    miss = None
-    for b in banks:
-        m = exp.join(per_bank.where(F.col("bank") == b).select("feature"), "feature", "left_anti").select(F.lit(b).alias("bank"), "feature")
-        miss = m if miss is None else miss.unionByName(m)
-    miss = miss.withColumn("issue", F.lit("missing"))
+    pairs = exp.select("feature", F.explode(F.array(*[F.lit(b) for b in banks])).alias("bank"))
+    miss = pairs.join(F.broadcast(per_bank.select("bank", "feature").distinct()), ["bank", "feature"], "left_anti").withColumn("issue", F.lit("missing"))
     extra = per_bank.select("bank", "feature").join(exp, "feature", "left_anti").withColumn("issue", F.lit("extra"))
     dup = per_bank.groupBy("bank", "feature").count().where(F.col("count") > 1).select("bank", "feature").withColumn("issue", F.lit("duplicate"))
-    return miss.unionByName(extra).unionByName(dup)
+    return miss.select("bank", "feature", "issue").unionByName(extra.select("bank", "feature", "issue")).unionByName(dup)
 
 
 def bank_rules(bank: DataFrame, spec: Spec = DEFAULT_SPEC) -> DataFrame:
@@ -246,19 +250,28 @@ def answered_by_section(answers: DataFrame, bank: DataFrame) -> DataFrame:
 def answered_by_section_ordered(answers: DataFrame, bank: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Fixed section order per respondent, empty sections kept (0 answered, empty list).
 
-    The section list is attached per respondent with a generator (``inline``),
-    not a join against the respondents.
+    One ``groupBy(respondent)`` with a conditional count and list per section,
+    then one row per section by a generator: no join of respondents with a
+    section grid. Respondents whose answers match no question still appear.
     """
     order = order or BANK_B_SECTION_ORDER
-    counted = answered_by_section(answers, bank)
-    resp = answers.select("respondent_id").distinct()
-    slots = F.array(*[F.struct(F.lit(i).alias("section_order"), F.lit(s).alias("section")) for i, s in enumerate(order)])
-    grid = resp.select("respondent_id", F.inline(slots))
-    out = grid.join(counted, ["respondent_id", "section"], "left")
-    return out.select(
-        "respondent_id",
-        "section_order",
-        "section",
-        F.coalesce("n_answered", F.lit(0)).cast("bigint").alias("n_answered"),
-        F.coalesce("features", F.lit("")).alias("features"),
+    q = section_fill(bank).select("q_pos", "feature", F.coalesce("section_filled", F.lit(DEFAULT_SECTION)).alias("section"))
+    a = answers.select("respondent_id", "feature").distinct().join(F.broadcast(q), "feature", "left")
+    aggs = []
+    for i, s in enumerate(order):
+        hit = F.col("section") == F.lit(s)
+        aggs.append(F.count(F.when(hit, 1)).alias(f"n{i}"))
+        aggs.append(F.array_sort(F.collect_list(F.when(hit, F.struct("q_pos", "feature")))).alias(f"f{i}"))
+    g = a.groupBy("respondent_id").agg(*aggs)
+    slots = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("section_order"),
+                F.lit(s).alias("section"),
+                F.col(f"n{i}").cast("bigint").alias("n_answered"),
+                F.array_join(F.transform(F.col(f"f{i}"), lambda x: x["feature"]), ",").alias("features"),
+            )
+            for i, s in enumerate(order)
+        ]
     )
+    return g.select("respondent_id", F.inline(slots))

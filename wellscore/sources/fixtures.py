@@ -110,16 +110,21 @@ def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def respondents_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Survey table with nulls, an outlier column and exact duplicate rows."""
+    """Survey table with nulls, an outlier column and exact duplicate rows.
+
+    One scan: rows to be duplicated are emitted twice by a generator.
+    """
     base = respondents(spark, sf_dir)
+    rid = F.col("respondent_id")
     dirty = base.withColumns(
         {
-            "anxiety_level": F.when(F.col("respondent_id") % 17 == 0, F.lit(None)).otherwise(F.col("anxiety_level")),
-            "depression": F.when(F.col("respondent_id") % 97 == 0, F.lit(200)).otherwise(F.col("depression")),
-            "cohort": F.when(F.col("respondent_id") % 13 == 0, F.lit(None)).otherwise(F.col("cohort")),
+            "anxiety_level": F.when(rid % 17 == 0, F.lit(None)).otherwise(F.col("anxiety_level")),
+            "depression": F.when(rid % 97 == 0, F.lit(200)).otherwise(F.col("depression")),
+            "cohort": F.when(rid % 13 == 0, F.lit(None)).otherwise(F.col("cohort")),
         }
     )
-    return dirty.unionByName(dirty.where(F.col("respondent_id") % 50 == 0))
+    copies = F.sequence(F.lit(1), F.when(rid % 50 == 0, F.lit(2)).otherwise(F.lit(1)))
+    return dirty.withColumn("__copy", F.explode(copies)).drop("__copy")
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
