@@ -46,8 +46,9 @@ def main(argv):
         "# Physical plan shapes",
         "",
         f"Generated by `tests/plan_report.py` on {sf} (local[8], AQE on), after one run of each",
-        "query. *shuffles* counts hash/round-robin exchanges in the final plan (the round-robin",
-        "spread of a one-split test file is one of them; it is absent on large inputs),",
+        "query. *shuffles* counts exchanges in the final plan: hash, round-robin (the spread of",
+        "a one-split test file, absent on large inputs) and the single-partition step of a",
+        "global aggregate (a few partial rows).",
         "*broadcasts* broadcast exchanges, *read cols* the widest parquet ReadSchema. Pre-pass",
         "jobs (one-row statistics read before the plan is built) are not in these plans.",
         "",
