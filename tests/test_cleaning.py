@@ -53,3 +53,13 @@ def test_one_hot_drop_first(spark):
     out = cl.one_hot(df, ["g"])
     assert out.columns == ["g_b", "g_c"]
     assert [tuple(r) for r in out.collect()] == [(True, False), (False, False), (False, True)]
+
+
+def test_approx_quantile_path_close_to_exact(spark):
+    df = spark.range(0, 20001).select((F.col("id") % 1000).cast("double").alias("x"), F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 500).cast("double").alias("y"))
+    exact = {r["column_name"]: r for r in cl.iqr_bounds(df, ["x", "y"], 1.5).collect()}
+    approx = {r["column_name"]: r for r in cl.iqr_bounds(df, ["x", "y"], 1.5, approx=True).collect()}
+    for c in ("x", "y"):
+        assert abs(exact[c]["q1"] - approx[c]["q1"]) <= 2 and abs(exact[c]["q3"] - approx[c]["q3"]) <= 2
+    med = cl.missing_stats(df, approx=True)["y"][1]
+    assert abs(med - 249.5) <= 2

@@ -167,16 +167,19 @@ def clean(
 ) -> DataFrame:
     """names -> impute -> dedupe -> (iqr clip) -> one-hot.
 
-    Categories come from the raw columns (imputation, dedupe and clipping add
-    none and remove none). ``materialize(df) -> df`` may write the deduped
+    Categories are the same before and after imputation, dedupe and clipping
+    (they add none and remove none), so they are read from the written table
+    when there is one, else from the raw columns. ``materialize(df) -> df`` may write the deduped
     table once (e.g. to the checkpoint folder) so the quartile pass and the
     final pass do not both repeat the dedupe shuffle.
     """
     named = standardize_names(df)
-    cats = categories(named, other_columns(named, exclude=key_cols))
     out = dedupe(impute(named, approx=approx, key_cols=key_cols))
     if materialize is not None:
         out = materialize(out)
+        cats = categories(out, other_columns(out, exclude=key_cols))  # one-column read of the written table
+    else:
+        cats = categories(named, other_columns(named, exclude=key_cols))
     if method == "iqr":
         out = iqr_clip(out, numeric_columns(out, exclude=key_cols), threshold, approx)
     return one_hot(out, list(cats), cats=cats)
