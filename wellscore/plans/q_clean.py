@@ -160,7 +160,7 @@ def _clean_corr_sql() -> str:
 
 @query("correlation_clean", "R4 R5 P9 F15", _clean_corr_sql)
 def q_correlation_clean(spark, sf):
-    """The reference flow: clean -> engineer -> correlation (has a constant column)."""
+    """The original stage order: clean -> engineer -> correlation (has a constant column)."""
     def build():
         cleaned = cl.clean(fx.respondents_dirty(spark, sf), "iqr", IQR_THRESHOLD, key_cols=KEY, materialize=_materialize(spark, sf, "deduped"))
         return feat.engineer(cleaned, SPEC)
