@@ -108,5 +108,6 @@ FROM g, wm WHERE ws + INTERVAL 1 DAY <= wm.wm""",
 def q_stream_risk_window(spark, sf):
     path = st.write_event_files(spark, _events(spark, sf))
     scored = st.score_stream(st.read_events(spark, path), _frozen(spark, sf), SPEC)
-    out = st.run_to_table(spark, st.band_windows(scored, "1 day", "1 hour"), "st4")
+    tz = spark.conf.get("spark.sql.session.timeZone")  # events carry wall-clock times
+    out = st.run_to_table(spark, st.band_windows(scored, "1 day", "1 hour", wall_clock_tz=tz), "st4")
     return out.withColumns({"window_start": F.date_format("window_start", TS_FMT), "window_end": F.date_format("window_end", TS_FMT)})

@@ -136,8 +136,19 @@ def dedupe_stream(stream: DataFrame, key: str = "event_id", delay: str = "1 hour
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
 
-def band_windows(scored: DataFrame, size: str = "1 day", delay: str = "1 hour", slide: str | None = None) -> DataFrame:
-    """ST4: counts per (event-time window, risk band); tumbling, or sliding with ``slide``."""
-    win = F.window("ts", size, slide) if slide else F.window("ts", size)
-    g = scored.withWatermark("ts", delay).groupBy(win.alias("w"), "risk_level").agg(F.count(F.lit(1)).alias("n"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "risk_level", "n")
+def band_windows(scored: DataFrame, size: str = "1 day", delay: str = "1 hour", slide: str | None = None, wall_clock_tz: str | None = None) -> DataFrame:
+    """ST4: counts per (event-time window, risk band); tumbling, or sliding with ``slide``.
+
+    Windows align to UTC epoch boundaries. For events recorded as wall-clock
+    time (TIMESTAMP_NTZ cast in the session zone ``wall_clock_tz``) the event
+    time is shifted to wall clock before windowing and the window bounds are
+    shifted back, so a "1 day" window is a calendar day of the recorded times.
+    """
+    ts = F.from_utc_timestamp("ts", wall_clock_tz) if wall_clock_tz else F.col("ts")
+    s = scored.withColumn("__t", ts)
+    win = F.window("__t", size, slide) if slide else F.window("__t", size)
+    g = s.withWatermark("__t", delay).groupBy(win.alias("w"), "risk_level").agg(F.count(F.lit(1)).alias("n"))
+    start, end = F.col("w.start"), F.col("w.end")
+    if wall_clock_tz:
+        start, end = F.to_utc_timestamp(start, wall_clock_tz), F.to_utc_timestamp(end, wall_clock_tz)
+    return g.select(start.alias("window_start"), end.alias("window_end"), "risk_level", "n")
