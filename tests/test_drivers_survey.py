@@ -97,3 +97,14 @@ def test_answers_mapping_rejections_and_last_wins(spark):
     assert wide[1]["anxiety_level"] == 21 and wide[1]["safety"] is None
     filled = {r["respondent_id"]: r for r in sv.fill_midpoint(sv.answers_wide(vals, FEATS), FEATS).collect()}
     assert filled[1]["safety"] == sv.midpoints("A")["safety"]
+
+
+def test_malformed_option_is_rejected_not_fatal(spark):
+    answers = spark.createDataFrame(
+        [(1, "safety", "x"), (1, "safety", " 2"), (2, "safety", "3")], "respondent_id long, feature string, opt_idx string"
+    ).withColumn("answer_seq", F.lit(0))
+    bank = sv.option_bank(spark, "A")
+    # " 2" is a digit string (whitespace trimmed, as int(" 2") does); "x" is not
+    assert sorted(r["respondent_id"] for r in sv.answers_to_values(answers, bank).collect()) == [1, 2]
+    rej = [(r["respondent_id"], r["reason"]) for r in sv.rejected_answers(answers, bank).collect()]
+    assert (1, "invalid_option") in rej

@@ -46,7 +46,7 @@ def option_bank(spark: SparkSession, bank: str | None = None, spec: Spec = DEFAU
 
 def option_usage(answers: DataFrame, bank: DataFrame) -> DataFrame:
     """How many answers picked each option of the bank (A1 over the data)."""
-    counts = answers.withColumn("opt_idx", F.col("opt_idx").cast("int")).groupBy("feature", "opt_idx").agg(F.count(F.lit(1)).alias("n_answers"))
+    counts = answers.withColumn("opt_idx", F.col("opt_idx").try_cast("int")).groupBy("feature", "opt_idx").agg(F.count(F.lit(1)).alias("n_answers"))
     # counts are pre-aggregated per (feature, option); the bank is the preserved side
     return bank.join(counts, ["feature", "opt_idx"], "left").withColumn("n_answers", F.coalesce("n_answers", F.lit(0)).cast("bigint"))
 
@@ -57,7 +57,7 @@ def answers_to_values(answers: DataFrame, bank: DataFrame) -> DataFrame:
     Digit strings are accepted as option numbers. The bank side is a bounded
     literal table: broadcast inner join, no shuffle of the answers.
     """
-    a = answers.withColumn("opt_idx", F.col("opt_idx").cast("int"))
+    a = answers.withColumn("opt_idx", F.col("opt_idx").try_cast("int"))
     b = bank.select("feature", "opt_idx", "value")
     return a.join(F.broadcast(b), ["feature", "opt_idx"], "inner")
 
@@ -68,7 +68,7 @@ def rejected_answers(answers: DataFrame, bank: DataFrame) -> DataFrame:
     One pass over the answers: two left lookups against bounded bank tables
     (broadcast), then the reason is a column expression.
     """
-    a = answers.withColumn("opt_idx", F.col("opt_idx").cast("int"))
+    a = answers.withColumn("opt_idx", F.col("opt_idx").try_cast("int"))
     feats = bank.select("feature").distinct().withColumn("__known", F.lit(True))
     opts = bank.select("feature", "opt_idx").distinct().withColumn("__valid", F.lit(True))
     j = a.join(F.broadcast(feats), "feature", "left").join(F.broadcast(opts), ["feature", "opt_idx"], "left")
@@ -138,7 +138,7 @@ def section_fill(bank: DataFrame) -> DataFrame:
 
 def response_review(answers: DataFrame, bank: DataFrame, q_limit=45, q_keep=45, l_limit=60, l_keep=57, missing="—") -> DataFrame:
     """Question and chosen label per answered question, shortened for display."""
-    a = answers.withColumn("opt_idx", F.col("opt_idx").cast("int"))
+    a = answers.withColumn("opt_idx", F.col("opt_idx").try_cast("int"))
     questions = bank.select("feature", "q_pos", "question").distinct()
     labels = bank.select("feature", "opt_idx", "label")
     j = a.join(F.broadcast(questions), "feature", "inner").join(F.broadcast(labels), ["feature", "opt_idx"], "left")
