@@ -44,7 +44,7 @@ def answer_events(events: DataFrame) -> DataFrame:
     reject TIMESTAMP_NTZ)."""
     sizes = F.array(*[F.lit(BANK_A_SIZES[f]) for f, _, _ in INDICATORS])
     q = (F.col("event_id") % 20).cast("int")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")  # a malformed record must not fail the job
     return events.select(
         "event_id",
         F.col("user_id").alias("respondent_id"),
