@@ -18,6 +18,15 @@ LOW = dict(zip(FEATS, [2, 28, 0, 2, 0, 1, 5, 0, 1, 5, 5, 5, 5, 1, 5, 0, 3, 0, 5,
 
 def test_weights_sum_to_one():
     DEFAULT_SPEC.validate_weights()
+    DEFAULT_SPEC.validate_scales()
+
+
+def test_zero_span_scale_rejected():
+    from wellscore.spec import INDICATORS, Spec
+
+    bad = Spec(indicators=[(n, lo, lo if n == "headache" else hi) for n, lo, hi in INDICATORS])
+    with pytest.raises(ValueError):
+        feat.index_columns(bad)
 
 
 def test_fixture_facts(spark):

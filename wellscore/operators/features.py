@@ -37,6 +37,7 @@ def norm_scale(df: DataFrame, spec: Spec = DEFAULT_SPEC) -> DataFrame:
 
 
 def index_columns(spec: Spec = DEFAULT_SPEC, mode: str = "train") -> dict[str, Column]:
+    spec.validate_scales()
     scale = spec.scale
     out = {}
     for index, terms in spec.index_terms.items():

@@ -297,6 +297,15 @@ class Spec:
     def indices(self) -> list[str]:
         return list(self.index_terms)
 
+    def validate_scales(self) -> None:
+        """Every scale used by an index must have max > min (the norm divides by the span)."""
+        scale = self.scale
+        for index, terms in self.index_terms.items():
+            for feat, _, _ in terms:
+                lo, hi = scale[feat]
+                if hi <= lo:
+                    raise ValueError(f"scale of {feat} (used by {index}) has max {hi} <= min {lo}")
+
     def validate_weights(self, tol: float = 1e-9) -> None:
         """Each index's weights sum to 1; the score weights (penalty counted as +) too."""
         for name, terms in self.index_terms.items():
