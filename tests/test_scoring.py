@@ -118,3 +118,17 @@ def test_box_stats_whiskers(spark):
     r = rep.box_stats(df, "g").first()
     assert r["whisker_hi"] == 5.0 and r["n_outliers"] == 1 and r["whisker_lo"] == 1.0
     assert not math.isnan(r["notch_lo"])
+
+
+def test_approx_paths_of_report_quantiles(spark):
+    df = spark.range(0, 10001).select((F.col("id") / 100.0).alias("burnout_score"), (F.col("id") % 3).alias("g"))
+    ex, ap = rep.center(df).first(), rep.center(df, approx=True).first()
+    assert abs(ex["median_score"] - ap["median_score"]) <= 0.05
+    bx = {r["g"]: r for r in rep.box_stats(df, "g").collect()}
+    ba = {r["g"]: r for r in rep.box_stats(df, "g", approx=True).collect()}
+    for g in bx:
+        assert abs(bx[g]["median"] - ba[g]["median"]) <= 0.05
+    from wellscore.operators import validate as val
+
+    d1, d2 = val.describe(df, "burnout_score").first(), val.describe(df, "burnout_score", approx=True).first()
+    assert abs(d1["p75"] - d2["p75"]) <= 0.05

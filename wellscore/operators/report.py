@@ -70,13 +70,14 @@ def histogram(df: DataFrame, c: str = "burnout_score", bins: int = 30) -> DataFr
     )
 
 
-def center(df: DataFrame, c: str = "burnout_score") -> DataFrame:
+def center(df: DataFrame, c: str = "burnout_score", approx: bool = False) -> DataFrame:
     """Exact mean (2-digit grid, order-independent) and exact median of a column.
 
     A score rounded to 2 digits in [0, 100] has at most 10,001 distinct
     values, so the exact median's value->count buffer stays small at any size.
     """
-    return df.agg(grid_mean(c, 100).alias("mean_score"), F.median(c).alias("median_score"))
+    med = F.percentile_approx(F.col(c).cast("double"), 0.5, 10000) if approx else F.median(c)
+    return df.agg(grid_mean(c, 100).alias("mean_score"), med.alias("median_score"))
 
 
 def risk_distribution(df: DataFrame, c: str = "burnout_score", low: float = 33.0, moderate: float = 66.0) -> DataFrame:
@@ -179,12 +180,13 @@ def label_names(c: Column, names: dict[int, str] | None = None) -> Column:
     return m[c]
 
 
-def box_stats(df: DataFrame, group: str, c: str = "burnout_score", whis: float = 1.5, digits: int = 6) -> DataFrame:
+def box_stats(df: DataFrame, group: str, c: str = "burnout_score", whis: float = 1.5, digits: int = 6, approx: bool = False) -> DataFrame:
     """Per group: quartiles, whiskers at the furthest point inside whis*IQR,
     outlier count, notch (median +- 1.57*IQR/sqrt(n))."""
     x = F.col(c).cast("double")
+    quart = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approx else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     q = df.groupBy(group).agg(
-        F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
+        quart.alias("q"),
         F.count(x).alias("n"),
     )
     q = q.select(group, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("med"), F.col("q")[2].alias("q3"))

@@ -82,10 +82,13 @@ def class_balance(df: DataFrame, label: str = "stress_level") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def describe(df: DataFrame, c: str, digits: int = 2, grid: float | None = None) -> DataFrame:
+def describe(df: DataFrame, c: str, digits: int = 2, grid: float | None = None, approx: bool = False) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max - rounded like pandas."""
     x = F.col(c)
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    if approx:
+        q = F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], 10000)
+    else:
+        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     stats = df.agg(
         F.count(x).cast("double").alias("count"),
         (grid_mean(x, grid) if grid else F.avg(x)).alias("mean"),
