@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellscore.llm import op1_pii, op2_decontaminate, op3_chat, op7_language, op8_quality, op9_mix
+from wellscore.llm import op1_pii, op2_decontaminate, op3_chat, op4_minhash, op6_tokens, op7_language, op8_quality, op9_mix
 from wellscore.llm.common import table
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_word_shape_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return op1_pii.digest(op1_pii.find(documents, op1_pii.fit(documents)))
@@ -21,6 +27,14 @@ def op3_collapse_and_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_chat.render(table(spark, sf_dir, "conversations"))
 
 
+def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies")
+
+
+def op6_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_tokens.encoded(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op7_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_language.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
@@ -33,5 +47,5 @@ def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_mix.replicate(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("row.doc_id", "row.source", "copy", "shuffle_key")
 
 
-QUERIES = {f.__name__: f for f in (op1_word_shape_field, op2_decontaminate_templates, op3_collapse_and_render, op7_evidence_fusion, op8_ngram_ratio, op9_poisson_mix)}
+QUERIES = {f.__name__: f for f in (op1_word_shape_field, op2_decontaminate_templates, op3_collapse_and_render, op4_prob_minhash, op6_seekable_tokens, op7_evidence_fusion, op8_ngram_ratio, op9_poisson_mix)}
 SQL = {"op2_decontaminate_templates": op2_decontaminate.SQL, "op3_collapse_and_render": op3_chat.SQL, "op9_poisson_mix": op9_mix.SQL}
