@@ -193,17 +193,18 @@ def classes(documents: DataFrame, words: int = WORDS, bands: int = BANDS, size:
     links = links.unionByName(verified(written(more, "pairs"), nodes, documents, words, similarity))
     comp = written(components(links).withColumnsRenamed({"id": "cn", "class": "c"}), "classes")
     labelled = nodes.join(comp, F.col("node") == F.col("cn"), "left").select("node", "doc_id", "n_copies", F.coalesce("c", "node").alias("c"))
-    least = labelled.groupBy("c").agg(F.min("doc_id").alias("class_id"))
-    labelled = written(labelled.join(least, "c").select("node", "class_id", "n_copies", F.col("doc_id").alias("node_id")), "labelled")
-    return sketch.select("doc_id", "node").join(labelled, "node").select("doc_id", "node", "class_id", "n_copies", "node_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node")).alias("first")
+    least = labelled.groupBy("c").agg(first).select("c", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("kept_node"))
+    labelled = written(labelled.join(least, "c").select("node", "class_id", "kept_node", "n_copies"), "labelled")
+    return sketch.select("doc_id", "node").join(labelled, "node").select("doc_id", "node", "class_id", "kept_node", "n_copies")
 
 
 def deduplicated(documents: DataFrame, **how) -> DataFrame:
     """One document of each class, all columns: the one with class_id (of repeated rows with that id and text, one)."""
-    kept = classes(documents, **how).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("node").alias("want"), F.min("n_copies").alias("copies"))
+    kept = classes(documents, **how).filter("node = kept_node").groupBy(F.col("node").alias("want")).agg(F.min("class_id").alias("class_id"), F.min("n_copies").alias("copies"))
     kept = written(kept, "kept")
     d = documents.select(F.struct("*").alias("row"), F.md5(F.coalesce("text", F.lit(""))).alias("h"))
     d = d.join(kept, F.col("row.doc_id").eqNullSafe(F.col("class_id")) & (F.col("h") == F.col("want")))
     # only texts with copies can have repeated rows
     once = d.filter("copies = 1").select("row.*")
-    return once.unionByName(d.filter("copies > 1").dropDuplicates(["class_id", "h"]).select("row.*"))
+    return once.unionByName(d.filter("copies > 1").dropDuplicates(["h"]).select("row.*"))

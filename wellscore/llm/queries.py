@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellscore.llm import op1_pii, op2_decontaminate, op3_chat, op4_minhash, op6_tokens, op7_language, op8_quality, op9_mix
+from wellscore.llm import op1_pii, op10_lm, op2_decontaminate, op3_chat, op4_minhash, op5_suffix, op6_tokens, op7_language, op8_quality, op9_mix
 from wellscore.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies")
 
 
+def op5_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_suffix.removed(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_tokens.encoded(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -47,5 +51,9 @@ def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_mix.replicate(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("row.doc_id", "row.source", "copy", "shuffle_key")
 
 
-QUERIES = {f.__name__: f for f in (op1_word_shape_field, op2_decontaminate_templates, op3_collapse_and_render, op4_prob_minhash, op6_seekable_tokens, op7_evidence_fusion, op8_ngram_ratio, op9_poisson_mix)}
+def op10_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_lm.scored(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_word_shape_field, op2_decontaminate_templates, op3_collapse_and_render, op4_prob_minhash, op5_bucket_pointers, op6_seekable_tokens, op7_evidence_fusion, op8_ngram_ratio, op9_poisson_mix, op10_backoff_automaton)}
 SQL = {"op2_decontaminate_templates": op2_decontaminate.SQL, "op3_collapse_and_render": op3_chat.SQL, "op9_poisson_mix": op9_mix.SQL}
