@@ -79,13 +79,15 @@ def _uri(folder: str) -> str:
     return folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
 
-def ask(texts: DataFrame, per_block, answer, dtypes: list[str], n_keys: int, name: str, each: int = 1 << 20) -> tuple[str, list[int]]:
+def ask(texts: DataFrame, per_block, answer, dtypes: list[str], n_keys: int, name: str) -> tuple[str, list[int]]:
     """Ask for the keys of all blocks; the folder of the answers, and sums over all ranges.
 
     per_block(block, table) gives sorted distinct keys (uint64) and columns of the same length
     (dtypes). answer(keys, columns) gets those of all blocks for one range of keys, block after
     block, and gives one number per row and a list of numbers to be summed."""
     spark = texts.sparkSession
+    # some hundred thousand keys a range for even tasks; more, up to 64 MB of keys, where blocks are many
+    each = min(1 << 23, max(1 << 18, n_keys >> 12))
     bits = max(4, math.ceil(math.log2(max(1, n_keys / each))))
 
     def requests(batches):
