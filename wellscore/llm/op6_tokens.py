@@ -11,9 +11,8 @@ Texts are dealt by ranges of (doc_id, hash of the text, row number): repeated id
 copies spread over files too. A file is written under a name of its own and renamed when it is
 complete, so a retried or doubled task leaves the same file. Ids never pass the driver.
 
-Each worker encodes a piece (a space and what follows up to the next single space) once per
-batch: the tokenizer never merges across that border, so joining pieces gives the ids of
-the text.
+Each worker encodes a piece (see pieces) once: the tokenizer never merges across the cuts, so
+the ids of a text are those of its pieces.
 
 Edge cases: a null or empty text is just the end id; null doc_ids come first; repeated rows
 are documents of their own; an empty table has no files and no rows; other columns are ignored.
@@ -109,27 +108,40 @@ class Reader:
 # ---- encoding ------------------------------------------------------------------------------
 
 
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_LETTER = _ALNUM.copy()
+_LETTER[48:58] = False
+_MARK = np.zeros(256, bool)
+_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
 def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of pieces: rows, cut before each single space between two other ASCII or longer characters."""
+    """Start and end of pieces: texts, cut where the tokenizer never joins two tokens' bytes.
+
+    That is before a single space and around a single line feed that stand between two visible
+    ASCII or Latin characters, and between an ASCII letter and an ASCII mark."""
     n = len(buf)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # neighbours must be visible ASCII, or bytes of Latin letters: other white space isn't ASCII alone
-    solid = (buf > 32) & (buf < 127) | (buf >= 0xC3) & (buf <= 0xC9)
-    after = solid.copy()
-    before = (buf > 32) & (buf < 127)
-    tail = np.zeros(n, bool)
-    tail[1:] = (buf[1:] >= 0x80) & (buf[1:] < 0xC0) & (buf[:-1] >= 0xC3) & (buf[:-1] <= 0xC9)
-    before |= tail
-    cut = np.zeros(n, bool)
-    cut[1:-1] = (buf[1:-1] == 32) & before[:-2] & after[2:]
+    plain = _ALNUM[buf] | _MARK[buf]
+    lead = (buf >= 0xC3) & (buf <= 0xC9)  # first byte of a Latin letter (or of the two signs between them)
+    begins = plain | lead
+    ends = plain.copy()
+    ends[1:] |= (buf[1:] >= 0x80) & (buf[1:] < 0xC0) & lead[:-1]
     edge = offs[1:-1][(offs[1:-1] > 0) & (offs[1:-1] < n)]
+    inner = np.ones(n, bool)  # neither first nor last byte of a row
+    inner[edge] = inner[edge - 1] = False
+    cut = np.zeros(n + 1, bool)
+    lone = np.zeros(n, bool)
+    lone[1:-1] = ends[:-2] & begins[2:] & inner[1:-1]
+    cut[:-1] |= lone & ((buf == 32) | (buf == 10))
+    cut[1:] |= lone & (buf == 10)
+    cut[1:-1] |= _LETTER[buf[:-1]] & _MARK[buf[1:]]
     cut[edge] = True  # a row begins
-    last = edge[buf[edge - 1] == 32] - 1
-    cut[last[~np.isin(last, edge)]] = False  # the space that ends a row has no neighbour in it
-    heads = np.flatnonzero(cut)
-    start = np.concatenate([[0], heads])
-    return start, np.concatenate([heads, [n]])
+    heads = np.flatnonzero(cut[:-1])
+    heads = heads[heads > 0]
+    return np.concatenate([[0], heads]), np.concatenate([heads, [n]])
 
 
 class Encoder:
@@ -149,22 +161,26 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, h: np.ndarray, parts: list[bytes]) -> None:
-        """Add pieces. Pieces that begin with a space are encoded as one text and cut where they begin."""
-        ids: list[list[int]] = [[] for _ in parts]
-        spaced = [i for i, p in enumerate(parts) if p[:1] == b" "]
-        alone = [i for i, p in enumerate(parts) if p[:1] != b" "]
-        for i, e in zip(alone, self.tok.encode_batch([parts[i].decode() for i in alone], add_special_tokens=False), strict=True):
+        """Add pieces. Words are encoded many at a time: those with a space before them in a row, others as lines."""
+        ids: list = [None] * len(parts)
+        solid = [_ALNUM[p[-1]] for p in parts]
+        spaced = [i for i, p in enumerate(parts) if solid[i] and len(p) > 1 and p[0] == 32 and _ALNUM[p[1]]]
+        lines = [i for i, p in enumerate(parts) if solid[i] and _ALNUM[p[0]]]
+        for own, sep in ((spaced, ""), (lines, "\n")):
+            for lo in range(0, len(own), 8192):
+                part = own[lo : lo + 8192]
+                texts = [parts[i].decode() for i in part]
+                size = np.array([len(t) for t in texts])
+                start = np.cumsum(size + len(sep)) - size - len(sep)
+                e = self.tok.encode(sep.join(texts), add_special_tokens=False)
+                at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
+                a, b = np.searchsorted(at, start).tolist(), np.searchsorted(at, start + size).tolist()
+                all_ = e.ids
+                for k, i in enumerate(part):
+                    ids[i] = all_[a[k] : b[k]]
+        rest = [i for i, x in enumerate(ids) if x is None]
+        for i, e in zip(rest, self.tok.encode_batch([parts[i].decode() for i in rest], add_special_tokens=False), strict=True):
             ids[i] = e.ids
-        for lo in range(0, len(spaced), 4096):
-            own = spaced[lo : lo + 4096]
-            texts = [parts[i].decode() for i in own]
-            ends = np.cumsum([len(t) for t in texts])
-            e = self.tok.encode("".join(texts), add_special_tokens=False)
-            at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-            cut = np.concatenate([[0], np.searchsorted(at, ends, "left")])
-            all_ = e.ids
-            for k, i in enumerate(own):
-                ids[i] = all_[cut[k] : cut[k + 1]]
         count = np.array([len(x) for x in ids], np.int64)
         first = len(self.ids) + np.cumsum(count) - count
         self.ids = np.concatenate([self.ids, np.fromiter((y for x in ids for y in x), np.uint32, int(count.sum()))])
