@@ -11,11 +11,13 @@ ProbMinHash sketch and long texts cost about as many draws as short ones.
 Registers are banded; documents of one bucket are candidates, verified by the exact Jaccard
 similarity of their sets of runs:
   1. copies collapse to one node (digest of the text, map-side grouping);
-  2. each bucket's nodes are compared with its least node only: a bucket of any size costs
-     one pair per node. Verified pairs make classes;
-  3. where a bucket still holds several classes, its nodes outside the class of its least
-     node are compared with the nodes of the other classes, so no link of the candidates is
-     lost, while pairs inside a class, which cannot change it, are never made.
+  2. in rounds, each bucket's nodes are compared with one node of it, drawn by hash, that is in
+     another class: a bucket of any size costs a pair per node. Verified pairs join classes;
+     a group of copies shares many buckets, so it has many such centres even in one round;
+  3. when a round finds few links, or few pairs are left, the nodes of buckets that still hold
+     several classes are joined by prefix filtering, which gives every pair of different
+     classes that can be similar enough. So no link of the candidates is lost, while
+     pairs within a class, which cannot change it, are never made.
 Links stay in tables; nothing of document size reaches the driver.
 
 Edge cases: null texts are empty; a text without a word is a class of its own row's node
@@ -132,10 +134,9 @@ def sketches(documents: DataFrame, words: int = WORDS, bands: int = BANDS, size:
     return table_rows(documents, doc_id="doc_id", text="text").mapInArrow(sketch, f"doc_id {kind}, node string, n long, keys array<long>")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Those pairs (a, b) of nodes whose sets of runs have the Jaccard similarity or more."""
-    need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "doc_id"), "node")
-    need = need.withColumnsRenamed({"node": "want", "doc_id": "id"})
+def run_sets(want: DataFrame, nodes: DataFrame, documents: DataFrame, words: int) -> DataFrame:
+    """(node, runs): the sorted distinct runs of the wanted nodes, as little-endian numbers."""
+    need = want.distinct().join(nodes.select("node", "doc_id"), "node").withColumnsRenamed({"node": "want", "doc_id": "id"})
     text = table_rows(documents, doc_id="doc_id", text="text").withColumn("text", F.coalesce("text", F.lit("")))
     # one row of each node: other copies have other ids and don't meet here
     text = text.join(need, F.col("doc_id").eqNullSafe(F.col("id")) & (F.md5("text") == F.col("want"))).select(F.col("want").alias("node"), "text")
@@ -150,7 +151,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, words: in
                 out += [h[cut[i] : cut[i + 1]].tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([b.column(0), binary(out)], ["node", "runs"])
 
-    runs = written(text.mapInArrow(sets, "node string, runs binary").dropDuplicates(["node"]), "runs")
+    return written(text.mapInArrow(sets, "node string, runs binary").dropDuplicates(["node"]), "runs")
+
+
+def verified(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) of nodes whose sets of runs have the Jaccard similarity or more."""
 
     def compare(batches):
         for b in batches:
@@ -170,28 +175,90 @@ def verified(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, words: in
     return written(joined.select("a", "b", "ra", "rb").mapInArrow(compare, "a string, b string"), "links")
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+
+def prefix_pairs(runs: DataFrame, own: DataFrame, similarity: float, counters: int = 1 << 20) -> DataFrame:
+    """All pairs (a, b) of nodes of different classes that can have the similarity, by prefix filtering.
+
+    In one order of all runs, two sets that similar share a run among the first
+    n - ceil(similarity * n) + 1 of each, whatever the order. Rare runs come first (frequencies in
+    a table of fixed size, counted by hash), and a shared run must come early enough in both, so
+    nodes of a large group meet only where they share nearly all that others don't."""
+
+    def count(batches):
+        total = np.zeros(counters, np.int64)
+        for b in batches:
+            for x in b.column(1):
+                np.add.at(total, (np.frombuffer(x.as_buffer(), np.uint64) % np.uint64(counters)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 1 << 16):
+            part = at[lo : lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], ["k", "n"])
+
+    seen = runs.mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).filter("n > 1").toPandas()  # at most `counters` rows
+    often = np.ones(counters, np.uint32)
+    often[seen["k"]] = np.minimum(seen["n"], 2**32 - 1)
+
+    def first(batches):
+        for b in batches:
+            run, node, size, place = [], [], [], []
+            for name, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                n = len(x) - math.ceil(similarity * len(x) - 1e-9) + 1 if len(x) else 0
+                run.append(x[np.lexsort((x, often[x % np.uint64(counters)]))[:n]].view(np.int64))
+                node += [name] * n
+                size += [len(x)] * n
+                place.append(np.arange(n))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(run) if run else [], pa.int64()), pa.array(node, pa.string()), pa.array(size, pa.int64()), pa.array(np.concatenate(place) if place else [], pa.int64())], ["run", "node", "n", "i"])
+
+    t = written(runs.mapInArrow(first, "run long, node string, n long, i long").join(own, "node"), "prefixes")
+    some = t.groupBy("run").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("run")
+    t = t.join(some, "run")
+    x = t.toDF("run", *(f"x{c}" for c in t.columns[1:]))
+    y = t.toDF("yrun", *(f"y{c}" for c in t.columns[1:]))
+    # after the first shared run, no more can be shared than what follows it in either set
+    rest = F.least(F.col("xn") - F.col("xi"), F.col("yn") - F.col("yi")) >= F.lit(similarity / (1 + similarity)) * (F.col("xn") + F.col("yn")) - 1e-6
+    fits = rest & (F.col("xnode") < F.col("ynode")) & (F.col("xc") != F.col("yc")) & (F.least("xn", "yn") >= similarity * F.greatest("xn", "yn"))
+    return x.join(y, (F.col("run") == F.col("yrun")) & fits).select(F.col("xnode").alias("a"), F.col("ynode").alias("b")).distinct()
+
+
+def merged(own: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (node, c) after the links (a, b) between nodes of different classes."""
+    a, b = own.toDF("a", "ca"), own.toDF("b", "cb")
+    between = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    to = components(between).toDF("c", "new")
+    return written(own.join(to, "c", "left").select("node", F.coalesce("new", "c").alias("c")), "classes")
+
+
 def classes(documents: DataFrame, words: int = WORDS, bands: int = BANDS, size: int = ROWS, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document row: doc_id, node, class_id (least doc_id of its near duplicates), n_copies of its exact text."""
     sketch = written(sketches(documents, words, bands, size), "sketches")
     nodes = written(sketch.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.max("n").alias("n"), F.max("keys").alias("keys")), "nodes")
     member = nodes.select("node", "n", F.explode("keys").alias("bucket"))
-    lead = member.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("in")).filter("`in` > 1").select("bucket", "lead")
-    member = written(member.join(lead, "bucket").select("bucket", "node", "n", "lead"), "buckets")
-    alike = F.least("n", F.col("lead.n")) >= similarity * F.greatest("n", F.col("lead.n"))
-    pairs = member.filter((F.col("node") != F.col("lead.node")) & alike).select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(written(pairs, "pairs"), nodes, documents, words, similarity)
-    own = written(components(links).withColumnsRenamed({"id": "cn", "class": "c"}), "classes")
-    m = member.join(own, F.col("node") == F.col("cn"), "left").select("bucket", "node", "n", "lead", F.coalesce("c", "node").alias("c"))
-    mixed = m.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("bucket")
-    m = written(m.join(mixed, "bucket"), "mixed")
-    leader = m.filter(F.col("node") == F.col("lead.node")).select("bucket", F.col("c").alias("lc"))
-    rest = m.join(leader, "bucket").filter("c <> lc").select("bucket", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-    # the least node was compared with all in step 2; of two nodes outside its class the lesser comes first
-    other = m.filter(F.col("node") != F.col("lead.node")).join(leader, "bucket").select("bucket", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("c").alias("yc"), (F.col("c") == F.col("lc")).alias("main"))
-    fits = (F.col("xc") != F.col("yc")) & (F.least("xn", "yn") >= similarity * F.greatest("xn", "yn")) & (F.col("main") | (F.col("x") < F.col("y")))
-    more = rest.join(other, (rest["bucket"] == other["bucket"]) & fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    links = links.unionByName(verified(written(more, "pairs"), nodes, documents, words, similarity))
-    comp = written(components(links).withColumnsRenamed({"id": "cn", "class": "c"}), "classes")
+    shared = member.groupBy("bucket").count().filter("count > 1").select("bucket")
+    member = written(member.join(shared, "bucket"), "buckets")
+    own = member.select("node", F.col("node").alias("c")).distinct()
+    alike = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y)
+    step, before, left = 0, float("inf"), member.withColumn("c", F.col("node"))
+    while True:
+        lead = left.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", "bucket", F.lit(step)).alias("h"), "node", "n", "c")).alias("lead"))
+        pairs = left.join(lead, "bucket").filter((F.col("c") != F.col("lead.c")) & alike(F.col("n"), F.col("lead.n")))
+        pairs = written(pairs.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct(), "pairs")
+        links = verified(pairs, run_sets(ends(pairs), nodes, documents, words), similarity)
+        own = merged(own, links)
+        left = member.join(own, "node")
+        size = left.groupBy("bucket", "c").count().groupBy("bucket").agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("same"))
+        left = written(left.join(size.filter("all * all > same"), "bucket").select("bucket", "node", "n", "c", "all", "same"), "mixed")
+        todo = left.agg(F.sum((F.col("all") - F.col("same") / F.col("all")) / 2).alias("pairs"), F.count("*").alias("rows")).first()
+        now = todo["pairs"] or 0.0
+        if not links.take(1) or now <= 2 * todo["rows"] or now > 0.7 * before:
+            break
+        step, before = step + 1, now
+    runs = run_sets(left.select("node"), nodes, documents, words)
+    more = written(prefix_pairs(runs, own, similarity), "pairs")
+    comp = written(merged(own, verified(more, runs, similarity)).withColumnsRenamed({"node": "cn"}), "classes")
     labelled = nodes.join(comp, F.col("node") == F.col("cn"), "left").select("node", "doc_id", "n_copies", F.coalesce("c", "node").alias("c"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "node")).alias("first")
     least = labelled.groupBy("c").agg(first).select("c", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("kept_node"))
