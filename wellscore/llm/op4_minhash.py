@@ -197,9 +197,14 @@ def prefix_pairs(runs: DataFrame, own: DataFrame, similarity: float, counters: i
             part = at[lo : lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], ["k", "n"])
 
-    seen = runs.mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).filter("n > 1").toPandas()  # at most `counters` rows
+    def pack(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([binary([np.asarray(c).astype(np.uint32).tobytes()]) for c in b.columns], ["k", "n"])
+
+    seen = runs.mapInArrow(count, "k long, n long").groupBy("k").agg(F.least(F.sum("n"), F.lit(2**32 - 1)).alias("n")).filter("n > 1")
     often = np.ones(counters, np.uint32)
-    often[seen["k"]] = np.minimum(seen["n"], 2**32 - 1)
+    for r in seen.mapInArrow(pack, "k binary, n binary").toLocalIterator():  # 8 bytes for each of at most `counters` rows
+        often[np.frombuffer(r["k"], np.uint32)] = np.frombuffer(r["n"], np.uint32)
 
     def first(batches):
         for b in batches:
