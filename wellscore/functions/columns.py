@@ -29,9 +29,9 @@ def clip(c: str | Column, lo, hi) -> Column:
 
 
 def norm(c: str | Column, max_val: float, min_val: float = 0.0) -> Column:
-    """Scale to [0, 1] by a known range and clip."""
+    """Scale to [0, 1] by a known range and clip; NaN counts as missing."""
     span = float(max_val - min_val)
-    return clip((col(c) - F.lit(min_val)) / F.lit(span), 0.0, 1.0)
+    return clip((F.nullif(col(c).cast("double"), F.lit(float("nan"))) - F.lit(min_val)) / F.lit(span), 0.0, 1.0)
 
 
 def inv(c: Column) -> Column:

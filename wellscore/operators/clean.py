@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellscore.functions.columns import is_missing
+from wellscore.functions.columns import is_missing, nan_to_null
 
 NUMERIC = ("int", "bigint", "smallint", "tinyint", "double", "float")
 
@@ -110,7 +110,8 @@ def _bounds_row(df: DataFrame, cols: list[str], threshold: float, approx: bool)
 
 
 def iqr_clip(df: DataFrame, cols: list[str], threshold: float = 1.5, approx: bool = False) -> DataFrame:
-    """Clip each column to its IQR bounds (as double); null stays null."""
+    """Clip each column to its IQR bounds (as double); null stays null, NaN becomes null."""
+    df = nan_to_null(df)
     b = _bounds_row(df, cols, threshold, approx)
     fixes = {}
     for c in cols:
@@ -122,6 +123,7 @@ def iqr_clip(df: DataFrame, cols: list[str], threshold: float = 1.5, approx: boo
 
 def outlier_counts(df: DataFrame, cols: list[str], threshold: float = 1.5, total_name: str = "__total__", approx: bool = False) -> DataFrame:
     """Long (column_name, n_clipped) of values outside the IQR bounds, plus a total row."""
+    df = nan_to_null(df)
     b = _bounds_row(df, cols, threshold, approx)
     aggs = []
     for c in cols:
@@ -132,7 +134,7 @@ def outlier_counts(df: DataFrame, cols: list[str], threshold: float = 1.5, total
     return wide.unpivot([], wide.columns, "column_name", "n_clipped")
 
 
-def categories(df: DataFrame, cols: list[str], max_categories: int = 1000) -> dict[str, list[str]]:
+def categories(df: DataFrame, cols: list[str], max_categories: int | None = None) -> dict[str, list[str]]:
     """Sorted distinct values per categorical column.
 
     One distinct-aggregate job per column, capped at ``max_categories + 1``
@@ -141,8 +143,9 @@ def categories(df: DataFrame, cols: list[str], max_categories: int = 1000) -> di
     """
     out = {}
     for c in cols:
-        vals = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_categories + 1).collect()]
-        if len(vals) > max_categories:
+        found = df.select(c).where(F.col(c).isNotNull()).distinct()
+        vals = [r[0] for r in (found if max_categories is None else found.limit(max_categories + 1)).collect()]
+        if max_categories is not None and len(vals) > max_categories:
             raise ValueError(f"{c} has more than {max_categories} categories; not a categorical column")
         out[c] = sorted(vals)
     return out

@@ -60,7 +60,8 @@ def contributions(df: DataFrame, features: list[str] | None = None, spec: Spec =
 
 
 def top_drivers(contrib: Column, n: int = 3) -> Column:
-    """Top-n by contribution, descending; ties keep input order (stable on the rounded value)."""
+    """Top-n by contribution, descending; ties keep input order (stable on the rounded value). Missing contributions don't rank."""
+    contrib = F.filter(contrib, lambda s: s["stress_contribution"].isNotNull())
     keyed = F.transform(contrib, lambda s: F.struct((-s["stress_contribution"]).alias("k"), s["pos"].alias("p"), s.alias("d")))
     ordered = F.array_sort(keyed)
     return F.transform(F.slice(ordered, 1, n), lambda s: s["d"])
@@ -79,7 +80,7 @@ def top_drivers_long(df: DataFrame, id_col: str = "respondent_id", n: int = 3, s
 
 def _value_text(c: Column, integral: bool = True) -> Column:
     """Raw value as text, as a Python ``str`` of an int (or float) would show it."""
-    return c.cast("bigint").cast("string") if integral else c.cast("string")
+    return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string")) if integral else c.cast("string")
 
 
 def driver_text(drivers: Column, integral_values: bool = True) -> Column:

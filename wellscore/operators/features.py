@@ -148,12 +148,13 @@ def score_by_label(df: DataFrame, label: str = "stress_level", labels=(0, 1, 2),
 
 
 def clip_score(c: Column) -> Column:
-    """Clip a prediction to [0, 100] and round to 2 digits."""
-    return round_half_even(F.least(F.greatest(c, F.lit(0.0)), F.lit(100.0)), 2)
+    """Clip a prediction to [0, 100] and round to 2 digits; null and NaN give null."""
+    return round_half_even(clip(F.nullif(c.cast("double"), F.lit(float("nan"))), 0.0, 100.0), 2)
 
 
 def risk_band(c: Column, low: float = 33.0, moderate: float = 66.0) -> Column:
-    return F.when(c <= F.lit(low), F.lit("Low")).when(c <= F.lit(moderate), F.lit("Moderate")).otherwise(F.lit("High"))
+    """Low, Moderate or High; a missing score has no band."""
+    return F.when(c <= F.lit(low), F.lit("Low")).when(c <= F.lit(moderate), F.lit("Moderate")).when(c.isNotNull(), F.lit("High"))
 
 
 # Fixed advice line per band (own wording).
@@ -165,7 +166,7 @@ BAND_ADVICE = {
 
 
 def band_advice(band: Column) -> Column:
-    return F.when(band == "Low", F.lit(BAND_ADVICE["Low"])).when(band == "Moderate", F.lit(BAND_ADVICE["Moderate"])).otherwise(F.lit(BAND_ADVICE["High"]))
+    return F.when(band == "Low", F.lit(BAND_ADVICE["Low"])).when(band == "Moderate", F.lit(BAND_ADVICE["Moderate"])).when(band == "High", F.lit(BAND_ADVICE["High"]))
 
 
 def score_features(df: DataFrame, spec: Spec = DEFAULT_SPEC) -> DataFrame:

@@ -13,7 +13,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellscore.functions.columns import grid_mean, round_half_even
+from wellscore.functions.columns import grid_mean, nan_to_null, round_half_even
 
 # Columns of the correlation report, in display order (fixed values).
 CORRELATION_COLUMNS = [
@@ -36,6 +36,7 @@ def histogram(df: DataFrame, c: str = "burnout_score", bins: int = 30) -> DataFr
     so counts agree with a NumPy-style histogram. Empty bins are kept.
     The range is one small global aggregate read before the counting pass.
     """
+    df = nan_to_null(df)
     x = F.col(c).cast("double")
     r = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
     if r["mn"] is None:
@@ -118,6 +119,7 @@ def correlation_pairs(df: DataFrame, cols: list[str] | None = None, digits: int
     is tiny and becomes the long (row_col, col_col, corr) table. A
     zero-variance column gives null, as a float correlation gives NaN.
     """
+    df = nan_to_null(df)
     cols = [c for c in (cols or CORRELATION_COLUMNS) if c in df.columns]
     k = len(cols)
     spark = df.sparkSession

@@ -51,15 +51,16 @@ def option_usage(answers: DataFrame, bank: DataFrame) -> DataFrame:
     return bank.join(counts, ["feature", "opt_idx"], "left").withColumn("n_answers", F.coalesce("n_answers", F.lit(0)).cast("bigint"))
 
 
-def answers_to_values(answers: DataFrame, bank: DataFrame) -> DataFrame:
+def answers_to_values(answers: DataFrame, bank: DataFrame, keep_invalid: bool = False) -> DataFrame:
     """Map (feature, 1-based option) -> value; unknown features and options drop out.
 
     Digit strings are accepted as option numbers. The bank side is a bounded
-    literal table: broadcast inner join, no shuffle of the answers.
+    literal table: broadcast join, no shuffle of the answers. With ``keep_invalid``
+    they stay with a null value, so that a respondent without a valid answer stays too.
     """
     a = answers.withColumn("opt_idx", F.col("opt_idx").try_cast("int"))
     b = bank.select("feature", "opt_idx", "value")
-    return a.join(F.broadcast(b), ["feature", "opt_idx"], "inner")
+    return a.join(F.broadcast(b), ["feature", "opt_idx"], "left" if keep_invalid else "inner")
 
 
 def rejected_answers(answers: DataFrame, bank: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def answers_wide(values: DataFrame, features: list[str], id_col: str = "responde
     reduced before the shuffle.
     """
     return values.groupBy(id_col).agg(
-        *[F.max_by(F.col("value"), F.when(F.col("feature") == f, F.col(order_col))).alias(f) for f in features]
+        *[F.max_by(F.col("value"), F.when((F.col("feature") == f) & F.col("value").isNotNull(), F.col(order_col))).alias(f) for f in features]
     )
 
 
@@ -216,7 +217,7 @@ def bank_span(bank: DataFrame, spec: Spec = DEFAULT_SPEC, low_frac: float = 0.4,
 
 def answers_end_to_end(answers: DataFrame, bank: DataFrame, frozen: tuple[float, float], spec: Spec = DEFAULT_SPEC, mid_bank: str = "A") -> DataFrame:
     """answers -> values -> wide -> midpoint fill -> scoring features -> score -> band."""
-    values = answers_to_values(answers, bank)
+    values = answers_to_values(answers, bank, keep_invalid=True)
     wide = answers_wide(values, spec.features)
     filled = fill_midpoint(wide, spec.features, mid_bank)
     scored = feat.formula_score(filled, spec, frozen=frozen)

@@ -106,7 +106,7 @@ def q_cv_r2(spark, sf):
     train, _ = md.split(e)
     import statistics
 
-    r2 = md.cv_r2(train, md.available_features(e), md.estimators(md.QUICK)["LinearRegression"])
+    r2 = md.cv_r2(train, md.available_features(e), md.estimators()["LinearRegression"])
     mean, std = round(statistics.fmean(r2), 4), round(statistics.pstdev(r2), 4)
     return spark.createDataFrame([(i, float(v), mean, std) for i, v in enumerate(r2)], "fold int, r2 double, cv_r2_mean double, cv_r2_std double")
 
@@ -190,10 +190,10 @@ def q_scan_csv_roundtrip(spark, sf):
 def q_model_roundtrip(spark, sf):
     e = _engineered(spark, sf)
     train, test = md.split(e)
-    model = md.make_pipeline(md.available_features(e), md.estimators(md.QUICK)["LinearRegression"]).fit(train)
+    model = md.make_pipeline(md.available_features(e), md.estimators()["LinearRegression"]).fit(train)
     path = io.save_model(model, scratch_path(spark, "model"))
     loaded = io.load_model(path)
-    records = io.with_missing_features(test.select("respondent_id", *SPEC.features, *SPEC.indices), io.model_features(loaded))
+    records = io.with_missing_features(feat.score_features(test.select("respondent_id", *SPEC.features)), io.model_features(loaded))
     return loaded.transform(records).select("respondent_id", feat.clip_score(F.col("prediction")).alias("burnout_score"))
 
 

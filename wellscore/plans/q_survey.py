@@ -66,15 +66,15 @@ def q_rejected_answers(spark, sf):
 
 
 def _wide_cte() -> str:
-    cols = ", ".join(f"max_by(value, answer_seq) FILTER (WHERE feature = '{f}') AS {f}" for f in SPEC.features)
+    cols = ", ".join(f"max_by(value, answer_seq) FILTER (WHERE feature = '{f}' AND value IS NOT NULL) AS {f}" for f in SPEC.features)
     return f"""WITH {ctes.answers()}, {bank_cte('A')},
-vals AS (SELECT a.*, b.value FROM answers a JOIN bankA b USING (feature, opt_idx)),
+vals AS (SELECT a.*, b.value FROM answers a LEFT JOIN bankA b USING (feature, opt_idx)),
 wide AS (SELECT respondent_id, {cols} FROM vals GROUP BY respondent_id)"""
 
 
 @query("answers_wide", "A4", lambda: f"{_wide_cte()} SELECT * FROM wide")
 def q_answers_wide(spark, sf):
-    return sv.answers_wide(sv.answers_to_values(fx.answers(spark, sf), _bank(spark)), SPEC.features)
+    return sv.answers_wide(sv.answers_to_values(fx.answers(spark, sf), _bank(spark), keep_invalid=True), SPEC.features)
 
 
 def _filled_cte() -> str:
@@ -85,7 +85,7 @@ def _filled_cte() -> str:
 
 @query("fill_midpoint", "A5", lambda: f"{_filled_cte()} SELECT * FROM filled")
 def q_fill_midpoint(spark, sf):
-    values = sv.answers_to_values(fx.answers(spark, sf), _bank(spark))
+    values = sv.answers_to_values(fx.answers(spark, sf), _bank(spark), keep_invalid=True)
     return sv.fill_midpoint(sv.answers_wide(values, SPEC.features), SPEC.features, "A")
 
 
