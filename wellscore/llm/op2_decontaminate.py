@@ -131,9 +131,9 @@ bu AS (SELECT *, array_to_string(win, ' ') AS wh FROM bw WHERE size - len(list_f
 need AS (SELECT item_id, count(DISTINCT wh) AS need FROM bu GROUP BY item_id),
 d AS (SELECT doc_id, o, list_transform(o, lambda w: CASE WHEN w[1] BETWEEN '0' AND '9' THEN '<number>' WHEN w[1] = chr(1) THEN '<name>' WHEN w IN ({_UNITS}) THEN '<unit>' ELSE w END) AS c
       FROM (SELECT doc_id, {_sql_words('text')} AS o FROM documents)),
-dw AS (SELECT doc_id, o, c, unnest(range(0, len(o))) AS pos FROM d),
-f AS (SELECT doc_id, item_id, wh, win, val, o[pos + 1 : pos + size] AS dval
-      FROM (SELECT dw.*, size AS s FROM dw, (SELECT DISTINCT size FROM bu)) q JOIN bu ON bu.size = q.s AND bu.wh = array_to_string(q.c[pos + 1 : pos + s], ' ')),
+dw AS (SELECT doc_id, size, unnest(range(0, len(c) - size + 1)) AS pos, unnest(list_transform(range(0, len(c) - size + 1), lambda i: array_to_string(c[i + 1 : i + size], ' '))) AS wh
+       FROM d, (SELECT DISTINCT size FROM bu)),
+f AS (SELECT dw.doc_id, item_id, bu.wh, win, val, d.o[pos + 1 : pos + bu.size] AS dval FROM dw JOIN bu ON bu.size = dw.size AND bu.wh = dw.wh JOIN d ON d.doc_id = dw.doc_id),
 v AS (SELECT doc_id, item_id, unnest(range(1, len(win) + 1)) AS i, win, val, dval FROM f),
 bad AS (SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, item_id, val[i] AS b FROM v WHERE win[i] IN ('<number>', '<name>', '<unit>') GROUP BY ALL HAVING count(DISTINCT dval[i]) > 1)),
 n AS (SELECT f.doc_id, f.item_id, count(DISTINCT wh) AS n FROM f LEFT JOIN bad ON bad.doc_id = f.doc_id AND bad.item_id = f.item_id
