@@ -84,6 +84,14 @@ def estimators(cfg: ModelConfig = FULL, label: str = TARGET_COL) -> dict:
     }
 
 
+def parameters(cfg: ModelConfig = FULL) -> dict[str, dict[str, float]]:
+    """The numeric parameters set on each estimator, for the run log."""
+    return {
+        name: {p.name: float(est.getOrDefault(p)) for p in est.params if est.isSet(p) and isinstance(est.getOrDefault(p), (int, float))}
+        for name, est in estimators(cfg).items()
+    }
+
+
 def make_pipeline(features: list[str], estimator) -> Pipeline:
     return Pipeline(
         stages=[
@@ -215,18 +223,22 @@ def evaluate_saved(dirs: dict[str, str], test: DataFrame, label: str = TARGET_CO
 
 
 def evaluate(models: dict[str, PipelineModel], test: DataFrame, label: str = TARGET_COL) -> DataFrame:
-    """Union of every model's test predictions, metrics grouped by model."""
+    """Union of every model's test predictions, metrics and residual statistics grouped by model."""
     preds = None
     for name, m in models.items():
         p = m.transform(test).select(F.lit(name).alias("model"), F.col(label), F.col("prediction"))
         preds = p if preds is None else preds.unionByName(p)
     e = F.col("prediction") - F.col(label)
     g = preds.groupBy("model").agg(
-        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("sse"), (F.var_pop(label) * F.count(label)).alias("sst")
-    )
+        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("sse"), (F.var_pop(label) * F.count(label)).alias("sst"),
+        F.avg(-e).alias("mean"), F.stddev_pop(e).alias("std"), F.max(F.abs(e)).alias("worst"),
+    )
     return g.select(
         "model",
         round_half_even(F.col("mae"), 4).alias("mae"),
         round_half_even(F.col("rmse"), 4).alias("rmse"),
         round_half_even(F.lit(1.0) - F.try_divide(F.col("sse"), F.col("sst")), 4).alias("r2"),
+        round_half_even(F.col("mean"), 4).alias("residual_mean"),
+        round_half_even(F.col("std"), 4).alias("residual_std"),
+        round_half_even(F.col("worst"), 4).alias("residual_max_abs"),
     )

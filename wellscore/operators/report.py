@@ -184,22 +184,28 @@ def label_names(c: Column, names: dict[int, str] | None = None) -> Column:
 
 def box_stats(df: DataFrame, group: str, c: str = "burnout_score", whis: float = 1.5, digits: int = 6, approx: bool = False) -> DataFrame:
     """Per group: quartiles, whiskers at the furthest point inside whis*IQR,
-    outlier count, notch (median +- 1.57*IQR/sqrt(n))."""
-    x = F.col(c).cast("double")
-    quart = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approx else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    q = df.groupBy(group).agg(
-        quart.alias("q"),
-        F.count(x).alias("n"),
-    )
+    outlier count, notch (median +- 1.57*IQR/sqrt(n)).
+
+    The data is reduced once to (group, value, count), summed on the map side, so a
+    group with most of the rows is no hot key; quartiles, whiskers and outliers come
+    from those counts (a 2-digit score has at most 10,001 values a group).
+    """
+    x = F.col("x")
+    values = nan_to_null(df).groupBy(group, F.col(c).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("k"))
+    if approx:
+        q = nan_to_null(df).groupBy(group).agg(F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], 10000).alias("q"), F.count(c).alias("n"))
+    else:
+        quart = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("k"))
+        q = values.groupBy(group).agg(quart.alias("q"), F.coalesce(F.sum(F.when(x.isNotNull(), F.col("k"))), F.lit(0)).alias("n"))
     q = q.select(group, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("med"), F.col("q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumns({"lo_lim": F.col("q1") - F.lit(whis) * iqr, "hi_lim": F.col("q3") + F.lit(whis) * iqr})
-    joined = df.select(group, x.alias("x")).join(q.select(group, "lo_lim", "hi_lim"), group)
-    inside = (F.col("x") >= F.col("lo_lim")) & (F.col("x") <= F.col("hi_lim"))
+    joined = values.join(q.select(group, "lo_lim", "hi_lim"), group)
+    inside = (x >= F.col("lo_lim")) & (x <= F.col("hi_lim"))
     w = joined.groupBy(group).agg(
-        F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
-        F.count(F.when(~inside, 1)).alias("n_outliers"),
+        F.min(F.when(inside, x)).alias("whisker_lo"),
+        F.max(F.when(inside, x)).alias("whisker_hi"),
+        F.coalesce(F.sum(F.when(~inside, F.col("k"))), F.lit(0)).alias("n_outliers"),
     )
     out = q.join(w, group)
     notch = F.lit(1.57) * (F.col("q3") - F.col("q1")) / F.sqrt(F.col("n").cast("double"))

@@ -45,10 +45,13 @@ def option_bank(spark: SparkSession, bank: str | None = None, spec: Spec = DEFAU
 
 
 def option_usage(answers: DataFrame, bank: DataFrame) -> DataFrame:
-    """How many answers picked each option of the bank (A1 over the data)."""
-    counts = answers.withColumn("opt_idx", F.col("opt_idx").try_cast("int")).groupBy("feature", "opt_idx").agg(F.count(F.lit(1)).alias("n_answers"))
-    # counts are pre-aggregated per (feature, option); the bank is the preserved side
-    return bank.join(counts, ["feature", "opt_idx"], "left").withColumn("n_answers", F.coalesce("n_answers", F.lit(0)).cast("bigint"))
+    """How many answers picked each option (A1 over the data).
+
+    ``answers`` name the bank of their sheet in ``bank``; an answer counts under that bank only.
+    """
+    counts = answers.withColumn("opt_idx", F.col("opt_idx").try_cast("int")).groupBy("bank", "feature", "opt_idx").agg(F.count(F.lit(1)).alias("n_answers"))
+    # counts are pre-aggregated per (bank, feature, option); the bank is the preserved side
+    return bank.join(counts, ["bank", "feature", "opt_idx"], "left").withColumn("n_answers", F.coalesce("n_answers", F.lit(0)).cast("bigint"))
 
 
 def answers_to_values(answers: DataFrame, bank: DataFrame, keep_invalid: bool = False) -> DataFrame:

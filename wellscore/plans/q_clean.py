@@ -30,7 +30,8 @@ def _imputed(spark, sf):
 
 
 def _deduped(spark, sf):
-    return cl.dedupe(_imputed(spark, sf))
+    """Written once per session: the all-column shuffle isn't repeated by the quartile pass."""
+    return stored(spark, ("deduped", sf), lambda: cl.dedupe(_imputed(spark, sf)))
 
 
 def _clip_cols(df):

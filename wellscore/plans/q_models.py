@@ -128,8 +128,9 @@ def _formula_pred(spark, sf):
     row = feat.frozen_range(r, SPEC).first()
     e = _engineered(spark, sf)
     _, test = md.split(e)
-    scored = feat.formula_score(test.drop(*SPEC.indices, TARGET_COL), SPEC, frozen=(row["mn"], row["mx"]))
-    return scored.select("respondent_id", F.col(TARGET_COL).alias("prediction")).join(test.select("respondent_id", TARGET_COL), "respondent_id")
+    known = test.withColumnRenamed(TARGET_COL, "label").drop(*SPEC.indices)  # the label stays in its row: no join back
+    scored = feat.formula_score(known, SPEC, frozen=(row["mn"], row["mx"]))
+    return scored.select("respondent_id", F.col(TARGET_COL).alias("prediction"), F.col("label").alias(TARGET_COL))
 
 
 @query("regression_metrics", "M9", lambda: f"""{_formula_pred_cte()}
@@ -159,9 +160,10 @@ def q_best_model(spark, sf):
 
 @query("evaluation_report", "M12")
 def q_evaluation_report(spark, sf):
-    _, fitted, model_dir = _trained(spark, sf)
+    metrics, fitted, model_dir = _trained(spark, sf)
     _, test = md.split(_engineered(spark, sf))
-    return md.evaluate_saved(md.saved_model_dirs(model_dir, list(fitted)), test)
+    best = md.best_model(metrics).first()["model"]  # one row
+    return md.evaluate_saved(md.saved_model_dirs(model_dir, list(fitted)), test).withColumn("best_model", F.lit(best))
 
 
 @query("feature_importance", "M14")
@@ -212,7 +214,7 @@ def q_run_log(spark, sf):
     metrics = _trained(spark, sf)[0]
     path = scratch_path(spark, "runlog")
     for _ in range(2):
-        io.append_run_log(metrics, path, uuid.uuid4().hex)
+        io.append_run_log(metrics, path, uuid.uuid4().hex, md.parameters(md.QUICK))
     return spark.read.parquet(path)
 
 

@@ -35,11 +35,14 @@ def _bank(spark, name: str | None = "A"):
     "option_bank",
     "A1",
     lambda: f"""WITH {ctes.answers()}, {bank_cte()},
-c AS (SELECT feature, opt_idx, count(*) AS n_answers FROM answers GROUP BY feature, opt_idx)
-SELECT b.*, CAST(coalesce(c.n_answers, 0) AS BIGINT) AS n_answers FROM bank b LEFT JOIN c USING (feature, opt_idx)""",
+c AS (SELECT substring('ABCDE', CAST(respondent_id % 5 AS INTEGER) + 1, 1) AS bank, feature, opt_idx, count(*) AS n_answers FROM answers GROUP BY 1, 2, 3)
+SELECT b.*, CAST(coalesce(c.n_answers, 0) AS BIGINT) AS n_answers FROM bank b
+LEFT JOIN c ON c.bank = b.bank AND c.feature = b.feature AND c.opt_idx = b.opt_idx""",
 )
 def q_option_bank(spark, sf):
-    return sv.option_usage(fx.answers(spark, sf), _bank(spark, None))
+    # sheets of all five banks: the fixture deals them by respondent
+    sheet = F.substring(F.lit("ABCDE"), (F.col("respondent_id") % 5).cast("int") + 1, F.lit(1))
+    return sv.option_usage(fx.answers(spark, sf).withColumn("bank", sheet), _bank(spark, None))
 
 
 @query(
