@@ -65,8 +65,6 @@ class ModelConfig:
 
 
 FULL = ModelConfig()
-# Small fits for the registered queries; FULL is the default of every function here.
-QUICK = ModelConfig(rf_trees=20, rf_depth=8, gbt_iters=15, gbt2_iters=15, gbt2_depth=5)
 
 
 def estimators(cfg: ModelConfig = FULL, label: str = TARGET_COL) -> dict:
@@ -155,20 +153,22 @@ def train_all(
     key: str = "respondent_id",
     with_cv: bool = True,
     model_dir: str | None = None,
+    fitted: dict[str, PipelineModel] | None = None,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every estimator on the train part, score the test part.
 
     Returns the metrics table (model, position, mae, rmse, r2, cv_r2_mean,
     cv_r2_std) and the fitted pipelines (saved under ``model_dir`` if given).
+    ``fitted`` may hold pipelines already fitted on this train part; they aren't fitted again.
     """
     import statistics
 
     features = available_features(df)
     train, test = split(df, key)
-    rows, fitted = [], {}
+    rows, fitted = [], dict(fitted or {})
     for pos, (name, est) in enumerate(estimators(cfg).items()):
         cv = cv_r2(train, features, est, key) if with_cv else []
-        model = make_pipeline(features, est).fit(train)
+        model = fitted.get(name) or make_pipeline(features, est).fit(train)
         m = regression_metrics(model.transform(test)).first()
         cv_mean = round(statistics.fmean(cv), 4) if cv else None
         cv_std = round(statistics.pstdev(cv), 4) if cv else None

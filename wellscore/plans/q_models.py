@@ -19,6 +19,7 @@ from wellscore.spec import DEFAULT_SPEC, MODEL_FEATURES, TARGET_COL
 
 SPEC = DEFAULT_SPEC
 _TRAINED: dict[tuple, tuple] = {}
+_FITTED: dict[tuple, dict] = {}
 
 
 def _split_sql(col: str = "respondent_id") -> str:
@@ -26,12 +27,12 @@ def _split_sql(col: str = "respondent_id") -> str:
 
 
 def _trained(spark, sf):
-    """Fit all models once per session (QUICK configuration) and keep them."""
+    """All models as configured, each fitted once per session (cross-validation of all is `train_all`'s default, see README)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
         e = _engineered(spark, sf)
         model_dir = scratch_path(spark, "models")
-        metrics, fitted = md.train_all(spark, e, md.QUICK, with_cv=False, model_dir=model_dir)
+        metrics, fitted = md.train_all(spark, e, with_cv=False, model_dir=model_dir, fitted=_fitted(spark, sf))
         _TRAINED[key] = (metrics.cache(), fitted, model_dir)
     return _TRAINED[key]
 
@@ -73,10 +74,15 @@ def q_standardize(spark, sf):
     return z.select("respondent_id", *[F.round(F.col(c), 6).alias(c) for c in MODEL_FEATURES])
 
 
+def _fitted(spark, sf) -> dict:
+    return _FITTED.setdefault((spark.sparkContext.applicationId, sf), {})
+
+
 def _fit_one(spark, sf, name):
     e = _engineered(spark, sf)
     train, test = md.split(e)
-    model = md.make_pipeline(md.available_features(e), md.estimators(md.QUICK)[name]).fit(train)
+    model = md.make_pipeline(md.available_features(e), md.estimators()[name]).fit(train)
+    _fitted(spark, sf)[name] = model
     return md.regression_metrics(model.transform(test)).withColumn("model", F.lit(name))
 
 
@@ -214,7 +220,7 @@ def q_run_log(spark, sf):
     metrics = _trained(spark, sf)[0]
     path = scratch_path(spark, "runlog")
     for _ in range(2):
-        io.append_run_log(metrics, path, uuid.uuid4().hex, md.parameters(md.QUICK))
+        io.append_run_log(metrics, path, uuid.uuid4().hex, md.parameters())
     return spark.read.parquet(path)
 
 
