@@ -114,6 +114,9 @@ _LETTER = _ALNUM.copy()
 _LETTER[48:58] = False
 _MARK = np.zeros(256, bool)
 _MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_VISIBLE = _ALNUM | _MARK
+_LEAD = np.zeros(256, bool)  # first byte of a Latin letter (or of the two signs between them)
+_LEAD[0xC3:0xCA] = True
 
 
 def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +127,7 @@ def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(buf)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    plain = _ALNUM[buf] | _MARK[buf]
-    lead = (buf >= 0xC3) & (buf <= 0xC9)  # first byte of a Latin letter (or of the two signs between them)
+    plain, lead = _VISIBLE[buf], _LEAD[buf]
     begins = plain | lead
     ends = plain.copy()
     ends[1:] |= (buf[1:] >= 0x80) & (buf[1:] < 0xC0) & lead[:-1]
@@ -155,43 +157,60 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        # bytes of a token, for byte-level vocabularies: a character of a token's name stands for one byte
+        self.width = np.array([len(self.tok.id_to_token(i) or "") for i in range(self.tok.get_vocab_size())], np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)  # sorted hashes of known pieces
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, h: np.ndarray, parts: list[bytes]) -> None:
-        """Add pieces. Words are encoded many at a time: those with a space before them in a row, others as lines."""
-        ids: list = [None] * len(parts)
-        solid = [_ALNUM[p[-1]] for p in parts]
-        spaced = [i for i, p in enumerate(parts) if solid[i] and len(p) > 1 and p[0] == 32 and _ALNUM[p[1]]]
-        lines = [i for i, p in enumerate(parts) if solid[i] and _ALNUM[p[0]]]
-        for own, sep in ((spaced, ""), (lines, "\n")):
+    def _learn(self, h: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        """Add pieces (h ascending). Many are encoded at a time where pieces() would cut them apart again:
+        those with a space before them in a row, others as lines. A block whose tokens don't begin where
+        its pieces do, and all other pieces, are encoded piece by piece."""
+        size = end - start
+        head, last = buf[start], buf[end - 1]
+        begins = _VISIBLE | _LEAD
+        ends = _VISIBLE[last] | ((size > 1) & (last >= 0x80) & (last < 0xC0) & _LEAD[buf[np.maximum(end - 2, 0)]])
+        spaced = ends & (head == 32) & (size > 1) & begins[buf[np.minimum(start + 1, len(buf) - 1)]]
+        alone = np.ones(len(h), bool)
+        first, count = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        got, base = [self.ids], len(self.ids)
+        for own, gap in ((np.flatnonzero(spaced), 0), (np.flatnonzero(ends & begins[head]), 1)):
             for lo in range(0, len(own), 8192):
                 part = own[lo : lo + 8192]
-                texts = [parts[i].decode() for i in part]
-                size = np.array([len(t) for t in texts])
-                start = np.cumsum(size + len(sep)) - size - len(sep)
-                e = self.tok.encode(sep.join(texts), add_special_tokens=False)
-                at = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-                a, b = np.searchsorted(at, start).tolist(), np.searchsorted(at, start + size).tolist()
-                all_ = e.ids
-                for k, i in enumerate(part):
-                    ids[i] = all_[a[k] : b[k]]
-        rest = [i for i, x in enumerate(ids) if x is None]
-        for i, e in zip(rest, self.tok.encode_batch([parts[i].decode() for i in rest], add_special_tokens=False), strict=True):
-            ids[i] = e.ids
-        count = np.array([len(x) for x in ids], np.int64)
-        first = len(self.ids) + np.cumsum(count) - count
-        self.ids = np.concatenate([self.ids, np.fromiter((y for x in ids for y in x), np.uint32, int(count.sum()))])
-        known, first, count = np.concatenate([self.known, h]), np.concatenate([self.first, first]), np.concatenate([self.count, count])
-        order = np.argsort(known)
-        self.known, self.first, self.count = known[order], first[order], count[order]
-
-    def encode(self, buf: np.ndarray, offs: np.ndarray, most: int = 4_000_000) -> tuple[np.ndarray, np.ndarray]:
+                n = size[part]
+                at = np.cumsum(n + gap) - n - gap
+                inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                raw = np.full(int(at[-1] + n[-1]), 10, np.uint8)
+                raw[np.repeat(at, n) + inside] = buf[np.repeat(start[part], n) + inside]
+                ids = np.array(self.tok.encode_batch_fast([raw.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+                past = np.cumsum(self.width[ids])
+                begin = past - self.width[ids]
+                a, b = np.searchsorted(begin, at), np.searchsorted(begin, at + n)
+                if past[-1] != len(raw) or (begin[a] != at).any() or (past[b - 1] != at + n).any():
+                    continue
+                first[part], count[part], alone[part] = base + a, b - a, False
+                got.append(ids)
+                base += len(ids)
+        rest = np.flatnonzero(alone)
+        if len(rest):
+            texts = [buf[i:j].tobytes().decode() for i, j in zip(start[rest].tolist(), end[rest].tolist(), strict=True)]
+            ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            count[rest] = [len(x) for x in ids]
+            first[rest] = base + np.cumsum(count[rest]) - count[rest]
+            got.append(np.fromiter((y for x in ids for y in x), np.uint32, int(count[rest].sum())))
+        self.ids = np.concatenate(got)
+        k = np.searchsorted(self.known, h)
+        self.known, self.first, self.count = np.insert(self.known, k, h), np.insert(self.first, k, first), np.insert(self.count, k, count)
+
+    def encode(self, buf: np.ndarray, offs: np.ndarray, most: int = 8_000_000) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and the number of each row's ids."""
         if len(self.ids) > most:  # bounds the worker's memory
-            self.known, self.first, self.count, self.ids = self.known[:0], self.first[:0], self.count[:0], self.ids[:0]
+            self._forget()
         start, end = pieces(buf, offs)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
@@ -202,7 +221,7 @@ class Encoder:
         k = np.minimum(np.searchsorted(self.known, u), max(0, len(self.known) - 1))
         new = self.known[k] != u if len(self.known) else np.ones(len(u), bool)
         if new.any():
-            self._learn(u[new], [buf[start[i] : end[i]].tobytes() for i in at[new]])
+            self._learn(u[new], buf, start[at[new]], end[at[new]])
         k = np.searchsorted(self.known, u)[inv]
         n = self.count[k]
         total = np.cumsum(n)
@@ -211,6 +230,16 @@ class Encoder:
         return out, np.bincount(row, n, len(offs) - 1).astype(np.int64)
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: what one task learned serves the next tasks of the same worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _filesystem(uri: str):
     from pyarrow import fs
 
@@ -240,7 +269,7 @@ def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2,
         fs, base = _filesystem(root)
         fs.create_dir(f"{base}/data", recursive=True)
         temp = f"{base}/data/_{part:06d}-{uuid.uuid4().hex}"
-        enc, out, at, seq = Encoder(tokenizer), None, 0, 0
+        enc, out, at, seq = encoder(tokenizer), None, 0, 0
         for b in batches:
             buf, offs = text_bytes(b.column(1))
             if out is None and len(offs) > 1:
