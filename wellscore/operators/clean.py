@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wellscore.functions.columns import is_missing, nan_to_null
+from wellscore.operators.quantiles import mode, quantiles
 
 NUMERIC = ("int", "bigint", "smallint", "tinyint", "double", "float")
 
@@ -38,26 +39,22 @@ def other_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 
 
 def missing_stats(df: DataFrame, approx: bool = False, key_cols: tuple[str, ...] = ()) -> dict:
-    """One aggregate: null count per column, median of numeric, mode of others.
+    """{column: (missing, fill)}: one aggregate counts what is missing; median or mode only where something is.
 
-    Key columns get a null count only (an exact median of a unique key would
-    buffer every distinct value).
+    Medians and modes come from distributed value counts (``approx``: medians from one bounded
+    sketch). Key columns get no fill.
     """
-    aggs = []
+    row = df.agg(*[F.sum(is_missing(df, c).cast("long")).alias(c) for c in df.columns]).first().asDict()
     num = set(numeric_columns(df))
-    for c in df.columns:
-        miss = is_missing(df, c)
-        aggs.append(F.sum(miss.cast("long")).alias(f"n__{c}"))
-        clean = F.when(~miss, F.col(c))
-        if c in key_cols:
-            aggs.append(F.lit(None).alias(f"fill__{c}"))
-        elif c in num:
-            med = F.percentile_approx(clean, 0.5, 10000) if approx else F.median(clean)
-            aggs.append(med.cast("double").alias(f"fill__{c}"))
-        else:
-            aggs.append(F.mode(clean, deterministic=True).alias(f"fill__{c}"))
-    row = df.agg(*aggs).first().asDict()
-    return {c: (row[f"n__{c}"] or 0, row[f"fill__{c}"]) for c in df.columns}
+    open_cols = [c for c in df.columns if row[c] and c not in key_cols]
+    fills = {c: mode(df, c) for c in open_cols if c not in num}
+    medians = [c for c in open_cols if c in num]
+    if medians and approx:
+        clean = [F.percentile_approx(F.when(~is_missing(df, c), F.col(c)), 0.5, 10000).cast("double").alias(c) for c in medians]
+        fills |= df.agg(*clean).first().asDict()
+    elif medians:
+        fills |= {r["column_name"]: r["value"] for r in quantiles(df, medians, [0.5]).collect()}  # one row per column
+    return {c: (row[c] or 0, fills.get(c)) for c in df.columns}
 
 
 def impute(
@@ -90,15 +87,16 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, cols: list[str], threshold: float = 1.5, approx: bool = False) -> DataFrame:
-    """Long (column_name, q1, q3, lower, upper) with linear quartiles, one aggregate."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = F.percentile_approx(x, [0.25, 0.75], 10000) if approx else F.percentile(x, F.array(F.lit(0.25), F.lit(0.75)))
-        aggs.append(q.alias(c))
-    wide = df.agg(*aggs)
+    """Long (column_name, q1, q3, lower, upper) with linear quartiles; nulls for a column without values."""
+    names = F.array(*[F.lit(c) for c in cols])
+    if approx:
+        wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], 10000).alias(c) for c in cols])
+        long = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c)[0].alias("q1"), F.col(c)[1].alias("q3")) for c in cols])))
+    else:
+        q = quantiles(df, cols, [0.25, 0.75]).groupBy("column_name")
+        q = q.agg(F.max(F.when(F.col("prob") < 0.5, F.col("value"))).alias("q1"), F.max(F.when(F.col("prob") > 0.5, F.col("value"))).alias("q3"))
+        long = df.sparkSession.range(1).select(F.explode(names).alias("column_name")).join(q, "column_name", "left")
     t = F.lit(float(threshold))
-    long = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c)[0].alias("q1"), F.col(c)[1].alias("q3")) for c in cols])))
     iqr = F.col("q3") - F.col("q1")
     return long.withColumns({"lower": F.col("q1") - t * iqr, "upper": F.col("q3") + t * iqr})
 

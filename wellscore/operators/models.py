@@ -135,15 +135,32 @@ def residual_stats(df: DataFrame, label: str = TARGET_COL, pred: str = "predicti
     )
 
 
-def cv_r2(train: DataFrame, features: list[str], estimator, key: str = "respondent_id", folds: int = 5, label: str = TARGET_COL) -> list[float]:
-    """R^2 per fold: fit on the other folds, score the held-out fold (folds from the key hash)."""
-    f = train.withColumn("__fold", fold_of(F.col(key), folds))
-    out = []
-    for k in range(folds):
-        model = make_pipeline(features, estimator.copy()).fit(f.where(F.col("__fold") != k))
-        m = regression_metrics(model.transform(f.where(F.col("__fold") == k)), label, digits=12).first()
-        out.append(m["r2"])
-    return out
+def cv_r2(
+    train: DataFrame, features: list[str], ests: dict, key: str = "respondent_id", folds: int = 5, label: str = TARGET_COL, parallelism: int = 8
+) -> dict[str, list[float]]:
+    """R^2 of every estimator and fold: fit on the other folds, score the held-out one (folds from the key hash).
+
+    The train part is kept once for all fits; ``parallelism`` fits run at a time, each a Spark job of its own.
+    """
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
+    f = train.select(*features, label, fold_of(F.col(key), folds).alias("__fold")).persist()
+
+    @inheritable_thread_target(train.sparkSession)
+    def one(job: tuple[str, int]) -> float:
+        name, k = job
+        model = make_pipeline(features, ests[name].copy()).fit(f.where(F.col("__fold") != k))
+        return regression_metrics(model.transform(f.where(F.col("__fold") == k)), label, digits=12).first()["r2"]
+
+    jobs = [(name, k) for name in ests for k in range(folds)]
+    try:
+        with ThreadPool(parallelism) as pool:
+            r2 = dict(zip(jobs, pool.map(one, jobs, chunksize=1), strict=True))
+    finally:
+        f.unpersist()
+    return {name: [r2[name, k] for k in range(folds)] for name in ests}
 
 
 def train_all(
@@ -151,33 +168,26 @@ def train_all(
     df: DataFrame,
     cfg: ModelConfig = FULL,
     key: str = "respondent_id",
-    with_cv: bool = True,
     model_dir: str | None = None,
     fitted: dict[str, PipelineModel] | None = None,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit every estimator on the train part, score the test part.
 
-    Returns the metrics table (model, position, mae, rmse, r2, cv_r2_mean,
-    cv_r2_std) and the fitted pipelines (saved under ``model_dir`` if given).
+    Returns the metrics table (model, position, mae, rmse, r2; ``with_cv`` adds the
+    cross-validated columns) and the fitted pipelines (saved under ``model_dir`` if given).
     ``fitted`` may hold pipelines already fitted on this train part; they aren't fitted again.
     """
-    import statistics
-
     features = available_features(df)
     train, test = split(df, key)
     rows, fitted = [], dict(fitted or {})
     for pos, (name, est) in enumerate(estimators(cfg).items()):
-        cv = cv_r2(train, features, est, key) if with_cv else []
         model = fitted.get(name) or make_pipeline(features, est).fit(train)
         m = regression_metrics(model.transform(test)).first()
-        cv_mean = round(statistics.fmean(cv), 4) if cv else None
-        cv_std = round(statistics.pstdev(cv), 4) if cv else None
-        rows.append((name, pos, m["mae"], m["rmse"], m["r2"], cv_mean, cv_std))
+        rows.append((name, pos, m["mae"], m["rmse"], m["r2"]))
         fitted[name] = model
         if model_dir:
             model.write().overwrite().save(f"{model_dir}/{name.lower()}_model")
-    schema = "model string, position int, mae double, rmse double, r2 double, cv_r2_mean double, cv_r2_std double"
-    metrics = spark.createDataFrame(rows, schema)
+    metrics = spark.createDataFrame(rows, "model string, position int, mae double, rmse double, r2 double")
     if model_dir and rows:
         # the best model (highest R^2, first on ties) is also kept as its own copy
         best = max(rows, key=lambda r: (r[4] if r[4] is not None else float("-inf"), -r[1]))[0]
@@ -185,6 +195,15 @@ def train_all(
     return metrics, fitted
 
 
+def with_cv(metrics: DataFrame, cv: dict[str, list[float]]) -> DataFrame:
+    """The metrics table with cv_r2_mean and cv_r2_std (population) of every model."""
+    import statistics
+
+    rows = [(name, round(statistics.fmean(r2), 4), round(statistics.pstdev(r2), 4)) for name, r2 in cv.items()]
+    stats = metrics.sparkSession.createDataFrame(rows, "model string, cv_r2_mean double, cv_r2_std double")
+    return metrics.join(F.broadcast(stats), "model", "left")
+
+
 BEST_MODEL_DIR = "best_model"
 
 

@@ -31,7 +31,7 @@ def _imputed(spark, sf):
 
 def _deduped(spark, sf):
     """Written once per session: the all-column shuffle isn't repeated by the quartile pass."""
-    return stored(spark, ("deduped", sf), lambda: cl.dedupe(_imputed(spark, sf)))
+    return stored(spark, "deduped", sf, lambda: cl.dedupe(_imputed(spark, sf)), SPEC)
 
 
 def _clip_cols(df):
@@ -166,4 +166,4 @@ def q_correlation_clean(spark, sf):
         cleaned = cl.clean(fx.respondents_dirty(spark, sf), "iqr", IQR_THRESHOLD, key_cols=KEY, materialize=_materialize(spark, sf, "deduped"))
         return feat.engineer(cleaned, SPEC)
 
-    return rep.correlation_pairs(stored(spark, ("engineered_clean", sf), build))
+    return rep.correlation_pairs(stored(spark, "engineered_clean", sf, build, SPEC))

@@ -12,6 +12,7 @@ from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
 from wellscore.plans.q_report import _engineered
 from wellscore.plans.registry import query
+from wellscore.plans.stored import input_state
 from wellscore.session import scratch_path
 from wellscore.sources import fixtures as fx
 from wellscore.sources import io
@@ -20,6 +21,11 @@ from wellscore.spec import DEFAULT_SPEC, MODEL_FEATURES, TARGET_COL
 SPEC = DEFAULT_SPEC
 _TRAINED: dict[tuple, tuple] = {}
 _FITTED: dict[tuple, dict] = {}
+_CV: dict[tuple, dict] = {}
+
+
+def _session_key(spark, sf) -> tuple:
+    return (spark.sparkContext.applicationId, sf, input_state(spark, sf), repr(SPEC))
 
 
 def _split_sql(col: str = "respondent_id") -> str:
@@ -27,16 +33,29 @@ def _split_sql(col: str = "respondent_id") -> str:
 
 
 def _trained(spark, sf):
-    """All models as configured, each fitted once per session (cross-validation of all is `train_all`'s default, see README)."""
-    key = (spark.sparkContext.applicationId, sf)
+    """All models as configured, each fitted once per session."""
+    key = _session_key(spark, sf)
     if key not in _TRAINED:
         e = _engineered(spark, sf)
         model_dir = scratch_path(spark, "models")
-        metrics, fitted = md.train_all(spark, e, with_cv=False, model_dir=model_dir, fitted=_fitted(spark, sf))
+        metrics, fitted = md.train_all(spark, e, model_dir=model_dir, fitted=_fitted(spark, sf))
         _TRAINED[key] = (metrics.cache(), fitted, model_dir)
     return _TRAINED[key]
 
 
+def _cv(spark, sf) -> dict[str, list[float]]:
+    """R^2 per model and fold, all models as configured; once per session."""
+    key = _session_key(spark, sf)
+    if key not in _CV:
+        e = _engineered(spark, sf)
+        _CV[key] = md.cv_r2(md.split(e)[0], md.available_features(e), md.estimators())
+    return _CV[key]
+
+
+def _validated(spark, sf):
+    return md.with_cv(_trained(spark, sf)[0], _cv(spark, sf))
+
+
 # --- M ------------------------------------------------------------------------------
 
 
@@ -75,7 +94,7 @@ def q_standardize(spark, sf):
 
 
 def _fitted(spark, sf) -> dict:
-    return _FITTED.setdefault((spark.sparkContext.applicationId, sf), {})
+    return _FITTED.setdefault(_session_key(spark, sf), {})
 
 
 def _fit_one(spark, sf, name):
@@ -108,13 +127,9 @@ def q_model_gbt_sub(spark, sf):
 
 @query("cv_r2", "M8")
 def q_cv_r2(spark, sf):
-    e = _engineered(spark, sf)
-    train, _ = md.split(e)
-    import statistics
-
-    r2 = md.cv_r2(train, md.available_features(e), md.estimators()["LinearRegression"])
-    mean, std = round(statistics.fmean(r2), 4), round(statistics.pstdev(r2), 4)
-    return spark.createDataFrame([(i, float(v), mean, std) for i, v in enumerate(r2)], "fold int, r2 double, cv_r2_mean double, cv_r2_std double")
+    cv = _cv(spark, sf)
+    folds = spark.createDataFrame([(name, i, v) for name, r2 in cv.items() for i, v in enumerate(r2)], "model string, fold int, r2 double")
+    return md.with_cv(folds, cv)
 
 
 def _formula_pred_cte() -> str:
@@ -156,7 +171,7 @@ def q_residual_stats(spark, sf):
 
 @query("train_all", "M10")
 def q_train_all(spark, sf):
-    return _trained(spark, sf)[0]
+    return _validated(spark, sf)
 
 
 @query("best_model", "M11")
@@ -207,7 +222,7 @@ def q_model_roundtrip(spark, sf):
 
 @query("metrics_summary", "S5")
 def q_metrics_summary(spark, sf):
-    metrics = _trained(spark, sf)[0]
+    metrics = _validated(spark, sf)
     path = scratch_path(spark, "metrics")
     io.write_metrics(metrics, path)
     back = io.read_metrics(spark, path)
@@ -217,7 +232,7 @@ def q_metrics_summary(spark, sf):
 
 @query("run_log", "S6")
 def q_run_log(spark, sf):
-    metrics = _trained(spark, sf)[0]
+    metrics = _validated(spark, sf)
     path = scratch_path(spark, "runlog")
     for _ in range(2):
         io.append_run_log(metrics, path, uuid.uuid4().hex, md.parameters())

@@ -21,7 +21,7 @@ DIRTY_COLS = ["respondent_id", *SPEC.features, "stress_level", "cohort"]
 
 def _engineered(spark, sf):
     """The engineered table, written once per session and re-read (as the report stage does)."""
-    return stored(spark, ("engineered", sf), lambda: feat.engineer(fx.respondents(spark, sf), SPEC))
+    return stored(spark, "engineered", sf, lambda: feat.engineer(fx.respondents(spark, sf), SPEC), SPEC)
 
 
 # --- V ------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
 from wellscore.plans.q_survey import bank_cte
 from wellscore.plans.registry import query
+from wellscore.plans.stored import input_state
 from wellscore.sources import fixtures as fx
 from wellscore.spec import DEFAULT_SPEC, INDICATORS
 from wellscore.streaming import stream as st
@@ -19,8 +20,16 @@ TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DUCK_FMT = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
-def _events(spark, sf):
-    return fx.spread(spark.read.parquet(f"{sf}/events.parquet"))
+_INPUT: dict[tuple, tuple[str, int]] = {}
+
+
+def _stream(spark, sf, kind, repeat_every=0):
+    """A stream over the events as answers or records; its files are written once per session."""
+    key = (spark.sparkContext.applicationId, sf, input_state(spark, sf, "events"), kind, repeat_every)
+    if key not in _INPUT:
+        rows = {"answers": st.answer_events, "records": st.record_events}[kind](spark.read.parquet(f"{sf}/events.parquet"))
+        _INPUT[key] = st.write_event_files(spark, rows, repeat_every=repeat_every)
+    return st.read_events(spark, *_INPUT[key])
 
 
 def _frozen(spark, sf):
@@ -30,9 +39,12 @@ def _frozen(spark, sf):
 
 def _answer_events_sql() -> str:
     sizes = ", ".join(str(fx.BANK_A_SIZES[f]) for f, _, _ in INDICATORS)
-    return f"""ev AS (SELECT event_id, user_id AS respondent_id, CAST(event_id % 20 AS INTEGER) AS question,
-  CAST(1 + CAST(json_extract_string(props, '$.k') AS BIGINT) % ([{sizes}])[CAST(event_id % 20 AS INTEGER) + 1] AS INTEGER) AS opt_idx,
-  event_type, CAST(ts AS TIMESTAMP) AS ts FROM events)"""
+    sheet = f"event_id % {st.SHEET_EVERY} = 0"
+    return f"""asked AS (SELECT *, unnest(CASE WHEN {sheet} THEN range(20) ELSE [event_id % 20] END) AS q,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+ev AS (SELECT event_id, user_id AS respondent_id, CAST(q AS INTEGER) AS question,
+  CAST(1 + (k + CASE WHEN {sheet} THEN q ELSE 0 END) % ([{sizes}])[CAST(q AS INTEGER) + 1] AS INTEGER) AS opt_idx,
+  event_type, CAST(ts AS TIMESTAMP) AS ts FROM asked)"""
 
 
 def _scored_events_sql() -> str:
@@ -53,9 +65,7 @@ banded AS (SELECT *, {S.band_expr('burnout_score')} AS risk_level FROM scored)""
 
 @query("stream_score", "ST1", lambda: f"{_scored_events_sql()} SELECT event_id, burnout_score, risk_level FROM banded")
 def q_stream_score(spark, sf):
-    path = st.write_event_files(spark, _events(spark, sf))
-    # stateless: file order does not matter, so all files may go in one micro-batch
-    out = st.run_to_table(spark, st.score_stream(st.read_events(spark, path, files_per_trigger=8), _frozen(spark, sf), SPEC), "st1")
+    out = st.run_to_table(spark, st.score_stream(_stream(spark, sf, "records"), _frozen(spark, sf), SPEC), "st1")
     return out.select("event_id", "burnout_score", "risk_level")
 
 
@@ -66,22 +76,21 @@ def _sessions_sql(gap_h: int = 2, delay_h: int = 1) -> str:
     return f"""WITH {_answer_events_sql()}, {bank_cte('A')},
 vals AS (SELECT ev.*, b.value, b.feature FROM ev JOIN (VALUES {qmap}) q(question, feature) USING (question)
          JOIN bankA b ON b.feature = q.feature AND b.opt_idx = ev.opt_idx),
-s1 AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY respondent_id ORDER BY ts) IS NULL
-                       OR ts - lag(ts) OVER (PARTITION BY respondent_id ORDER BY ts) >= INTERVAL {gap_h} HOUR THEN 1 ELSE 0 END AS new_s FROM vals),
-s2 AS (SELECT *, sum(new_s) OVER (PARTITION BY respondent_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s1),
+s1 AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY respondent_id ORDER BY ts, event_id, question) IS NULL
+                       OR ts - lag(ts) OVER (PARTITION BY respondent_id ORDER BY ts, event_id, question) >= INTERVAL {gap_h} HOUR THEN 1 ELSE 0 END AS new_s FROM vals),
+s2 AS (SELECT *, sum(new_s) OVER (PARTITION BY respondent_id ORDER BY ts, event_id, question ROWS UNBOUNDED PRECEDING) AS sid FROM s1),
 sess AS (SELECT respondent_id, min(ts) AS s_start, max(ts) + INTERVAL {gap_h} HOUR AS s_end, count(*) AS n_events, {vals_f}
          FROM s2 GROUP BY respondent_id, sid),
 wm AS (SELECT max(ts) - INTERVAL {delay_h} HOUR AS wm FROM vals)
 SELECT respondent_id, strftime(s_start, {DUCK_FMT}) AS session_start, strftime(s_end, {DUCK_FMT}) AS session_end, n_events,
        CAST({answered} AS INTEGER) AS n_answered, {', '.join(SPEC.features)}
-FROM sess, wm WHERE s_end <= wm.wm"""
+FROM sess, wm WHERE s_end <= wm.wm AND {answered} = {len(SPEC.features)}"""
 
 
 @query("stream_answers", "ST2", _sessions_sql)
 def q_stream_answers(spark, sf):
-    path = st.write_event_files(spark, _events(spark, sf))
     bank = sv.option_bank(spark, "A", SPEC)
-    out = st.run_to_table(spark, st.assemble_answers(st.read_events(spark, path), bank, "2 hours", "1 hour", SPEC), "st2")
+    out = st.run_to_table(spark, st.assemble_answers(_stream(spark, sf, "answers"), bank, "2 hours", "1 hour", SPEC), "st2")
     return out.withColumns({"session_start": F.date_format("session_start", TS_FMT), "session_end": F.date_format("session_end", TS_FMT)})
 
 
@@ -91,8 +100,7 @@ def q_stream_answers(spark, sf):
     lambda: f"WITH {_answer_events_sql()} SELECT DISTINCT event_id, respondent_id, question, opt_idx FROM ev",
 )
 def q_stream_dedupe(spark, sf):
-    path = st.write_event_files(spark, _events(spark, sf), repeat_every=2)
-    out = st.run_to_table(spark, st.dedupe_stream(st.read_events(spark, path)), "st3")
+    out = st.run_to_table(spark, st.dedupe_stream(_stream(spark, sf, "answers", repeat_every=2)), "st3")
     return out.select("event_id", "respondent_id", "question", "opt_idx")
 
 
@@ -106,8 +114,7 @@ SELECT strftime(ws, {DUCK_FMT}) AS window_start, strftime(ws + INTERVAL 1 DAY, {
 FROM g, wm WHERE ws + INTERVAL 1 DAY <= wm.wm""",
 )
 def q_stream_risk_window(spark, sf):
-    path = st.write_event_files(spark, _events(spark, sf))
-    scored = st.score_stream(st.read_events(spark, path), _frozen(spark, sf), SPEC)
+    scored = st.score_stream(_stream(spark, sf, "records"), _frozen(spark, sf), SPEC)
     tz = spark.conf.get("spark.sql.session.timeZone")  # events carry wall-clock times
     out = st.run_to_table(spark, st.band_windows(scored, "1 day", "1 hour", wall_clock_tz=tz), "st4")
     return out.withColumns({"window_start": F.date_format("window_start", TS_FMT), "window_end": F.date_format("window_end", TS_FMT)})

@@ -5,6 +5,7 @@ every later stage reads them back. Here the same tables are written as
 parquet under the shared checkpoint folder (``spark.checkpoint.dir``) and
 re-read, which cuts the lineage (a lost executor re-reads files instead of
 recomputing the chain) and gives later scans column pruning and pushdown.
+A table is built again when its input files or its spec change.
 """
 
 from __future__ import annotations
@@ -18,11 +19,18 @@ from wellscore.session import scratch_path
 _MEMO: dict[tuple, str] = {}
 
 
-def stored(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    memo_key = (spark.sparkContext.applicationId, *key)
+def input_state(spark: SparkSession, sf_dir: str, name: str = "orders") -> int:
+    """Hash of the names, sizes and times of a table's files (the driver's listing, no scan)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return hash(tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)))
+
+
+def stored(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame], spec: object = None, table: str = "orders") -> DataFrame:
+    memo_key = (spark.sparkContext.applicationId, name, sf_dir, input_state(spark, sf_dir, table), repr(spec))
     path = _MEMO.get(memo_key)
     if path is None:
-        path = scratch_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
+        path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)
         _MEMO[memo_key] = path
     return spark.read.parquet(path)

@@ -89,19 +89,8 @@ def answers_sql() -> str:
 # ---------------------------------------------------------------------------
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    The per-row survey arithmetic is CPU-heavy; a small file stored as one
-    row group would otherwise run in a single task. Large inputs already have
-    at least that many splits and are left alone (no extra shuffle).
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority"))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
 
 
 def respondents(spark: SparkSession, sf_dir: str) -> DataFrame:

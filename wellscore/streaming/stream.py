@@ -19,74 +19,69 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wellscore.operators import features as feat
 from wellscore.session import scratch_path
 from wellscore.sources.fixtures import BANK_A_SIZES, respondent_exprs
 from wellscore.spec import DEFAULT_SPEC, INDICATORS, Spec
 
-EVENT_SCHEMA = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("respondent_id", T.LongType()),
-        T.StructField("question", T.IntegerType()),
-        T.StructField("opt_idx", T.IntegerType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("ts", T.TimestampType()),
-    ]
-)
+#: Every event whose id is a multiple of this submits a whole answer sheet, the others one answer.
+SHEET_EVERY = 9
+
+
+def record_events(events: DataFrame) -> DataFrame:
+    """Events as records to score, time as a TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
+    return events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
 
 
 def answer_events(events: DataFrame) -> DataFrame:
-    """Events as survey answers: respondent = user, question = event_id % 20,
-    option = 1 + k % n (k from the JSON props), time as a TIMESTAMP (watermarks
-    reject TIMESTAMP_NTZ)."""
+    """Events as survey answers: respondent = user, option from k in the JSON props. A sheet event
+    answers every question, any other the question event_id % 20."""
     sizes = F.array(*[F.lit(BANK_A_SIZES[f]) for f, _, _ in INDICATORS])
-    q = (F.col("event_id") % 20).cast("int")
+    sheet = F.col("event_id") % SHEET_EVERY == 0
+    asked = F.when(sheet, F.sequence(F.lit(0), F.lit(len(INDICATORS) - 1))).otherwise(F.array((F.col("event_id") % len(INDICATORS)).cast("int")))
     k = F.get_json_object("props", "$.k").try_cast("bigint")  # a malformed record must not fail the job
-    return events.select(
+    rows = events.select("event_id", "user_id", "event_type", "ts", F.explode(asked).alias("question"), k.alias("k"), sheet.alias("sheet"))
+    q = F.col("question")
+    turn = F.col("k") + F.when(F.col("sheet"), q).otherwise(F.lit(0))
+    return rows.select(
         "event_id",
         F.col("user_id").alias("respondent_id"),
-        q.alias("question"),
-        (F.lit(1) + F.pmod(k, F.element_at(sizes, q + 1).cast("bigint"))).cast("int").alias("opt_idx"),
+        "question",
+        (F.lit(1) + F.pmod(turn, F.element_at(sizes, q + 1).cast("bigint"))).cast("int").alias("opt_idx"),
         "event_type",
         F.col("ts").cast("timestamp").alias("ts"),
     )
 
 
-def write_event_files(spark: SparkSession, events: DataFrame, n_files: int = 8, repeat_every: int = 0) -> str:
-    """Write the events as ``n_files`` parquet files in event-time order, one
-    after the other, into a fresh folder under the checkpoint folder.
+def write_event_files(spark: SparkSession, rows: DataFrame, n_slices: int = 8, rows_per_file: int = 1_000_000, repeat_every: int = 0) -> tuple[str, int]:
+    """Write the rows as slices of event time, one after the other, into a fresh folder; (folder, files per slice).
 
-    ``repeat_every=k`` appends every k-th slice a second time right after it
-    (repeated submissions for the dedupe stream).
+    Slices hold about equally many rows and are written by all executors: their number of files grows
+    with the rows, and a micro-batch of that many files is one slice. ``repeat_every=k`` appends every
+    k-th slice a second time right after it (repeated submissions for the dedupe stream).
     """
-    rows = answer_events(events)
     path = scratch_path(spark, "stream-in")
-    r = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    if r["lo"] is None:
-        rows.limit(0).write.mode("append").parquet(path)
-        return path
-    lo, hi = F.lit(r["lo"]), F.lit(r["hi"])
-    span = F.unix_micros(hi) - F.unix_micros(lo) + F.lit(1)
-    slice_of = ((F.unix_micros("ts") - F.unix_micros(lo)) * F.lit(n_files) / span).cast("int")
-    # the slices are written one after the other (file order = event-time
-    # order); the sliced rows are kept for the writes instead of re-scanned
-    sliced = rows.withColumn("__slice", slice_of).persist()
+    us = F.unix_micros("ts")
+    cuts = rows.agg(F.percentile_approx(us, [i / n_slices for i in range(1, n_slices)], 10000).alias("c")).first()["c"]
+    cuts = sorted(set(cuts or []))
+    slice_of = sum(((us > c).cast("int") for c in cuts), F.lit(0))
+    sliced = rows.withColumn("__slice", F.coalesce(slice_of, F.lit(0))).persist()
     try:
-        for i in range(n_files):
-            part = sliced.where(F.col("__slice") == i).drop("__slice").coalesce(1)
-            part.write.mode("append").parquet(path)
-            if repeat_every and i % repeat_every == 0:
+        sizes = {r[0]: r[1] for r in sliced.groupBy("__slice").count().collect()}  # one row per slice
+        files = max(1, min(max(sizes.values()) // rows_per_file, min(sizes.values()) // 1000)) if sizes else 1
+        for i in range(len(cuts) + 1):
+            part = sliced.where(F.col("__slice") == i).drop("__slice")
+            part = part.repartition(files) if files > 1 else part.coalesce(1)
+            for _ in range(2 if repeat_every and i % repeat_every == 0 else 1):
                 part.write.mode("append").parquet(path)
     finally:
         sliced.unpersist()
-    return path
+    return path, files
 
 
 def read_events(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -105,8 +100,8 @@ def score_stream(stream: DataFrame, frozen: tuple[float, float], spec: Spec = DE
     return scored.select(F.col("respondent_id").alias("event_id"), "ts", "burnout_score", "risk_level")
 
 
-def assemble_answers(stream: DataFrame, bank: DataFrame, gap: str = "2 hours", delay: str = "1 hour", spec: Spec = DEFAULT_SPEC) -> DataFrame:
-    """ST2: per respondent and session window, the last value per question.
+def assemble_answers(stream: DataFrame, bank: DataFrame, gap: str = "2 hours", delay: str = "1 hour", spec: Spec = DEFAULT_SPEC, complete: bool = True) -> DataFrame:
+    """ST2: per respondent and session window, the last value per question; only complete sheets unless ``complete`` is off.
 
     The bank is a bounded static table (stream-static broadcast join).
     Streaming has no ``pivot``; one filtered ``max_by`` per question instead.
@@ -117,6 +112,8 @@ def assemble_answers(stream: DataFrame, bank: DataFrame, gap: str = "2 hours", d
     aggs = [F.max_by(F.col("value"), F.when(F.col("feature") == f, F.col("ts"))).alias(f) for f in spec.features]
     out = w.agg(F.count(F.lit(1)).alias("n_events"), *aggs)
     answered = sum((F.col(f).isNotNull().cast("int") for f in spec.features), F.lit(0))
+    if complete:
+        out = out.where(answered == len(spec.features))
     return out.select(
         "respondent_id",
         F.col("s.start").alias("session_start"),
@@ -131,9 +128,9 @@ def spark_question_map(spark: SparkSession, pos: dict[str, int]) -> DataFrame:
     return spark.createDataFrame([(i, f) for f, i in pos.items()], "question int, feature string")
 
 
-def dedupe_stream(stream: DataFrame, key: str = "event_id", delay: str = "1 hour") -> DataFrame:
-    """ST3: drop repeated submissions of the same event within the watermark."""
-    return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
+def dedupe_stream(stream: DataFrame, key: tuple[str, ...] = ("event_id", "question"), delay: str = "1 hour") -> DataFrame:
+    """ST3: drop repeated submissions of the same answer within the watermark."""
+    return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def band_windows(scored: DataFrame, size: str = "1 day", delay: str = "1 hour", slide: str | None = None, wall_clock_tz: str | None = None) -> DataFrame:
