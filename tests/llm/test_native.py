@@ -48,6 +48,16 @@ def test_op2_finds_reparameterised_and_needs_consistent_slots(spark):
     assert sorted((r.doc_id or 0, r.contaminated, r.item_ids) for r in got) == sorted([(1, True, "1"), (1, True, "1"), (2, False, ""), (3, False, ""), (4, False, ""), (5, True, "2"), (0, True, "1")])
 
 
+def test_op2_clash_in_one_alignment_leaves_the_others(spark):
+    loaf = "To make the first loaf mix 3 cups of flour with 2 cups of sugar and to make the second loaf mix 5 cups of flour with 4 cups of sugar. How many cups are there?"
+    shop = "The farmer named Alice buys 12 apples at the market, then Alice sells 7 apples again for the same old price per kg"
+    other = "Far below: the farmer named Robert buys 12 apples at the market, then Walter sells 7 apples again for the same old price per kg"
+    bench = spark.createDataFrame([(1, loaf), (2, shop), (3, shop), (3, other[11:])], "item_id long, text string")
+    rows = [(1, loaf), (2, f"{shop}. {other}"), (3, other), (4, loaf.replace("3 cups", "9 cups")), (None, f"{other}. {shop}")]
+    got = op2_decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {r.doc_id or 0: r.item_ids for r in got} == {1: "1", 2: "2,3", 3: "3", 4: "1", 0: "2,3"}
+
+
 def test_op2_edges(spark, edge):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     assert op2_decontaminate.contaminated(edge, bench).count() == len(EDGE)

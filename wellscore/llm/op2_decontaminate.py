@@ -4,8 +4,9 @@ Both sides become words: letters and digits, lower case, decimal points joined.
 starts with a digit is the placeholder number, a title-case word that follows another word
 or a comma is a name, a word of the unit list is a unit. Windows of W template words are
 hashed and hash-joined; windows with fewer than half literal words say too little and aren't
-used. For matched windows with placeholders the slots must be consistent: within a document
-and item, each benchmark value stands for one document value.
+used. For matched windows with placeholders the slots must be consistent: within a document,
+item text and alignment (position in the document less position in the item), each benchmark
+value stands for one document value. A clash in one alignment leaves the others as they are.
 
 A document is contaminated by an item if at least min(min_windows, all usable windows of the
 item) distinct windows of it are found. An item shorter than W words is one window of its
@@ -51,14 +52,14 @@ def _windows(w: Column, size: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
-    """(item_id, size, ipos, wh, slots, need): usable windows; slots: (offset, value) of the placeholders."""
+    """(item_id, item_hash, size, ipos, wh, slots, need): usable windows; slots: (offset, value) of the placeholders."""
     b = table_rows(benchmark, item_id="item_id", text="text").distinct().withColumn("o", words(F.col("text")))
-    b = b.filter(F.size("o") > 0).select("item_id", "o", F.transform("o", template).alias("c"), F.least(F.lit(size), F.size("o")).alias("size"))
-    b = b.select("item_id", "o", "c", "size", F.explode(F.sequence(F.lit(0), F.size("o") - F.col("size"))).alias("ipos"))
+    b = b.filter(F.size("o") > 0).select("item_id", F.xxhash64("text").alias("item_hash"), "o", F.transform("o", template).alias("c"), F.least(F.lit(size), F.size("o")).alias("size"))
+    b = b.select("item_id", "item_hash", "o", "c", "size", F.explode(F.sequence(F.lit(0), F.size("o") - F.col("size"))).alias("ipos"))
     b = b.withColumn("win", F.slice("c", F.col("ipos") + 1, F.col("size"))).withColumn("val", F.slice("o", F.col("ipos") + 1, F.col("size")))
     held = lambda c: c.isin("<number>", "<name>", "<unit>")
     slots = F.filter(F.transform("win", lambda c, i: F.struct(i.alias("at"), held(c).alias("slot"), F.get(F.col("val"), i).alias("value"))), lambda s: s["slot"])
-    b = b.select("item_id", "size", "ipos", F.xxhash64("win").alias("wh"), F.transform(slots, lambda s: F.struct(s["at"].alias("at"), s["value"].alias("value"))).alias("slots"))
+    b = b.select("item_id", "item_hash", "size", "ipos", F.xxhash64("win").alias("wh"), F.transform(slots, lambda s: F.struct(s["at"].alias("at"), s["value"].alias("value"))).alias("slots"))
     b = b.filter(F.col("size") - F.size("slots") >= F.ceil(F.col("size") / 2))
     need = b.groupBy("item_id").agg(F.countDistinct("wh").alias("need"))
     return b.join(need, "item_id")
@@ -77,18 +78,20 @@ def hits(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, min_win
     found = None
     for n in lengths:
         part = c.select("doc_id", "text_hash", F.posexplode_outer(_windows(F.col("c"), n)).alias("pos", "wh"))  # outer: no second evaluation in an inferred filter
-        b = bench.filter(F.col("size") == n).select("item_id", "ipos", "wh", "slots", "need", "size")
-        part = part.join(F.broadcast(b) if small else b, "wh")
+        b = bench.filter(F.col("size") == n).select("item_id", "item_hash", "ipos", "wh", "slots", "need")
+        part = part.join(F.broadcast(b) if small else b, "wh").withColumn("shift", F.col("pos") - F.col("ipos")).drop("ipos")
         found = part if found is None else found.unionByName(part)
     found = written(found, "hits")
     key = ["doc_id", "text_hash", "item_id"]
     # slots: only the documents with a matched window that has placeholders are read again
-    check = found.filter(F.size("slots") > 0).select(*key, "pos", "slots").withColumnsRenamed({"doc_id": "k1", "text_hash": "k2"})
+    place = [*key, "item_hash", "shift"]
+    check = found.filter(F.size("slots") > 0).select(*place, "pos", "slots").withColumnsRenamed({"doc_id": "k1", "text_hash": "k2"})
     said = docs.join(check, F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_hash") == F.col("k2")))
-    said = said.select(*key, F.explode(F.transform("slots", lambda s: F.struct(s["value"].alias("b"), F.get(F.col("o"), F.col("pos") + s["at"]).alias("d")))).alias("v")).select(*key, "v.b", "v.d")
-    bad = said.groupBy(*key, "b").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select(*key).distinct()
-    bad = bad.withColumnsRenamed({"doc_id": "k1", "text_hash": "k2", "item_id": "k3"})
-    loose = found.join(bad, F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_hash") == F.col("k2")) & F.col("item_id").eqNullSafe(F.col("k3")), "left")
+    said = said.select(*place, F.explode(F.transform("slots", lambda s: F.struct(s["value"].alias("b"), F.get(F.col("o"), F.col("pos") + s["at"]).alias("d")))).alias("v")).select(*place, "v.b", "v.d")
+    bad = said.groupBy(*place, "b").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select(*place).distinct()
+    bad = bad.toDF("k1", "k2", "k3", "k4", "k5")
+    same = F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_hash") == F.col("k2")) & F.col("item_id").eqNullSafe(F.col("k3")) & (F.col("item_hash") == F.col("k4")) & (F.col("shift") == F.col("k5"))
+    loose = found.join(bad, same, "left")
     loose = loose.filter(F.col("k2").isNull() | (F.size("slots") == 0))
     n = loose.groupBy(*key, "need").agg(F.countDistinct("wh").alias("n_windows"))
     return n.filter(F.col("n_windows") >= F.least(F.lit(min_windows), F.col("need"))).select(*key, "n_windows")
