@@ -86,6 +86,17 @@ def test_op4_classes(spark, docs):
     assert sorted(r.doc_id for r in op4_minhash.deduplicated(table).collect()) == sorted(set(got.values()))
 
 
+def test_op4_copies_that_repeat_lines_differently(spark):
+    texts = {}
+    for g in range(16):  # the same set of runs, or nearly: 14 words once more, or a thousand times
+        base = [f"g{g}w{i}" for i in range(54)]
+        texts[2 * g] = " ".join(base + base[:14] * 2)
+        texts[2 * g + 1] = " ".join(base + base[:14] * 1000 + ["end"] * (g % 2))
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in op4_minhash.classes(table).collect()}
+    assert got == near(texts) and len(set(got.values())) == 16
+
+
 def test_op4_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(3)
     h = rng.integers(1, 2**62, 300).astype(np.uint64)

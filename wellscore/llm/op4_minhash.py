@@ -9,7 +9,9 @@ taken; where one is not, the bound doubles and the draw goes on, so the sketch i
 ProbMinHash sketch and long texts cost about as many draws as short ones.
 
 Registers are banded; documents of one bucket are candidates, verified by the exact Jaccard
-similarity of their sets of runs:
+similarity of their sets of runs. As that counts each run once, a text is also banded with equal
+weights, where registers agree with the probability of the set Jaccard similarity; the two
+sketches are the same where no run repeats, so only texts with repeated runs have both:
   1. copies collapse to one node (digest of the text, map-side grouping);
   2. in rounds, each bucket's nodes are compared with one node of it, drawn by hash, that is in
      another class: a bucket of any size costs a pair per node. Verified pairs join classes;
@@ -112,23 +114,31 @@ def band_keys(registers: np.ndarray, bands: int, size: int) -> np.ndarray:
 
 
 def sketches(documents: DataFrame, words: int = WORDS, bands: int = BANDS, size: int = ROWS) -> DataFrame:
-    """(doc_id, node, n, keys): digest of the text, number of distinct runs, band keys (none without a run)."""
+    """(doc_id, node, n, keys): digest of the text, number of distinct runs, distinct band keys of equal and of probability weights (none without a run)."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches):
         for b in batches:
             buf, offs = text_bytes(b.column(1))
-            node, count, keys = [], [], []
+            node, count, used, keys = [], [], [], []
             for lo, hi in slices(offs):
                 part, own = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
                 node += [hashlib.md5(part[own[i] : own[i + 1]].tobytes()).hexdigest() for i in range(hi - lo)]
                 h, row, n = distinct(*shingles(part, own, words))
                 count.append(np.bincount(row, minlength=hi - lo))
-                keys.append(band_keys(prob_minhash(h, row, 1.0 + np.log(n), hi - lo, bands * size), bands, size))
+                equal = band_keys(prob_minhash(h, row, np.ones(len(h)), hi - lo, bands * size), bands, size)
+                again = np.bincount(row, n > 1, hi - lo) > 0
+                at, which = again[row], np.cumsum(again) - 1
+                weighted = equal.copy()
+                weighted[again] = band_keys(prob_minhash(h[at], which[row[at]], 1.0 + np.log(n[at]), int(again.sum()), bands * size), bands, size)
+                both = np.concatenate([equal, weighted], 1)
+                use = np.concatenate([np.ones(equal.shape, bool), weighted != equal], 1) & (count[-1] > 0)[:, None]
+                used.append(use.sum(1))
+                keys.append(both[use])
             n = np.concatenate(count) if count else np.zeros(0, np.int64)
-            k = np.concatenate(keys) if keys else np.zeros((0, bands), np.uint64)
-            ends = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(k[n > 0].ravel().view(np.int64)))
+            k = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            ends = np.concatenate([[0], *used]).cumsum().astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(k.view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.string()), pa.array(n, pa.int64()), lists], ["doc_id", "node", "n", "keys"])
 
     return table_rows(documents, doc_id="doc_id", text="text").mapInArrow(sketch, f"doc_id {kind}, node string, n long, keys array<long>")
