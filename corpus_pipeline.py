@@ -36,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op6_tokens.encoded(docs, vocabulary())
+    return op6_tokens.encoded(docs, vocabulary(), literal=False)
 
 
 STAGES = [("language", language), ("dedup", dedup), ("decontaminate", decontaminate), ("mix", mix), ("tokens", tokens)]

@@ -138,6 +138,25 @@ def test_op6_round_trip(spark, docs, edge):
     assert op6_tokens.encoded(edge.limit(0), vocabulary()).count() == 0
 
 
+def test_op6_query_encodes_as_the_unchanged_tokenizer(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from wellscore.llm.queries import QUERIES
+
+    tok, e = Tokenizer.from_file(vocabulary()), "<|endoftext|>"
+    texts = [f"x {e} y", e, e * 3, f"a{e}b\n{e}\nc", f" {e}  {e} it's{e}'s", "<|endoftext", f"|>{e[:-1]} >", f"é{e}中 {e[2:]}", "plain words only", f"<|endof{e}text|> {e}"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    want, at = [], 0
+    for i, t in enumerate(texts):
+        ids = [*tok.encode(t, add_special_tokens=False).ids, 0]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    d = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for got in (QUERIES["op6_seekable_tokens"](spark, str(tmp_path)), corpus_pipeline.tokens(spark, d, str(tmp_path))):
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_op6_reads_single_documents_and_notices_damage(tmp_path):
     p = tmp_path / "f.zst"
     rng = np.random.default_rng(1)

@@ -12,7 +12,8 @@ copies spread over files too. A file is written under a name of its own and rena
 complete, so a retried or doubled task leaves the same file. Ids never pass the driver.
 
 Each worker encodes a piece (see pieces) once: the tokenizer never merges across the cuts, so
-the ids of a text are those of its pieces.
+the ids of a text are those of its pieces. Literals of the vocabulary's added tokens (end of text)
+are ids of their own, as in the library's plain encode; with literal=True special ones are text.
 
 Edge cases: a null or empty text is just the end id; null doc_ids come first; repeated rows
 are documents of their own; an empty table has no files and no rows; other columns are ignored.
@@ -149,14 +150,21 @@ def pieces(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """Encodes batches of texts; distinct pieces go through the tokenizer once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         import os
+        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = literal
+        added = [t for t in self.tok.get_added_tokens_decoder().values() if t.content and not (literal and t.special)]
+        self.added = np.array([self.tok.token_to_id(t.content) for t in added], np.int64)
+        # the longest of those that begin first is taken; with options, a token can reach into its neighbours
+        names = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.names = re.compile(b"|".join(map(re.escape, names))) if names else None
+        self.whole = any(t.lstrip or t.rstrip or t.single_word for t in added) or len({t.normalized for t in added}) > 1
         # bytes of a token, for byte-level vocabularies: a character of a token's name stands for one byte
         self.width = np.array([len(self.tok.id_to_token(i) or "") for i in range(self.tok.get_vocab_size())], np.int64)
         self._forget()
@@ -167,10 +175,18 @@ class Encoder:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, h: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+    def _added(self, buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int]]:
+        """Start and end of the added tokens' literals; of whole rows that hold some, if tokens have options."""
+        raw = buf.tobytes() if self.names else b""
+        if not self.names or not self.names.search(raw):
+            return []
+        found = [(i, j, m.span()) for i, j in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True) for m in self.names.finditer(raw, i, j)]
+        return sorted({(i, j) for i, j, _ in found}) if self.whole else [at for _, _, at in found]
+
+    def _learn(self, h: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray, apart: np.ndarray) -> None:
         """Add pieces (h ascending). Many are encoded at a time where pieces() would cut them apart again:
         those with a space before them in a row, others as lines. A block whose tokens don't begin where
-        its pieces do, and all other pieces, are encoded piece by piece."""
+        its pieces do, and all other pieces (apart: those of added tokens), are encoded piece by piece."""
         size = end - start
         head, last = buf[start], buf[end - 1]
         begins = _VISIBLE | _LEAD
@@ -179,7 +195,7 @@ class Encoder:
         alone = np.ones(len(h), bool)
         first, count = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
         got, base = [self.ids], len(self.ids)
-        for own, gap in ((np.flatnonzero(spaced), 0), (np.flatnonzero(ends & begins[head]), 1)):
+        for own, gap in ((np.flatnonzero(spaced & ~apart), 0), (np.flatnonzero(ends & begins[head] & ~apart), 1)):
             for lo in range(0, len(own), 8192):
                 part = own[lo : lo + 8192]
                 n = size[part]
@@ -191,7 +207,7 @@ class Encoder:
                 past = np.cumsum(self.width[ids])
                 begin = past - self.width[ids]
                 a, b = np.searchsorted(begin, at), np.searchsorted(begin, at + n)
-                if past[-1] != len(raw) or (begin[a] != at).any() or (past[b - 1] != at + n).any():
+                if past[-1] != len(raw) or (begin[a] != at).any() or (past[b - 1] != at + n).any() or np.isin(ids, self.added).any():
                     continue
                 first[part], count[part], alone[part] = base + a, b - a, False
                 got.append(ids)
@@ -214,6 +230,13 @@ class Encoder:
         start, end = pieces(buf, offs)
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
+        apart = np.zeros(len(start), bool)
+        if spans := self._added(buf, offs):
+            lo, hi = np.array(spans, np.int64).T
+            inside = start[np.searchsorted(lo, start, "right") > np.searchsorted(hi, start, "right")]
+            start = np.union1d(np.setdiff1d(start, inside), np.concatenate([lo, hi[hi < len(buf)]]))
+            end = np.concatenate([start[1:], [len(buf)]])
+            apart = np.isin(start, lo)
         p = prefix_ids(buf, BYTE_ID)
         _, down = powers(len(buf) + 1)
         h = mix((p[end] - p[start]) * down[start] + (end - start).astype(np.uint64))
@@ -221,7 +244,7 @@ class Encoder:
         k = np.minimum(np.searchsorted(self.known, u), max(0, len(self.known) - 1))
         new = self.known[k] != u if len(self.known) else np.ones(len(u), bool)
         if new.any():
-            self._learn(u[new], buf, start[at[new]], end[at[new]])
+            self._learn(u[new], buf, start[at[new]], end[at[new]], apart[at[new]])
         k = np.searchsorted(self.known, u)[inv]
         n = self.count[k]
         total = np.cumsum(n)
@@ -230,14 +253,14 @@ class Encoder:
         return out, np.bincount(row, n, len(offs) - 1).astype(np.int64)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, literal: bool = True) -> Encoder:
     """The worker's encoder: what one task learned serves the next tasks of the same worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, literal) not in _ENCODERS:
+        _ENCODERS[path, literal] = Encoder(path, literal)
+    return _ENCODERS[path, literal]
 
 
 def _filesystem(uri: str):
@@ -249,8 +272,9 @@ def _filesystem(uri: str):
 # ---- operator ------------------------------------------------------------------------------
 
 
-def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2, frame_bytes: int = FRAME_BYTES) -> tuple[str, DataFrame]:
-    """Write files and index; (folder, index). width: bytes of an id, 2 if all ids are below 65,536, else 4."""
+def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2, frame_bytes: int = FRAME_BYTES, literal: bool = True) -> tuple[str, DataFrame]:
+    """Write files and index; (folder, index). width: bytes of an id, 2 if all ids are below 65,536, else 4.
+    literal: special tokens in a text are plain text."""
     spark = documents.sparkSession
     folder = fresh(spark, "tokens")
     root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
@@ -269,7 +293,7 @@ def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2,
         fs, base = _filesystem(root)
         fs.create_dir(f"{base}/data", recursive=True)
         temp = f"{base}/data/_{part:06d}-{uuid.uuid4().hex}"
-        enc, out, at, seq = encoder(tokenizer), None, 0, 0
+        enc, out, at, seq = encoder(tokenizer, literal), None, 0, 0
         for b in batches:
             buf, offs = text_bytes(b.column(1))
             if out is None and len(offs) > 1:
@@ -325,6 +349,6 @@ def read(folder: str, index: DataFrame, width: int = 2, ids: bool = False) -> Da
     return out.join(F.broadcast(before) if totals.count() <= 1_000_000 else before, F.col("part") == F.col("p")).select("doc_id", (F.col("at") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * ids)
 
 
-def encoded(documents: DataFrame, tokenizer: str) -> DataFrame:
+def encoded(documents: DataFrame, tokenizer: str, literal: bool = True) -> DataFrame:
     """Write all documents and read them back: doc_id, start, n_tokens, ids_crc32."""
-    return read(*write(documents, tokenizer))
+    return read(*write(documents, tokenizer, literal=literal))

@@ -36,7 +36,7 @@ def op5_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op6_tokens.encoded(table(spark, sf_dir, "documents"), vocabulary())
+    return op6_tokens.encoded(table(spark, sf_dir, "documents"), vocabulary(), literal=False)
 
 
 def op7_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
