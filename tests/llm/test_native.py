@@ -39,6 +39,13 @@ def test_op8_base_rules_and_scores(spark, docs, edge):
     assert op8_quality.judged(edge.limit(0), labels).count() == 0
 
 
+def test_op8_without_trusted_documents(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    for none in (labels.limit(0), labels.filter("quality = 0"), labels.selectExpr("doc_id + 1000000000 AS doc_id", "quality")):
+        rows = op8_quality.judged(docs, none).collect()
+        assert {r.score for r in rows} == {0.0} and all(r.kept != r.base_failed for r in rows)
+
+
 def test_op2_finds_reparameterised_and_needs_consistent_slots(spark):
     bench = spark.createDataFrame([(1, "The farmer named Alice buys 12 apples at the market, then Alice sells 7 apples again for the same old price per kg"), (2, "short item"), (3, None), (None, "")], "item_id long, text string")
     swap = "Intro words come first here. The farmer named Robert buys 31 apples at the market, then Robert sells 9 apples again for the same old price per lb and so on"

@@ -14,7 +14,7 @@ the bucket counts, so hot sources and groups of copies cost nothing extra.
 
 Edge cases: null and empty texts have no words, score 0 and fail the base rules; a null
 doc_id is never labelled; of several labels for one id all must be good; repeated rows get
-the same verdict; without a trusted document all scores are 0 at equal smoothing.
+the same verdict; without a trusted n-gram all scores are 0.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def trusted(labels: DataFrame, at_most: int) -> DataFrame:
 
 
 def weights(documents: DataFrame, labels: DataFrame, buckets: int, max_trusted: int) -> list[float]:
-    """log(target / raw) of every bucket, rounded to 6 places."""
+    """log(target / raw) of every bucket, rounded to 6 places; 0 if no trusted n-gram was counted."""
     h = _hashed(documents).select("doc_id", grams(F.col("wh")).alias("g"))
     h = h.join(F.broadcast(trusted(labels, max_trusted)), F.col("doc_id") == F.col("good_id"), "left")
     n = h.select(F.col("good_id").isNotNull().alias("good"), F.explode_outer("g").alias("g")).filter("g IS NOT NULL").groupBy(F.pmod("g", F.lit(buckets)).alias("b"), "good").count()
@@ -83,6 +83,8 @@ def weights(documents: DataFrame, labels: DataFrame, buckets: int, max_trusted:
         raw[r["b"]] += r["count"]
         if r["good"]:
             target[r["b"]] += r["count"]
+    if sum(target) == buckets:
+        return [0.0] * buckets
     nr, nt = math.log(sum(raw)), math.log(sum(target))
     return [round(math.log(t) - nt - math.log(r) + nr, 6) for t, r in zip(target, raw, strict=True)]
 
