@@ -192,6 +192,22 @@ def test_op7_held_out_and_edges(spark, edge):
     assert op7_language.identified_documents(edge.limit(0)).count() == 0
 
 
+def test_op7_rare_and_many_languages_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    word = lambda k, i: "".join(chr(97 + c % 26) for c in hashlib.md5(f"{k} {i}".encode()).digest()[:6])
+    name = lambda k: chr(97 + k // 26) + chr(97 + k % 26)
+    rows = [(i, " ".join(word(0, i + j) for j in range(12)), name(0)) for i in range(400)]
+    rows += [(1000 + k, " ".join(word(k, j) for j in range(12)), name(k)) for k in range(1, 80)]  # one row each
+    rows.append((2000, "12 34", "zz"))  # no trigram with a letter
+    t = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, model = op7_language.train(t, max_train=100)
+    assert langs == sorted({r[2] for r in rows}) and model.shape == (81, op7_language.BUCKETS) and np.isfinite(model).all()
+    few = t.filter("doc_id BETWEEN 1071 AND 1079")
+    got = op7_language.identify(few, langs, model, F.col("text"), F.col("lang"), F.lit(None).cast("string")).collect()
+    assert [r.lang for r in got] == [r.row.lang for r in got] and len(got) == 9
+
+
 def test_op7_host_prior_and_markup_decide_short_texts(spark):
     from pyspark.sql import functions as F
 

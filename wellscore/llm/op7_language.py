@@ -1,8 +1,9 @@
 """Language identification by Bayesian evidence fusion.
 
 Posterior over languages = host prior x P(declared language | language) x text likelihood.
-  text      hashed byte-trigram multinomials, fitted on at most `max_train` labelled
-            documents; a text counts as at most `cap` independent trigrams.
+  text      hashed byte-trigram multinomials, fitted on at most `max_train` / languages
+            labelled documents of each language, one at least; a text counts as at most
+            `cap` independent trigrams.
   declared  the markup's language attribute (or the lang column); how reliable it is comes
             from a grouped count of declared against text-only decisions over all rows.
   host      counts of text-only decisions, smoothed from all rows to address suffix to
@@ -24,12 +25,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellscore.llm.common import slices, table_rows, text_bytes, written
 
-BUCKETS, MAX_TRAIN, MAX_LANGUAGES, CAP, SMOOTH, MIN_PROB = 1 << 14, 4000, 64, 40, 5.0, 0.5
+BUCKETS, MAX_TRAIN, CAP, SMOOTH, MIN_PROB = 1 << 14, 4000, 40, 5.0, 0.5
 
 LETTER = np.full(256, 32, np.uint32)
 LETTER[97:123] = np.arange(97, 123)
@@ -52,10 +53,24 @@ def trigrams(buf: np.ndarray, offs: np.ndarray, buckets: int) -> tuple[np.ndarra
 
 
 def train(documents: DataFrame, buckets: int = BUCKETS, max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndarray]:
-    """Languages (by name) and their log trigram probabilities [language, bucket], from at most max_train labelled documents."""
+    """All labelled languages (by name) and their log trigram probabilities [language, bucket].
+
+    Each language gives its max_train / languages rows (at least one) of least hash. A language
+    without a trigram in them is never the text's choice, only that of markup and host."""
     d = table_rows(documents, doc_id="doc_id", text="text", lang="lang").filter("lang IS NOT NULL AND text IS NOT NULL")
-    ids = d.orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "lang").select(F.col("doc_id").alias("k1"), F.col("lang").alias("k2")).limit(max_train).distinct()
-    d = d.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("lang") == F.col("k2"))).select("lang", "text")
+    d = d.select("lang", "text", F.xxhash64("doc_id", "lang", "text").alias("h"))
+    # one small row per language
+    seen = written(d.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min("h").alias("least")), "languages")
+    langs = sorted(r["lang"] for r in seen.select("lang").collect())
+    if not langs:
+        return [], np.full((0, buckets), 0.5)
+    quota = max(1, max_train // len(langs))
+    # a bound of the hash below which a language has more than its quota, by far; the exact rank then has few rows to sort
+    share = F.least(F.lit(1.0), F.lit(2.0 * quota + 32) / F.col("n"))
+    bound = F.greatest(F.col("least"), F.when(share >= 1, F.lit(2**63 - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("long")))
+    d = d.join(F.broadcast(seen.select(F.col("lang").alias("k"), bound.alias("bound"))), (F.col("lang") == F.col("k")) & (F.col("h") <= F.col("bound")))
+    d = d.groupBy("lang", "h").agg(F.min("text").alias("text"))  # repeated rows are one
+    d = d.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("i") <= quota).select("lang", "text")
 
     def count(batches):
         for b in batches:
@@ -70,12 +85,16 @@ def train(documents: DataFrame, buckets: int = BUCKETS, max_train: int = MAX_TRA
 
     counts = d.mapInArrow(count, "lang string, b long, n long").groupBy("lang", "b").agg(F.sum("n").alias("n"))
     counts = written(counts, "trigrams")
-    top = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    langs = sorted(r["lang"] for r in top)
-    table = np.full((len(langs), buckets), 0.5)
-    for r in counts.filter(F.col("lang").isin(langs)).collect():  # at most MAX_LANGUAGES x buckets rows
-        table[langs.index(r["lang"]), r["b"]] += r["n"]
-    return langs, np.log(table / table.sum(1, keepdims=True)).astype(np.float32) if langs else table
+    table = np.zeros((len(langs), buckets))
+    at = {x: i for i, x in enumerate(langs)}
+    for r in counts.toLocalIterator():  # at most languages x buckets rows
+        table[at[r["lang"]], r["b"]] = r["n"]
+    none = table.sum(1) == 0
+    table += 0.5
+    model = np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
+    if none.any() and not none.all():
+        model[none] = model[~none].min(0) - 1
+    return langs, model
 
 
 def with_text_evidence(rows: DataFrame, model: np.ndarray, cap: int) -> DataFrame:
