@@ -25,6 +25,8 @@ has zeros, no edits and the hash of the empty string; an empty table gives no ro
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
+from functools import lru_cache
 from itertools import groupby
 
 import pandas as pd
@@ -54,7 +56,7 @@ NEVER = 1 << 30
 SOUND, CUT, GONE = 0, 1, 2
 
 
-def repair(turns: list[tuple[str, int]], start: int = NONE, ends: tuple[int, ...] = ENDS, close: bool = True) -> tuple[int, str] | None:
+def repair(turns: Sequence[tuple[str, int]], start: int = NONE, ends: tuple[int, ...] = ENDS, close: bool = True) -> tuple[int, str] | None:
     """(cost, edits) of the cheapest repair that leads from last role `start` to one of `ends`.
 
     close: whether turns may be inserted after the last one. None: there is no such repair."""
@@ -104,7 +106,7 @@ def repair(turns: list[tuple[str, int]], start: int = NONE, ends: tuple[int, ...
     return None
 
 
-def all_repairs(turns: list[tuple[str, int]]) -> tuple[list[int], list[int], list[str]]:
+def all_repairs(turns: Sequence[tuple[str, int]]) -> tuple[list[int], list[int], list[str]]:
     """Cost, rank among equal starts and edits from every last role (4 * start) to every other, of a chunk."""
     costs, ranks, edits = [-1] * 16, [0] * 16, [""] * 16
     for q in range(4):
@@ -195,6 +197,7 @@ def repaired(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
+        known_repair = lru_cache(1 << 16)(repair)  # short conversations have the same roles and faults again and again
 
         def turns():
             mark = False
@@ -226,7 +229,7 @@ def repaired(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
         ready = []
         for seq, ((conv, here), before, after) in enumerate(pieces()):
-            search = [(r["role"][:1], GONE if r["fault"] in ("blank", "duplicate") else CUT if r["fault"] else SOUND) for r in here]
+            search = tuple((r["role"][:1], GONE if r["fault"] in ("blank", "duplicate") else CUT if r["fault"] else SOUND) for r in here)
             known = [r["turn"] for r in here if r["turn"] is not None]
             initials = [s for s, _ in search]
             out = {
@@ -241,7 +244,7 @@ def repaired(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
                 costs, ranks, edits = all_repairs(search)
                 out |= {"costs": costs, "ranks": ranks, "edits": edits, "roles": [r for r, _ in texts], "texts": [t for _, t in texts]}
             else:
-                cost, audit = repair(search)
+                cost, audit = known_repair(search)
                 out |= {"cost": cost, "audit": audit, "repaired_sha256": hashlib.sha256("\n".join(applied(texts, audit)).encode()).hexdigest()}
             ready.append(out)
             if len(ready) == 256 or before or after:
