@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from wellscore.llm.common import table_rows, written
 
 DELETE, INSERT, REROLE, TRUNCATED = 2, 5, 1, 5
-CHUNK = 64
+CHUNK = 16
 
 #: The last role so far: none, system, user or assistant.
 NONE, SYSTEM, USER, ASSISTANT = range(4)
@@ -51,6 +51,8 @@ ENDS = (NONE, ASSISTANT)
 CLOSING = {NONE: "", SYSTEM: "II", USER: "I", ASSISTANT: ""}
 NAMES = {USER: "user", ASSISTANT: "assistant"}
 NEVER = 1 << 30
+#: The last roles that edits can lead to: no turn takes a conversation back to its beginning.
+ONWARD = ({NONE, SYSTEM, USER, ASSISTANT}, {SYSTEM, USER, ASSISTANT}, {USER, ASSISTANT}, {USER, ASSISTANT})
 
 # A turn for the search: (initial of its role, fault).
 SOUND, CUT, GONE = 0, 1, 2
@@ -68,22 +70,27 @@ def repair(turns: Sequence[tuple[str, int]], start: int = NONE, ends: tuple[int,
     owed: dict[tuple[int, int], int] = {}
     path: list[str] = []
 
+    open_to = [not ONWARD[q].isdisjoint(ends) for q in range(4)]
+
     def visit(i: int, q: int, left: int) -> bool:
         if i == n and q in ends:
             return True
         steps = []
+        due = DUE[q]
         if i < n:
             initial, fault = turns[i]
             steps.append(("D", DELETE, i + 1, q))
-            steps.append(("I", INSERT, i, DUE[q]))
+            if open_to[due]:
+                steps.append(("I", INSERT, i, due))
             if fault != GONE:
                 extra = TRUNCATED if fault else 0
                 kept = KEPT.get((q, initial))
-                if kept is not None:
+                if kept is not None and open_to[kept]:
                     steps.append(("K", extra, i + 1, kept))
-                steps.append(("R", extra + REROLE, i + 1, DUE[q]))
-        elif close:
-            steps.append(("I", INSERT, i, DUE[q]))
+                if open_to[due]:
+                    steps.append(("R", extra + REROLE, i + 1, due))
+        elif close and open_to[due]:
+            steps.append(("I", INSERT, i, due))
         owed[i, q] = left + 1  # to come back here by insertions can't pay
         rest = NEVER
         for edit, cost, j, r in steps:
@@ -111,7 +118,7 @@ def all_repairs(turns: Sequence[tuple[str, int]]) -> tuple[list[int], list[int],
     costs, ranks, edits = [-1] * 16, [0] * 16, [""] * 16
     for q in range(4):
         for r in range(4):
-            if r >= q or (q, r) == (ASSISTANT, USER):
+            if r in ONWARD[q]:
                 got = (0, "") if not turns and q == r else repair(turns, q, (r,), False) if turns else None
                 if got is not None:
                     costs[4 * q + r], edits[4 * q + r] = got
