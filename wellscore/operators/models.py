@@ -1,15 +1,18 @@
 """Model training and evaluation with Spark ML.
 
 Each fit is a distributed Spark ML job; the driver only loops over the
-handful of estimators. The train/test split and CV folds come from an
+handful of estimators. The train/test split comes from an
 arithmetic hash of the key, so they do not depend on partitioning (as
-``randomSplit`` would) and are reproducible by an SQL oracle.
+``randomSplit`` would) and are reproducible by an SQL oracle. Cross-validation
+cuts the train part into contiguous folds by a global row number; the linear
+model's folds are solved from sums of products per fold, without a fit.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -17,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellscore.functions.columns import grid_mean, round_half_even
+from wellscore.operators.gramian import Products, means, products
+from wellscore.operators.ranges import numbered
 from wellscore.spec import MODEL_FEATURES, TARGET_COL
 
 
@@ -36,8 +41,16 @@ def split(df: DataFrame, key: str = "respondent_id", test_pct: int = 20, seed: i
     return df.where(b >= test_pct), df.where(b < test_pct)
 
 
-def fold_of(key: Column, folds: int = 5, seed: int = 42) -> Column:
-    return F.pmod(split_bucket(key, seed + 1), F.lit(folds)).cast("int")
+FOLD = "__fold"
+
+
+def with_folds(train: DataFrame, key: str = "respondent_id", folds: int = 5) -> DataFrame:
+    """``train`` with its fold (0-based): contiguous runs in key order, the first n % folds of them one row longer."""
+    rows = numbered(train, [key], "__row")
+    size, longer = divmod(rows.count(), folds)
+    edge = longer * (size + 1)
+    fold = F.when(F.col("__row") < edge, F.expr(f"__row div {size + 1}")).otherwise(F.expr(f"{longer} + (__row - {edge}) div {max(size, 1)}"))
+    return rows.withColumn(FOLD, fold.cast("int")).drop("__row")
 
 
 def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -135,32 +148,84 @@ def residual_stats(df: DataFrame, label: str = TARGET_COL, pred: str = "predicti
     )
 
 
+def linear_r2(train: Products, held: Products) -> float | None:
+    """R^2 on held-out rows of the least-squares line of the train rows, both given as sums of products (label last)."""
+    n, s = train.n[0, 0], train.x.diagonal()
+    c = train.xx - np.outer(s, s) / n
+    scale = np.sqrt(np.maximum(c.diagonal(), 0.0))
+    scale = np.where(scale > 1e-9 * np.sqrt(np.maximum(train.xx.diagonal(), 1e-300)), scale, np.inf)  # a constant column has no slope
+    z = c / np.outer(scale, scale)
+    slope = np.linalg.lstsq(z[:-1, :-1], c[:-1, -1] / scale[:-1], rcond=1e-12)[0] / scale[:-1]
+    w = np.append(-slope, 1.0)  # the residual before the intercept
+    intercept = w @ s / n
+    m, t = held.n[0, 0], held.x.diagonal()
+    sse = w @ held.xx @ w - 2 * intercept * (w @ t) + m * intercept**2
+    sst = held.xx[-1, -1] - t[-1] ** 2 / m
+    return None if sst <= 0 else float(1.0 - sse / sst)
+
+
+def linear_cv_r2(folded: DataFrame, features: list[str], label: str = TARGET_COL, folds: int = 5) -> list[float | None]:
+    """R^2 of the linear model on every fold, fitted on the others: one pass for the sums of products of every fold.
+
+    The train part of a fold is the total less the fold, so no fold is read again and none is fitted.
+    Rows with a missing value are left out."""
+    cols = [*features, label]
+    x = folded.dropna(subset=cols)
+    parts = products(x, cols, FOLD, means(x, cols))
+    total = None
+    for p in parts.values():
+        total = p if total is None else total + p
+    return [linear_r2(total - parts[k], parts[k]) if k in parts and len(parts) > 1 else None for k in range(folds)]
+
+
+def in_threads(spark: SparkSession, jobs: list, run, parallelism: int = 8) -> list:
+    """run(job) of every job, ``parallelism`` at a time; the jobs' Spark work shares the session's executors."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), jobs, chunksize=1)
+
+
 def cv_r2(
     train: DataFrame, features: list[str], ests: dict, key: str = "respondent_id", folds: int = 5, label: str = TARGET_COL, parallelism: int = 8
 ) -> dict[str, list[float]]:
-    """R^2 of every estimator and fold: fit on the other folds, score the held-out one (folds from the key hash).
+    """R^2 of every estimator and fold: fit on the other folds, score the held-out one (``with_folds``).
 
-    The train part is kept once for all fits; ``parallelism`` fits run at a time, each a Spark job of its own.
+    The linear model's come from sums of products. The tree models need no scaling: all their fits read
+    one table of assembled vectors, kept for them, the slowest first.
     """
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark import inheritable_thread_target
-
-    f = train.select(*features, label, fold_of(F.col(key), folds).alias("__fold")).persist()
+    folded = with_folds(train, key, folds)
+    trees = [name for name, est in ests.items() if not isinstance(est, LinearRegression)]
+    linear = linear_cv_r2(folded, features, label, folds) if len(trees) < len(ests) else []
+    out = {name: linear for name in ests if name not in trees}
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    f = assembler.transform(folded).select("features", label, FOLD).persist()
 
-    @inheritable_thread_target(train.sparkSession)
     def one(job: tuple[str, int]) -> float:
         name, k = job
-        model = make_pipeline(features, ests[name].copy()).fit(f.where(F.col("__fold") != k))
-        return regression_metrics(model.transform(f.where(F.col("__fold") == k)), label, digits=12).first()["r2"]
+        model = ests[name].copy().fit(f.where(F.col(FOLD) != k))
+        return regression_metrics(model.transform(f.where(F.col(FOLD) == k)), label, digits=12).first()["r2"]
 
-    jobs = [(name, k) for name in ests for k in range(folds)]
+    jobs = [(name, k) for name in reversed(trees) for k in range(folds)]
     try:
-        with ThreadPool(parallelism) as pool:
-            r2 = dict(zip(jobs, pool.map(one, jobs, chunksize=1), strict=True))
+        r2 = dict(zip(jobs, in_threads(train.sparkSession, jobs, one, parallelism), strict=True)) if jobs else {}
     finally:
         f.unpersist()
-    return {name: [r2[name, k] for k in range(folds)] for name in ests}
+    out |= {name: [r2[name, k] for k in range(folds)] for name in trees}
+    return {name: out[name] for name in ests}
+
+
+def fit_models(train: DataFrame, names: list[str], cfg: ModelConfig = FULL, parallelism: int = 4) -> dict[str, PipelineModel]:
+    """The named models, fitted on the train part at the same time."""
+    features, ests = available_features(train), estimators(cfg)
+    kept = train.select(*features, TARGET_COL).persist()
+    try:
+        models = in_threads(train.sparkSession, names, lambda name: make_pipeline(features, ests[name]).fit(kept), parallelism)
+    finally:
+        kept.unpersist()
+    return dict(zip(names, models, strict=True))
 
 
 def train_all(
@@ -177,16 +242,14 @@ def train_all(
     cross-validated columns) and the fitted pipelines (saved under ``model_dir`` if given).
     ``fitted`` may hold pipelines already fitted on this train part; they aren't fitted again.
     """
-    features = available_features(df)
     train, test = split(df, key)
     rows, fitted = [], dict(fitted or {})
-    for pos, (name, est) in enumerate(estimators(cfg).items()):
-        model = fitted.get(name) or make_pipeline(features, est).fit(train)
-        m = regression_metrics(model.transform(test)).first()
+    fitted |= fit_models(train, [name for name in estimators(cfg) if name not in fitted], cfg)
+    for pos, name in enumerate(estimators(cfg)):
+        m = regression_metrics(fitted[name].transform(test)).first()
         rows.append((name, pos, m["mae"], m["rmse"], m["r2"]))
-        fitted[name] = model
         if model_dir:
-            model.write().overwrite().save(f"{model_dir}/{name.lower()}_model")
+            fitted[name].write().overwrite().save(f"{model_dir}/{name.lower()}_model")
     metrics = spark.createDataFrame(rows, "model string, position int, mae double, rmse double, r2 double")
     if model_dir and rows:
         # the best model (highest R^2, first on ties) is also kept as its own copy

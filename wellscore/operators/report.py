@@ -1,19 +1,21 @@
 """Report aggregates (R1-R8): the numbers behind the five charts.
 
 All of them are grouped or global aggregates with partial aggregation on the
-executors. Per-group statistics that need a second pass (box whiskers) join
-the small per-group result back; AQE turns that join into a broadcast when
-the materialised side is small, and keeps a shuffle join otherwise.
+executors. Box statistics come from the counts per (group, value), which are
+joined to the quartiles of their group; correlations come from sums of
+products that tasks add up in numpy.
 """
 
 from __future__ import annotations
 
 import itertools
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellscore.functions.columns import grid_mean, nan_to_null, round_half_even
+from wellscore.operators.gramian import means, products
 
 # Columns of the correlation report, in display order (fixed values).
 CORRELATION_COLUMNS = [
@@ -109,71 +111,18 @@ def risk_distribution(df: DataFrame, c: str = "burnout_score", low: float = 33.0
 
 
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, digits: int = 2) -> DataFrame:
-    """Pearson correlation, pairwise complete, lower triangle without diagonal.
-
-    A one-row pre-pass counts non-null values per column. Without nulls the
-    matrix comes from Spark ML's ``Correlation`` over one assembled vector
-    column (per-partition Gramians merged by a tree aggregate: fixed plan
-    size whatever the column count). With nulls each pair is summed over its
-    own complete rows in one aggregate of mean-centred sums. The k x k result
-    is tiny and becomes the long (row_col, col_col, corr) table. A
-    zero-variance column gives null, as a float correlation gives NaN.
+    """Pearson correlation, pairwise complete, lower triangle without diagonal: (row_col, col_col, corr).
+
+    One pass for the means and one for the sums of products about them (``gramian.products``),
+    with or without missing values; the k x k result is built on the driver. A pair below two
+    complete rows or with a zero-variance column gives null, as a float correlation gives NaN.
     """
-    df = nan_to_null(df)
     cols = [c for c in (cols or CORRELATION_COLUMNS) if c in df.columns]
-    k = len(cols)
-    spark = df.sparkSession
-    schema = "row_col string, col_col string, corr double"
-    pre = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)],
-    ).first()
-    n_all = pre["n"]
-    pairs = list(itertools.combinations(range(k), 2))
-    if n_all < 2:
-        return spark.createDataFrame([(cols[j], cols[i], None) for i, j in pairs], schema)
-    if all(pre[f"c{i}"] == n_all for i in range(k)):
-        import numpy as np
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-
-        vec = VectorAssembler(inputCols=cols, outputCol="__v").transform(df.select([F.col(c).cast("double") for c in cols]))
-        m = Correlation.corr(vec.select("__v"), "__v").first()[0].toArray()
-        scale = float(10**digits)
-
-        def cell(v):
-            return None if np.isnan(v) else float(np.rint(v * scale) / scale)
-
-        return spark.createDataFrame([(cols[j], cols[i], cell(m[j, i])) for i, j in pairs], schema)
-
-    xs = [F.col(c).cast("double") - F.lit(float(pre[f"m{i}"] or 0.0)) for i, c in enumerate(cols)]
-    aggs = []
-    for i, j in pairs:
-        both = F.col(cols[i]).isNotNull() & F.col(cols[j]).isNotNull()
-        a, b = F.when(both, xs[i]), F.when(both, xs[j])
-        aggs += [
-            F.count(a).cast("double").alias(f"n{i}_{j}"),
-            F.sum(a).alias(f"a{i}_{j}"),
-            F.sum(b).alias(f"b{i}_{j}"),
-            F.sum(a * a).alias(f"aa{i}_{j}"),
-            F.sum(b * b).alias(f"bb{i}_{j}"),
-            F.sum(a * b).alias(f"ab{i}_{j}"),
-        ]
-    wide = df.agg(*aggs)
-
-    def r(i, j):
-        n = F.col(f"n{i}_{j}")
-        sa, sb = F.col(f"a{i}_{j}"), F.col(f"b{i}_{j}")
-        sxy = F.col(f"ab{i}_{j}") - sa * sb / n
-        sxx = F.col(f"aa{i}_{j}") - sa * sa / n
-        syy = F.col(f"bb{i}_{j}") - sb * sb / n
-        return F.when(n > 1, F.try_divide(sxy, F.sqrt(sxx * syy)))
-
-    structs = [F.struct(F.lit(cols[j]).alias("row_col"), F.lit(cols[i]).alias("col_col"), r(i, j).alias("corr")) for i, j in pairs]
-    long = wide.select(F.inline(F.array(*structs)))
-    c = F.col("corr")
-    return long.withColumn("corr", F.when(F.isnan(c) | F.isnull(c), F.lit(None).cast("double")).otherwise(round_half_even(c, digits)))
+    sums = products(df, cols, shift=means(df, cols)).get(None)
+    r = sums.correlation() if sums else np.full((len(cols), len(cols)), np.nan)
+    scale = float(10**digits)
+    rows = [(cols[j], cols[i], None if np.isnan(r[j, i]) else float(np.rint(r[j, i] * scale) / scale)) for i, j in itertools.combinations(range(len(cols)), 2)]
+    return df.sparkSession.createDataFrame(rows, "row_col string, col_col string, corr double")
 
 
 def label_names(c: Column, names: dict[int, str] | None = None) -> Column:

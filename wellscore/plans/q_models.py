@@ -53,7 +53,9 @@ def _cv(spark, sf) -> dict[str, list[float]]:
 
 
 def _validated(spark, sf):
-    return md.with_cv(_trained(spark, sf)[0], _cv(spark, sf))
+    _engineered(spark, sf)  # written before both start
+    trained, cv = md.in_threads(spark, [_trained, _cv], lambda f: f(spark, sf))
+    return md.with_cv(trained[0], cv)
 
 
 # --- M ------------------------------------------------------------------------------
@@ -169,6 +171,33 @@ def q_residual_stats(spark, sf):
     return md.residual_stats(_formula_pred(spark, sf), grid=100)
 
 
+def _linear_folds_sql() -> str:
+    """Least squares of every fold's train part by sweeping its matrix of sums of products, in DuckDB SQL."""
+    cols = ["CAST(1 AS DOUBLE)", *[f"CAST({c} AS DOUBLE)" for c in MODEL_FEATURES], TARGET_COL]
+    w = len(cols)
+    at = f"list_extract(a, CAST(t * {w} + e % {w} AS BIGINT) + 1)"
+    return f"""{ctes.with_engineered().replace("WITH ", "WITH RECURSIVE ", 1)},
+tr AS (SELECT *, row_number() OVER (ORDER BY respondent_id) - 1 AS r, count(*) OVER () // 5 AS size, count(*) OVER () % 5 AS longer FROM engineered WHERE {_split_sql()} >= 20),
+fd AS (SELECT *, CASE WHEN r < longer * (size + 1) THEN r // (size + 1) ELSE longer + (r - longer * (size + 1)) // size END AS fold FROM tr),
+xs AS (SELECT respondent_id, fold, unnest(range({w})) AS i, unnest([{", ".join(cols)}]) AS x FROM fd),
+g AS (SELECT a.fold, a.i, b.i AS j, sum(a.x * b.x) AS s FROM xs a JOIN xs b USING (respondent_id) GROUP BY a.fold, a.i, b.i),
+m AS (SELECT k, list(s ORDER BY i, j) AS a FROM (SELECT k, i, j, sum(s) AS s FROM g, range(5) f(k) WHERE fold <> k GROUP BY k, i, j) GROUP BY k),
+sw(k, t, a) AS (SELECT k, 0, a FROM m UNION ALL
+  SELECT k, t + 1, list_transform(range({w * w}), lambda e: CASE WHEN e // {w} = t THEN {at} / list_extract(a, t * {w} + t + 1)
+    ELSE list_extract(a, e + 1) - list_extract(a, (e // {w}) * {w} + t + 1) * {at} / list_extract(a, t * {w} + t + 1) END) FROM sw WHERE t < {w - 1}),
+b AS (SELECT k, unnest(range({w - 1})) AS i, unnest(list_transform(range({w - 1}), lambda e: list_extract(a, e * {w} + {w}))) AS slope FROM sw WHERE t = {w - 1}),
+p AS (SELECT fold, respondent_id, sum(slope * x) AS prediction FROM xs JOIN b ON b.k = xs.fold AND b.i = xs.i GROUP BY fold, respondent_id)
+SELECT CAST(fold AS INTEGER) AS fold, round(1 - sum(({TARGET_COL} - prediction) * ({TARGET_COL} - prediction)) / (var_pop({TARGET_COL}) * count(*)), 7) AS r2
+FROM p JOIN (SELECT respondent_id, {TARGET_COL} FROM fd) USING (respondent_id) GROUP BY fold"""
+
+
+@query("cv_r2_linear", "M8", _linear_folds_sql)
+def q_cv_r2_linear(spark, sf):
+    e = _engineered(spark, sf)
+    r2 = md.linear_cv_r2(md.with_folds(md.split(e)[0]), md.available_features(e))
+    return spark.createDataFrame([(k, round(v, 7)) for k, v in enumerate(r2)], "fold int, r2 double")
+
+
 @query("train_all", "M10")
 def q_train_all(spark, sf):
     return _validated(spark, sf)
@@ -189,8 +218,9 @@ def q_evaluation_report(spark, sf):
 
 @query("feature_importance", "M14")
 def q_feature_importance(spark, sf):
-    _, fitted, _ = _trained(spark, sf)
-    rows = [(name, rank + 1, f, v) for name in ("RandomForest", "GradientBoosting") for rank, (f, v) in enumerate(md.feature_importance(fitted[name]))]
+    shown, fitted = ["RandomForest", "GradientBoosting"], _fitted(spark, sf)
+    fitted |= md.fit_models(md.split(_engineered(spark, sf))[0], [name for name in shown if name not in fitted])
+    rows = [(name, rank + 1, f, v) for name in shown for rank, (f, v) in enumerate(md.feature_importance(fitted[name]))]
     return spark.createDataFrame(rows, "model string, rank int, feature string, importance double")
 
 

@@ -204,6 +204,22 @@ def q_correlation_pairs(spark, sf):
     return rep.correlation_pairs(_engineered(spark, sf))
 
 
+#: Column -> a value is missing in every so many rows.
+MISSING = {"anxiety_level": 17, "depression": 19, "noise_level": 23}
+
+
+def _corr_missing_sql() -> str:
+    holes = ", ".join(f"CASE WHEN respondent_id % {k} = 0 THEN NULL ELSE {c} END AS {c}" for c, k in MISSING.items())
+    return _corr_sql(f"{ctes.with_engineered()}, holed AS (SELECT * REPLACE ({holes}) FROM engineered)", "holed")
+
+
+@query("correlation_missing", "R4 R5", _corr_missing_sql)
+def q_correlation_missing(spark, sf):
+    rid = F.col("respondent_id")
+    holes = {c: F.when(rid % k != 0, F.col(c).cast("double")).when(rid % 2 == 0, F.lit(float("nan"))) for c, k in MISSING.items()}
+    return rep.correlation_pairs(_engineered(spark, sf).withColumns(holes))
+
+
 LABEL_CASE = "CASE stress_level WHEN 0 THEN 'Low (0)' WHEN 1 THEN 'Moderate (1)' WHEN 2 THEN 'High (2)' END"
 
 
