@@ -14,6 +14,7 @@ from wellscore.plans.stored import input_state
 from wellscore.sources import fixtures as fx
 from wellscore.spec import DEFAULT_SPEC, INDICATORS
 from wellscore.streaming import stream as st
+from wellscore.streaming.sheets import complete_sheets, run_stateful
 
 SPEC = DEFAULT_SPEC
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -87,13 +88,42 @@ SELECT respondent_id, strftime(s_start, {DUCK_FMT}) AS session_start, strftime(s
 FROM sess, wm WHERE s_end <= wm.wm AND {answered} = {len(SPEC.features)}"""
 
 
-@query("stream_answers", "ST2", _sessions_sql)
-def q_stream_answers(spark, sf):
+@query("stream_sessions", "ST2", _sessions_sql)
+def q_stream_sessions(spark, sf):
     bank = sv.option_bank(spark, "A", SPEC)
     out = st.run_to_table(spark, st.assemble_answers(_stream(spark, sf, "answers"), bank, "2 hours", "1 hour", SPEC), "st2")
     return out.withColumns({"session_start": F.date_format("session_start", TS_FMT), "session_end": F.date_format("session_end", TS_FMT)})
 
 
+TTL_HOURS = 48
+
+
+def _sheets_sql() -> str:
+    qmap = ", ".join(f"({i}, '{f}')" for i, (f, _, _) in enumerate(INDICATORS))
+    names = [f for f, _, _ in INDICATORS]
+    values = ", ".join(f"max(value) FILTER (WHERE question = {q})" for q in range(len(names)))
+    fresh = f"started IS NULL OR len(list_filter(st.v, lambda x: x IS NOT NULL)) = {len(names)} OR step.us > started + {TTL_HOURS * 3_600_000_000}"
+    return f"""WITH RECURSIVE {_answer_events_sql()}, {bank_cte('A')},
+vals AS (SELECT ev.*, b.value FROM ev JOIN (VALUES {qmap}) q(question, feature) USING (question) JOIN bankA b ON b.feature = q.feature AND b.opt_idx = ev.opt_idx),
+one AS (SELECT respondent_id, ts, question, max_by(value, event_id) AS value, count(*) AS n FROM vals GROUP BY respondent_id, ts, question),
+step AS (SELECT respondent_id, epoch_us(ts) AS us, sum(n) AS n, [{values}] AS v, row_number() OVER (PARTITION BY respondent_id ORDER BY ts) AS i FROM one GROUP BY respondent_id, ts),
+st(respondent_id, i, started, completed, n, v) AS (
+  SELECT DISTINCT respondent_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS HUGEINT), CAST(NULL AS INTEGER[]) FROM step UNION ALL
+  SELECT st.respondent_id, step.i, CASE WHEN {fresh} THEN step.us ELSE started END, step.us, CASE WHEN {fresh} THEN step.n ELSE st.n + step.n END,
+    CASE WHEN {fresh} THEN step.v ELSE list_transform(range({len(names)}), lambda k: coalesce(step.v[k + 1], st.v[k + 1])) END
+  FROM st JOIN step ON step.respondent_id = st.respondent_id AND step.i = st.i + 1)
+SELECT respondent_id, strftime(make_timestamp(started), {DUCK_FMT}) AS started_at, strftime(make_timestamp(completed), {DUCK_FMT}) AS completed_at, CAST(n AS BIGINT) AS n_answers,
+       {', '.join(f'v[{names.index(f) + 1}] AS {f}' for f in SPEC.features)}
+FROM st WHERE len(list_filter(v, lambda x: x IS NOT NULL)) = {len(names)}"""
+
+
+@query("stream_answers", "ST2", _sheets_sql)
+def q_stream_answers(spark, sf):
+    bank = sv.option_bank(spark, "A", SPEC)
+    out = run_stateful(complete_sheets(_stream(spark, sf, "answers"), bank, TTL_HOURS), "sheets")
+    return out.withColumns({c: F.date_format(c, TS_FMT) for c in ("started_at", "completed_at")})
+
+
 @query(
     "stream_dedupe",
     "ST3",
