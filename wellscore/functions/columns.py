@@ -23,9 +23,9 @@ def round_half_even(c: str | Column, digits: int) -> Column:
 
 
 def clip(c: str | Column, lo, hi) -> Column:
-    """Clip to [lo, hi]; null stays null (``least``/``greatest`` would drop nulls)."""
+    """Clip to [lo, hi]; null stays null (``least``/``greatest`` would drop nulls), NaN becomes null."""
     c = col(c)
-    return F.when(c < F.lit(lo), F.lit(lo)).when(c > F.lit(hi), F.lit(hi)).otherwise(c)
+    return F.when(F.isnan(c.cast("double")), F.lit(None)).when(c < F.lit(lo), F.lit(lo)).when(c > F.lit(hi), F.lit(hi)).otherwise(c)
 
 
 def norm(c: str | Column, max_val: float, min_val: float = 0.0) -> Column:

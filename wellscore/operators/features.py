@@ -187,8 +187,8 @@ def formula_score(df: DataFrame, spec: Spec = DEFAULT_SPEC, frozen: tuple[float,
     )
 
 
-def scored_record(df: DataFrame, spec: Spec = DEFAULT_SPEC, score_col: str = "burnout_score", id_col: str = "respondent_id") -> DataFrame:
-    """Nested scored record per row: score, band, advice, input struct, indices."""
+def scored_record(df: DataFrame, spec: Spec = DEFAULT_SPEC, score_col: str = "burnout_score", id_col: str = "respondent_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Nested scored record per row: score, band, advice, input struct, indices, and the columns to ``keep``."""
     band = risk_band(F.col(score_col), spec.band_low, spec.band_moderate)
     return df.select(
         F.col(id_col),
@@ -197,4 +197,5 @@ def scored_record(df: DataFrame, spec: Spec = DEFAULT_SPEC, score_col: str = "bu
         band_advice(band).alias("advice"),
         F.struct(*[F.col(f) for f in spec.features]).alias("input_features"),
         *[F.col(i) for i in spec.indices],
+        *[F.col(c) for c in keep],
     )

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,22 +148,47 @@ def residual_stats(df: DataFrame, label: str = TARGET_COL, pred: str = "predicti
     )
 
 
-def linear_r2(train: Products, held: Products) -> float | None:
-    """R^2 on held-out rows of the least-squares line of the train rows, both given as sums of products (label last)."""
+def least_squares(train: Products) -> tuple[float, np.ndarray]:
+    """(intercept, slopes) from sums of products, label last: of all lines that fit best, the one of smallest norm over standardised columns.
+
+    Collinear columns share a slope and constant ones have none, where an iterative solver stops short."""
     n, s = train.n[0, 0], train.x.diagonal()
     c = train.xx - np.outer(s, s) / n
     scale = np.sqrt(np.maximum(c.diagonal(), 0.0))
-    scale = np.where(scale > 1e-9 * np.sqrt(np.maximum(train.xx.diagonal(), 1e-300)), scale, np.inf)  # a constant column has no slope
+    scale = np.where(scale > 1e-9 * np.sqrt(np.maximum(train.xx.diagonal(), 1e-300)), scale, np.inf)
     z = c / np.outer(scale, scale)
-    slope = np.linalg.lstsq(z[:-1, :-1], c[:-1, -1] / scale[:-1], rcond=1e-12)[0] / scale[:-1]
-    w = np.append(-slope, 1.0)  # the residual before the intercept
-    intercept = w @ s / n
+    slopes = np.linalg.lstsq(z[:-1, :-1], c[:-1, -1] / scale[:-1], rcond=1e-12)[0] / scale[:-1]
+    return float((s[-1] - slopes @ s[:-1]) / n), slopes
+
+
+def linear_r2(train: Products, held: Products) -> float | None:
+    """R^2 on held-out rows of the least-squares line of the train rows, both given as sums of products."""
+    intercept, slopes = least_squares(train)
+    w = np.append(-slopes, 1.0)  # the residual before the intercept
     m, t = held.n[0, 0], held.x.diagonal()
     sse = w @ held.xx @ w - 2 * intercept * (w @ t) + m * intercept**2
     sst = held.xx[-1, -1] - t[-1] ** 2 / m
     return None if sst <= 0 else float(1.0 - sse / sst)
 
 
+def fit_linear(train: DataFrame, features: list[str], label: str = TARGET_COL) -> PipelineModel:
+    """The linear model as a pipeline to save: the feature columns' assembler and the line as an SQL stage.
+
+    One pass for the means and one for the sums of products; rows with a missing value are left out,
+    and a row to score with one has no prediction."""
+    cols = [*features, label]
+    x = train.dropna(subset=cols)
+    shift = np.array(means(x, cols))
+    sums = products(x, cols, shift=list(shift)).get(None)
+    if sums is None:
+        raise ValueError("no complete row to fit")
+    intercept, slopes = least_squares(sums)
+    intercept += shift[-1] - slopes @ shift[:-1]
+    terms = [f"({float(v)!r}D * CAST(`{f}` AS DOUBLE))" for f, v in zip(features, slopes, strict=True)]
+    line = SQLTransformer(statement=f"SELECT *, ({' + '.join([f'({float(intercept)!r}D)', *terms])}) AS prediction FROM __THIS__")
+    return PipelineModel([VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"), line])
+
+
 def linear_cv_r2(folded: DataFrame, features: list[str], label: str = TARGET_COL, folds: int = 5) -> list[float | None]:
     """R^2 of the linear model on every fold, fitted on the others: one pass for the sums of products of every fold.
 
@@ -221,8 +246,12 @@ def fit_models(train: DataFrame, names: list[str], cfg: ModelConfig = FULL, para
     """The named models, fitted on the train part at the same time."""
     features, ests = available_features(train), estimators(cfg)
     kept = train.select(*features, TARGET_COL).persist()
+
+    def fit(name: str) -> PipelineModel:
+        return fit_linear(kept, features) if isinstance(ests[name], LinearRegression) else make_pipeline(features, ests[name]).fit(kept)
+
     try:
-        models = in_threads(train.sparkSession, names, lambda name: make_pipeline(features, ests[name]).fit(kept), parallelism)
+        models = in_threads(train.sparkSession, names, fit, parallelism)
     finally:
         kept.unpersist()
     return dict(zip(names, models, strict=True))

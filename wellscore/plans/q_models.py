@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from wellscore.operators import features as feat
 from wellscore.operators import models as md
+from wellscore.operators.predict import predict
 from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
+from wellscore.plans.linear_sql import linear_ctes, prediction
+from wellscore.plans.q_drivers import _contrib_sql
 from wellscore.plans.q_report import _engineered
 from wellscore.plans.registry import query
 from wellscore.plans.stored import input_state
@@ -22,6 +25,7 @@ SPEC = DEFAULT_SPEC
 _TRAINED: dict[tuple, tuple] = {}
 _FITTED: dict[tuple, dict] = {}
 _CV: dict[tuple, dict] = {}
+_SAVED: dict[tuple, str] = {}
 
 
 def _session_key(spark, sf) -> tuple:
@@ -100,14 +104,26 @@ def _fitted(spark, sf) -> dict:
 
 
 def _fit_one(spark, sf, name):
-    e = _engineered(spark, sf)
-    train, test = md.split(e)
-    model = md.make_pipeline(md.available_features(e), md.estimators()[name]).fit(train)
-    _fitted(spark, sf)[name] = model
-    return md.regression_metrics(model.transform(test)).withColumn("model", F.lit(name))
+    train, test = md.split(_engineered(spark, sf))
+    fitted = _fitted(spark, sf)
+    fitted |= md.fit_models(train, [name])
+    return md.regression_metrics(fitted[name].transform(test)).withColumn("model", F.lit(name))
+
+
+def _linear_cte() -> str:
+    """The engineered table, the linear model `lc` of its train part and `lt`, its predictions for the test part."""
+    return f"""{ctes.with_engineered().replace("WITH ", "WITH RECURSIVE ", 1)},
+tr AS (SELECT * FROM engineered WHERE {_split_sql()} >= 20), {linear_ctes("tr")},
+lt AS (SELECT respondent_id, {TARGET_COL} AS y, {prediction()} AS p FROM engineered, lc WHERE {_split_sql()} < 20)"""
+
 
+def _linear_metrics_sql() -> str:
+    return f"""{_linear_cte()}
+SELECT {S.rnd("avg(abs(p - y))", 4)} AS mae, {S.rnd("sqrt(avg((p - y) * (p - y)))", 4)} AS rmse,
+       {S.rnd("1 - sum((p - y) * (p - y)) / (var_pop(y) * count(y))", 4)} AS r2, 'LinearRegression' AS model FROM lt"""
 
-@query("model_lr", "M4")
+
+@query("model_lr", "M4", _linear_metrics_sql)
 def q_model_lr(spark, sf):
     return _fit_one(spark, sf, "LinearRegression")
 
@@ -239,13 +255,73 @@ def q_scan_csv_roundtrip(spark, sf):
     return io.read_csv(spark, path, io.survey_schema(SPEC))
 
 
-@query("model_roundtrip", "S3 S4 Q2 Q3")
+def _scored_features(source: str, key: str = "respondent_id") -> str:
+    """CTE `sf`: the indicators of ``source`` with the features rebuilt for scoring."""
+    return f"sf AS (SELECT *, {S.select_list(S.index_exprs(SPEC, 'score'))}, {S.select_list(S.interaction_exprs('score'))} FROM {source})"
+
+
+def _clipped(p: str) -> str:
+    return S.rnd(f"least(greatest({p}, {S.D(0.0)}), {S.D(100.0)})", 2)
+
+
+def _saved_linear(spark, sf) -> str:
+    """The folder of the linear model, fitted on the train part and saved; once per session."""
+    key = _session_key(spark, sf)
+    if key not in _SAVED:
+        fitted = _fitted(spark, sf)
+        if "LinearRegression" not in fitted:
+            fitted |= md.fit_models(md.split(_engineered(spark, sf))[0], ["LinearRegression"])
+        _SAVED[key] = io.save_model(fitted["LinearRegression"], scratch_path(spark, "model"))
+    return _SAVED[key]
+
+
+def _batch_predict_sql() -> str:
+    return f"""{_linear_cte()},
+{_scored_features("respondents")},
+sc AS (SELECT sf.*, {_clipped(prediction())} AS burnout_score FROM sf, lc),
+banded AS (SELECT *, {S.band_expr("burnout_score")} AS risk_level FROM sc),
+contrib AS ({_contrib_sql("banded")}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY respondent_id ORDER BY stress_contribution DESC, pos) AS rank FROM contrib),
+top AS (SELECT respondent_id, string_agg(name || '=' || CAST(stress_contribution AS VARCHAR), ',' ORDER BY rank) AS drivers FROM ranked WHERE rank <= 3 GROUP BY respondent_id)
+SELECT respondent_id, burnout_score, risk_level, {", ".join(SPEC.indices)}, drivers FROM banded JOIN top USING (respondent_id)"""
+
+
+@query("batch_predict", "Q2 Q3 Q4 Q5 S3 D2", _batch_predict_sql)
+def q_batch_predict(spark, sf):
+    """Every respondent scored with the saved linear model, the best one on these tables."""
+    model = io.load_model(_saved_linear(spark, sf))
+    out = predict(fx.respondents(spark, sf), model, spec=SPEC)
+    drivers = F.array_join(F.transform("stress_drivers", lambda d: F.concat(d["name"], F.lit("="), d["stress_contribution"].cast("string"))), ",")
+    return out.select("respondent_id", "burnout_score", "risk_level", *SPEC.indices, drivers.alias("drivers"))
+
+
+@query("best_residuals", "M13", lambda: f"""{_linear_cte()}
+SELECT {S.rnd("avg(y - p)", 4)} AS mean, {S.rnd("stddev_pop(y - p)", 4)} AS std, {S.rnd("max(abs(y - p))", 4)} AS max_abs FROM lt""")
+def q_best_residuals(spark, sf):
+    """Residuals of the saved linear model, the best one on these tables."""
+    _, test = md.split(_engineered(spark, sf))
+    return md.residual_stats(io.load_model(_saved_linear(spark, sf)).transform(test))
+
+
+def _feature_list_sql() -> str:
+    rows = ", ".join(f"({i}, '{f}')" for i, f in enumerate(MODEL_FEATURES))
+    return f"""{ctes.with_engineered()}, l(position, feature) AS (VALUES {rows}), n AS (SELECT count(*) AS n FROM engineered WHERE {_split_sql()} >= 20)
+SELECT CAST(position AS INTEGER) AS position, feature, n AS train_rows FROM l, n"""
+
+
+@query("feature_manifest", "S4", _feature_list_sql)
+def q_feature_manifest(spark, sf):
+    """The columns of the saved model in order, written as a table beside it and read back."""
+    path = _saved_linear(spark, sf)
+    io.write_manifest(spark, io.load_model(path), f"{path}-features", md.split(_engineered(spark, sf))[0].count())
+    return io.read_manifest(spark, f"{path}-features")
+
+
+@query("model_roundtrip", "S3 S4 Q2 Q3", lambda: f"""{_linear_cte()},
+{_scored_features("respondents")} SELECT respondent_id, {_clipped(prediction())} AS burnout_score FROM sf, lc WHERE {_split_sql()} < 20""")
 def q_model_roundtrip(spark, sf):
-    e = _engineered(spark, sf)
-    train, test = md.split(e)
-    model = md.make_pipeline(md.available_features(e), md.estimators()["LinearRegression"]).fit(train)
-    path = io.save_model(model, scratch_path(spark, "model"))
-    loaded = io.load_model(path)
+    _, test = md.split(_engineered(spark, sf))
+    loaded = io.load_model(_saved_linear(spark, sf))
     records = io.with_missing_features(feat.score_features(test.select("respondent_id", *SPEC.features)), io.model_features(loaded))
     return loaded.transform(records).select("respondent_id", feat.clip_score(F.col("prediction")).alias("burnout_score"))
 

@@ -8,12 +8,15 @@ from wellscore.operators import features as feat
 from wellscore.operators import survey as sv
 from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
+from wellscore.plans.linear_sql import prediction
+from wellscore.plans.q_models import _clipped, _linear_cte, _saved_linear, _scored_features
 from wellscore.plans.q_survey import bank_cte
 from wellscore.plans.registry import query
 from wellscore.plans.stored import input_state
 from wellscore.sources import fixtures as fx
 from wellscore.spec import DEFAULT_SPEC, INDICATORS
 from wellscore.streaming import stream as st
+from wellscore.streaming.scoring import run_to_batches, score_with_model
 from wellscore.streaming.sheets import complete_sheets, run_stateful
 
 SPEC = DEFAULT_SPEC
@@ -70,6 +73,19 @@ def q_stream_score(spark, sf):
     return out.select("event_id", "burnout_score", "risk_level")
 
 
+def _model_stream_sql() -> str:
+    rec = ", ".join(fx.respondent_exprs("duckdb", key="event_id", cohort="event_type"))
+    return f"""{_linear_cte()}, rec AS (SELECT {rec} FROM events), {_scored_features("rec")},
+sc AS (SELECT respondent_id AS event_id, {_clipped(prediction())} AS burnout_score FROM sf, lc)
+SELECT event_id, burnout_score, {S.band_expr("burnout_score")} AS risk_level FROM sc"""
+
+
+@query("stream_score_model", "ST1 Q2", _model_stream_sql)
+def q_stream_score_model(spark, sf):
+    scored = score_with_model(_stream(spark, sf, "records"), _saved_linear(spark, sf), SPEC)
+    return run_to_batches(scored, "st1m").select("event_id", "burnout_score", "risk_level")
+
+
 def _sessions_sql(gap_h: int = 2, delay_h: int = 1) -> str:
     vals_f = ", ".join(f"max_by(value, ts) FILTER (WHERE feature = '{f}') AS {f}" for f in SPEC.features)
     answered = " + ".join(f"CAST({f} IS NOT NULL AS INTEGER)" for f in SPEC.features)
