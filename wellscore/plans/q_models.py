@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wellscore.operators import features as feat
 from wellscore.operators import models as md
@@ -342,7 +343,25 @@ def q_run_log(spark, sf):
     path = scratch_path(spark, "runlog")
     for _ in range(2):
         io.append_run_log(metrics, path, uuid.uuid4().hex, md.parameters())
-    return spark.read.parquet(path)
+    return io.read_run_log(spark, path)
+
+
+def _run_log_sql() -> str:
+    m = "SELECT * FROM (" + _linear_metrics_sql()[len(_linear_cte()):] + ")"
+    return f"""{_linear_cte()}, m AS ({m}), k(run_id, folds) AS (VALUES ('run-a', 5.0), ('run-b', 6.0))
+SELECT run_id, 'LinearRegression' AS model, key, value FROM k, (UNPIVOT m ON mae, rmse, r2 INTO NAME key VALUE value)
+UNION ALL SELECT run_id, 'LinearRegression', 'param.folds', CAST(folds AS DOUBLE) FROM k"""
+
+
+@query("run_log_linear", "S6", _run_log_sql)
+def q_run_log_linear(spark, sf):
+    """Two runs of the linear model in the log, the first written twice and the second three times."""
+    _, test = md.split(_engineered(spark, sf))
+    metrics = md.regression_metrics(io.load_model(_saved_linear(spark, sf)).transform(test)).withColumn("model", F.lit("LinearRegression")).persist()
+    path = scratch_path(spark, "runlog")
+    for run_id, folds in (("run-a", 5), ("run-b", 1), ("run-a", 5), ("run-b", 2), ("run-b", 6)):
+        io.append_run_log(metrics, path, run_id, {"LinearRegression": {"folds": folds}})
+    return io.read_run_log(spark, path)
 
 
 def _json_sql() -> str:
@@ -372,3 +391,95 @@ def q_json_score_in_out(spark, sf):
     path = scratch_path(spark, "json")
     out.write.mode("overwrite").json(path)
     return spark.read.schema("respondent_id bigint, burnout_score double, risk_level string").json(path)
+
+
+#: Every so many respondents, a planted fault of the CSV line or the JSON record; the first that applies counts.
+CSV_FAULTS = {"type": 97, "short": 89, "long": 83}
+JSON_FAULTS = {"cut": 31, "text": 37, "word": 41, "absent": 43, "extra": 47, "fraction": 53, "list": 59}
+
+
+def _fault(faults: dict[str, int]):
+    out = F.lit("")
+    for name, k in reversed(faults.items()):
+        out = F.when(F.col("respondent_id") % k == 0, F.lit(name)).otherwise(out)
+    return out
+
+
+def _fault_sql(faults: dict[str, int]) -> str:
+    return "CASE " + " ".join(f"WHEN respondent_id % {k} = 0 THEN '{name}'" for name, k in faults.items()) + " ELSE '' END"
+
+
+def _dirty_csv(spark, sf) -> str:
+    """A folder of CSV files of the respondents with planted bad lines."""
+    cols = [f.name for f in io.survey_schema(SPEC).fields]
+    r = fx.respondents(spark, sf).withColumn("fault", _fault(CSV_FAULTS))
+    head = F.concat_ws(",", *[F.col(c).cast("string") for c in cols[:-1]])
+    broken = F.when(F.col("fault") == "type", F.concat(head, F.lit(",high"))).when(F.col("fault") == "short", head)
+    whole = F.concat(head, F.lit(","), F.col(cols[-1]).cast("string"))
+    lines = r.select(F.coalesce(broken, F.when(F.col("fault") == "long", F.concat(whole, F.lit(",9"))), whole).alias(",".join(cols)))
+    path = scratch_path(spark, "dirty-csv")
+    lines.write.option("header", True).option("quote", "").option("sep", "\t").csv(path)
+    return path
+
+
+@query("csv_good_rows", "S1", lambda: f"WITH {ctes.respondents()} SELECT * EXCLUDE (cohort) FROM respondents WHERE {_fault_sql(CSV_FAULTS)} = ''")
+def q_csv_good_rows(spark, sf):
+    return io.read_csv_with_rejects(spark, _dirty_csv(spark, sf), io.survey_schema(SPEC))[0]
+
+
+def _csv_rejects_sql() -> str:
+    cols = [f.name for f in io.survey_schema(SPEC).fields]
+    head = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in cols[:-1])
+    return f"""WITH {ctes.respondents()}, f AS (SELECT *, {_fault_sql(CSV_FAULTS)} AS fault FROM respondents)
+SELECT {head} || CASE fault WHEN 'type' THEN ',high' WHEN 'short' THEN '' ELSE ',' || CAST({cols[-1]} AS VARCHAR) || ',9' END AS line,
+       CAST(CASE WHEN fault = 'long' THEN {len(cols)} ELSE {len(cols) - 1} END AS INTEGER) AS n_read, CASE WHEN fault = 'type' THEN 'type:{cols[-1]}' ELSE 'fields' END AS reason FROM f WHERE fault <> ''"""
+
+
+@query("csv_rejects", "S1", _csv_rejects_sql)
+def q_csv_rejects(spark, sf):
+    return io.read_csv_with_rejects(spark, _dirty_csv(spark, sf), io.survey_schema(SPEC))[1]
+
+
+def _csv_types_sql() -> str:
+    cols = [f.name for f in io.survey_schema(SPEC).fields]
+    rows = [f"SELECT '{c}' AS column_name, 'int' AS type, count(*) FILTER (WHERE fault <> 'short' OR {i} < {len(cols) - 1}) AS n_values, {'count(*) FILTER (WHERE fault = ' + chr(39) + 'type' + chr(39) + ')' if i == len(cols) - 1 else 0} AS n_misfits FROM f" for i, c in enumerate(cols)]
+    return f"WITH {ctes.respondents()}, f AS (SELECT *, {_fault_sql(CSV_FAULTS)} AS fault FROM respondents) " + " UNION ALL ".join(rows)
+
+
+@query("csv_types", "S1", _csv_types_sql)
+def q_csv_types(spark, sf):
+    """Inferred types of the file with planted faults, 2 % misfits allowed."""
+    return io.inferred_types(spark, _dirty_csv(spark, sf), tolerance=0.02)
+
+
+def _json_records_sql() -> str:
+    rejected = {"cut": "malformed", "word": "type:sleep_quality", "absent": "missing:depression", "fraction": "type:headache", "list": "not_an_object"}
+    reason = "CASE fault " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rejected.items()) + " END"
+    notes = "CASE fault WHEN 'text' THEN 'text:anxiety_level' WHEN 'extra' THEN 'extra:mood' ELSE '' END"
+    total = " + ".join(SPEC.features)
+    return f"""WITH {ctes.respondents()}, f AS (SELECT *, {_fault_sql(JSON_FAULTS)} AS fault FROM respondents), r AS (SELECT *, {reason} AS reason, {notes} AS notes FROM f)
+SELECT respondent_id, reason, notes, CASE WHEN reason IS NULL THEN {total} END AS total FROM r"""
+
+
+@query("json_records", "S7", _json_records_sql)
+def q_json_records(spark, sf):
+    """JSON records with planted faults, read one by one: why each was rejected, what was noted, and the sum of its indicators."""
+    r = fx.respondents(spark, sf).withColumn("fault", _fault(JSON_FAULTS))
+    fault = F.col("fault")
+    text = F.to_json(F.struct(*[F.col(c) for c in SPEC.features]))
+    swap = lambda f, value: F.regexp_replace(text, f'"{f}":-?[0-9]+', value)
+    text = (
+        F.when(fault == "cut", F.substring(text, 1, 40))
+        .when(fault == "text", swap("anxiety_level", F.concat(F.lit('"anxiety_level":"'), F.col("anxiety_level"), F.lit('"'))))
+        .when(fault == "word", swap("sleep_quality", F.lit('"sleep_quality":"bad"')))
+        .when(fault == "absent", swap("depression", F.lit('"depressed":1')))
+        .when(fault == "extra", F.concat(F.lit('{"mood":1,'), F.substring(text, 2, 100_000)))
+        .when(fault == "fraction", swap("headache", F.lit('"headache":2.5')))
+        .when(fault == "list", F.concat(F.lit("["), text, F.lit("]")))
+        .otherwise(text)
+    )
+    schema = T.StructType([f for f in io.survey_schema(SPEC, key=None).fields if f.name in SPEC.features])
+    read = io.read_json_records(r.select("respondent_id", text.alias("json")), "json", schema)
+    total = sum((F.col(f"record.{f}") for f in SPEC.features[1:]), F.col(f"record.{SPEC.features[0]}"))
+    notes = F.when(F.col("reason").startswith("missing"), F.lit("")).otherwise(F.col("notes"))
+    return read.select("respondent_id", "reason", notes.alias("notes"), total.cast("long").alias("total"))
