@@ -133,11 +133,10 @@ def outlier_counts(df: DataFrame, cols: list[str], threshold: float = 1.5, total
 
 
 def categories(df: DataFrame, cols: list[str], max_categories: int | None = None) -> dict[str, list[str]]:
-    """Sorted distinct values per categorical column.
+    """Sorted distinct values per categorical column, for columns narrow enough to be named dummies.
 
-    One distinct-aggregate job per column, capped at ``max_categories + 1``
-    rows on the driver; more than the cap is an error (not a categorical
-    column), never a silent cut.
+    One distinct-aggregate job per column. With ``max_categories``, a wider column is an error, never a
+    silent cut; ``categories.sparse_one_hot`` encodes columns of any width.
     """
     out = {}
     for c in cols:

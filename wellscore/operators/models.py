@@ -333,12 +333,24 @@ def evaluate_saved(dirs: dict[str, str], test: DataFrame, label: str = TARGET_CO
     return evaluate({name: PipelineModel.load(path) for name, path in dirs.items()}, test, label)
 
 
+def all_predictions(models: dict[str, PipelineModel], test: DataFrame, label: str = TARGET_COL) -> DataFrame:
+    """(label, predictions): every row once, with array<struct<model, prediction>> of all models in order."""
+    df = test
+    for i, m in enumerate(models.values()):
+        made = [c for c in m.transform(df.limit(0)).columns if c not in df.columns and c != "prediction"]
+        df = m.transform(df).withColumnRenamed("prediction", f"__p{i}").drop(*made)
+    pairs = [F.struct(F.lit(name).alias("model"), F.col(f"__p{i}").cast("double").alias("prediction")) for i, name in enumerate(models)]
+    return df.select(label, F.array(*pairs).alias("predictions"))
+
+
 def evaluate(models: dict[str, PipelineModel], test: DataFrame, label: str = TARGET_COL) -> DataFrame:
-    """Union of every model's test predictions, metrics and residual statistics grouped by model."""
-    preds = None
-    for name, m in models.items():
-        p = m.transform(test).select(F.lit(name).alias("model"), F.col(label), F.col("prediction"))
-        preds = p if preds is None else preds.unionByName(p)
+    """Metrics and residual statistics of every model: one scan of the test part applies all models."""
+    return evaluate_predictions(all_predictions(models, test, label), label)
+
+
+def evaluate_predictions(rows: DataFrame, label: str = TARGET_COL) -> DataFrame:
+    """Metrics and residual statistics by model, one aggregate over rows that hold all predictions in an array."""
+    preds = rows.select(label, F.inline("predictions"))
     e = F.col("prediction") - F.col(label)
     g = preds.groupBy("model").agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("sse"), (F.var_pop(label) * F.count(label)).alias("sst"),

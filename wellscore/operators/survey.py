@@ -44,6 +44,49 @@ def option_bank(spark: SparkSession, bank: str | None = None, spec: Spec = DEFAU
     return df.where(F.col("bank") == bank) if bank else df
 
 
+BANK_FILE = "bank string, questions array<struct<feature: string, section: string, question: string, options: array<struct<label: string, value: int>>>>"
+
+
+def write_bank(bank: DataFrame, path: str) -> None:
+    """A long option bank as one JSON list, an object per bank: its questions in order, each with its options. Banks are small."""
+    options = F.transform(F.array_sort(F.collect_list(F.struct("opt_idx", "label", "value"))), lambda o: F.struct(o["label"].alias("label"), o["value"].alias("value")))
+    asked = bank.groupBy("bank", "q_pos", "feature", "section", "question").agg(options.alias("options"))
+    questions = F.transform(F.array_sort(F.collect_list(F.struct("q_pos", "feature", "section", "question", "options"))), lambda q: q.dropFields("q_pos"))
+    banks = asked.groupBy("bank").agg(questions.alias("questions"))
+    whole = banks.agg(F.to_json(F.sort_array(F.collect_list(F.struct("bank", "questions"))), {"pretty": "true"}).alias("value"))
+    whole.write.mode("overwrite").text(path)
+
+
+def read_bank(spark: SparkSession, path: str) -> DataFrame:
+    """The long option bank from JSON files, each a bank or a list of banks over any number of lines: positions and option numbers follow the file."""
+    whole = spark.read.schema(BANK_FILE).option("multiLine", True).json(path)
+    asked = whole.select("bank", F.posexplode_outer("questions").alias("q_pos", "q"))
+    chosen = asked.select("bank", "q_pos", "q.feature", "q.section", "q.question", F.posexplode_outer("q.options").alias("o", "option"))
+    return chosen.select("bank", F.col("q_pos").cast("int"), "feature", "section", "question", (F.col("o") + 1).cast("int").alias("opt_idx"), "option.label", "option.value")
+
+
+def bank_issues(bank: DataFrame, spec: Spec = DEFAULT_SPEC) -> DataFrame:
+    """(bank, feature, issue) of all checks V9 to V11: missing, extra, duplicate, too_few_options, out_of_range, empty_label, not_low, not_high."""
+    names = [r[0] for r in bank.select("bank").distinct().orderBy("bank").collect()]  # one row per bank
+    expected = bank.sparkSession.createDataFrame([(f,) for f in spec.features], "feature string")
+    rules = bank_rules(bank.where("feature IS NOT NULL"), spec)
+    span = bank_span(bank, spec)
+    checks = {"too_few_options": F.col("n_options") < 2, "out_of_range": F.col("n_out_of_range") > 0, "empty_label": F.col("n_empty_labels") > 0}
+    listed = lambda df, of: df.select("bank", "feature", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in of.items()]))).alias("issue"))
+    out = listed(rules, checks).unionByName(listed(span, {"not_low": ~F.col("reaches_low"), "not_high": ~F.col("reaches_high")}))
+    return bank_coverage(bank, expected, names).unionByName(out) if names else out
+
+
+def load_bank(spark: SparkSession, path: str, spec: Spec = DEFAULT_SPEC, banks: list[str] | None = None) -> DataFrame:
+    """The banks of a file (those named, or all), checked before use; a bank with issues is an error that names the first of them."""
+    bank = read_bank(spark, path)
+    bank = bank.where(F.col("bank").isin(banks)).persist() if banks else bank.persist()
+    found = bank_issues(bank, spec).orderBy("bank", "feature", "issue").limit(20).collect()
+    if found or not bank.take(1):
+        raise ValueError("option bank: " + ("; ".join(f"{r['bank']}/{r['feature']}: {r['issue']}" for r in found) or "no questions"))
+    return bank
+
+
 def option_usage(answers: DataFrame, bank: DataFrame) -> DataFrame:
     """How many answers picked each option (A1 over the data).
 

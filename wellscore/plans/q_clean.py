@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from wellscore.operators import clean as cl
 from wellscore.operators import features as feat
 from wellscore.operators import report as rep
+from wellscore.operators.categories import sparse_one_hot
 from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
 from wellscore.plans.q_report import _corr_sql
@@ -167,3 +170,19 @@ def q_correlation_clean(spark, sf):
         return feat.engineer(cleaned, SPEC)
 
     return rep.correlation_pairs(stored(spark, "engineered_clean", sf, build, SPEC))
+
+
+def _sparse_sql() -> str:
+    return f"""WITH {ctes.dirty()}, d AS (SELECT DISTINCT respondent_id, 'r' || respondent_id AS person, cohort FROM dirty),
+l AS (SELECT respondent_id, 'person' AS c, person AS v FROM d UNION ALL SELECT respondent_id, 'cohort', cohort FROM d),
+u AS (SELECT DISTINCT c, v FROM l WHERE v IS NOT NULL),
+n AS (SELECT c, v, row_number() OVER (ORDER BY c, v) - 1 AS idx FROM u WHERE v > (SELECT min(v) FROM u u2 WHERE u2.c = u.c))
+SELECT respondent_id, (SELECT count(*) FROM n) AS size, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS indices FROM l LEFT JOIN n USING (c, v) GROUP BY respondent_id"""
+
+
+@query("one_hot_sparse", "P8", _sparse_sql)
+def q_one_hot_sparse(spark, sf):
+    """A category per respondent and the cohort, which is null for some, as sparse one-hot rows."""
+    d = fx.respondents_dirty(spark, sf).select("respondent_id", F.concat(F.lit("r"), "respondent_id").alias("person"), "cohort").distinct()
+    out = sparse_one_hot(d, "respondent_id", ["person", "cohort"])
+    return out.withColumn("indices", F.array_join("indices", ","))

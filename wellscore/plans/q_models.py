@@ -233,6 +233,31 @@ def q_evaluation_report(spark, sf):
     return md.evaluate_saved(md.saved_model_dirs(model_dir, list(fitted)), test).withColumn("best_model", F.lit(best))
 
 
+#: Deterministic predictors of the evaluation query, as SQL over the formula's prediction.
+PREDICTORS = {"formula": "prediction", "shifted": "prediction + 1.5", "mirror": "100.0 - prediction", "flat": "50.0"}
+
+
+def _evaluation_sql() -> str:
+    parts = " UNION ALL ".join(f"SELECT {i} AS position, '{name}' AS model, burnout_score AS y, CAST({e} AS DOUBLE) AS p FROM pred" for i, (name, e) in enumerate(PREDICTORS.items()))
+    r = lambda e: S.rnd(e, 4)
+    return f"""{_formula_pred_cte()}, l AS ({parts}),
+m AS (SELECT position, model, {r("avg(abs(p - y))")} AS mae, {r("sqrt(avg((p - y) * (p - y)))")} AS rmse, {r("1 - sum((p - y) * (p - y)) / (var_pop(y) * count(y))")} AS r2,
+  {r("avg(y - p)")} AS residual_mean, {r("stddev_pop(y - p)")} AS residual_std, {r("max(abs(y - p))")} AS residual_max_abs FROM l GROUP BY position, model)
+SELECT * EXCLUDE (position), model = (SELECT model FROM m ORDER BY r2 DESC, position LIMIT 1) AS is_best FROM m"""
+
+
+@query("evaluation_formula", "M11 M12 M15", _evaluation_sql)
+def q_evaluation_formula(spark, sf):
+    """The evaluation over deterministic predictors, whose metrics SQL can state, and the best of them."""
+    pairs = [F.struct(F.lit(name).alias("model"), F.expr(e).cast("double").alias("prediction")) for name, e in PREDICTORS.items()]
+    path = scratch_path(spark, "formula")  # written: the formula is evaluated once, not once per predictor
+    _formula_pred(spark, sf).write.parquet(path)
+    m = md.evaluate_predictions(spark.read.parquet(path).select(TARGET_COL, F.array(*pairs).alias("predictions"))).persist()  # one row per model
+    place = F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(PREDICTORS) for x in (name, i)]), F.col("model"))
+    best = md.best_model(m.withColumn("position", place)).select(F.col("model").alias("best"))
+    return m.join(F.broadcast(best), m.model == best.best, "left").withColumn("is_best", F.col("best").isNotNull()).drop("best")
+
+
 @query("feature_importance", "M14")
 def q_feature_importance(spark, sf):
     shown, fitted = ["RandomForest", "GradientBoosting"], _fitted(spark, sf)

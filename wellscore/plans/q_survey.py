@@ -8,7 +8,8 @@ from wellscore.operators import features as feat
 from wellscore.operators import survey as sv
 from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
-from wellscore.plans.registry import query
+from wellscore.plans.registry import REGISTRY, query
+from wellscore.session import scratch_path
 from wellscore.sources import fixtures as fx
 from wellscore.spec import DEFAULT_SPEC, OPTION_BANKS
 
@@ -45,6 +46,19 @@ def q_option_bank(spark, sf):
     return sv.option_usage(fx.answers(spark, sf).withColumn("bank", sheet), _bank(spark, None))
 
 
+def _file_bank_sql() -> str:
+    return f"SELECT * FROM ({REGISTRY['option_bank'].sql}) WHERE bank IN ('A', 'B', 'C')"
+
+
+@query("option_bank_file", "A1 V9 V10 V11", _file_bank_sql)
+def q_option_bank_file(spark, sf):
+    """The use of every option of the complete banks, written to a file, read back and checked (D and E lack or add an indicator)."""
+    path = scratch_path(spark, "bank-file")
+    sv.write_bank(_bank(spark, None), path)
+    sheet = F.substring(F.lit("ABCDE"), (F.col("respondent_id") % 5).cast("int") + 1, F.lit(1))
+    return sv.option_usage(fx.answers(spark, sf).withColumn("bank", sheet), sv.load_bank(spark, path, SPEC, ["A", "B", "C"]))
+
+
 @query(
     "answers_to_values",
     "A2",
