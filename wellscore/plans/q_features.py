@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wellscore.operators import features as feat
+from wellscore.operators.score_store import add_batch, scores
 from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
 from wellscore.plans.registry import query
+from wellscore.session import scratch_path
 from wellscore.sources import fixtures as fx
 from wellscore.spec import DEFAULT_SPEC, INDEX_TERMS, INTERACTIONS
 
@@ -142,3 +144,13 @@ def q_scored_record(spark, sf):
     # the nested input struct is flattened to text for the flat oracle compare
     flat = F.concat_ws(",", *[F.col(f"input_features.{f}").cast("string") for f in SPEC.features])
     return rec.withColumn("input_features", flat)
+
+
+@query("minmax_incremental", "F14", lambda: f"{ctes.with_engineered()} SELECT respondent_id, burnout_score, respondent_id % 3 AS batch_id FROM engineered")
+def q_minmax_incremental(spark, sf):
+    """The score of all respondents in three batches, the second of them added twice."""
+    path = scratch_path(spark, "score-store")
+    r = fx.respondents(spark, sf)
+    for b in (0, 1, 1, 2):
+        add_batch(r.where(F.col("respondent_id") % 3 == b), path, b, SPEC)
+    return scores(spark, path).withColumn("batch_id", F.col("batch_id").cast("long"))

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from wellscore.operators import features as feat
 from wellscore.operators import report as rep
+from wellscore.operators import sketches
 from wellscore.operators import validate as val
 from wellscore.plans import ctes
 from wellscore.plans import sqlspec as S
 from wellscore.plans.registry import query
 from wellscore.plans.stored import stored
+from wellscore.session import scratch_path
 from wellscore.sources import fixtures as fx
 from wellscore.spec import DEFAULT_SPEC, INDEX_TERMS
 
@@ -106,6 +108,29 @@ def q_score_describe(spark, sf):
     return val.describe(_engineered(spark, sf), "burnout_score", grid=100)
 
 
+PRICES = ["l_extendedprice", "l_quantity"]
+
+
+def _batches_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, true AS p25_ok, true AS p50_ok, true AS p75_ok FROM lineitem" for c in PRICES]
+    return " UNION ALL ".join(parts)
+
+
+@query("describe_batches", "V6", _batches_sql)
+def q_describe_batches(spark, sf):
+    """Summary of two unbounded columns from four batches' sketches; each quantile's rank is checked to 1 % against all rows."""
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", *PRICES)
+    path = scratch_path(spark, "sketches")
+    for b in range(4):
+        sketches.add_batch(items.where(F.col("l_orderkey") % 4 == b), PRICES, path, b)
+    out = sketches.merged(sketches.read_parts(spark, path)).persist()  # one row per column
+    probs, found = [0.25, 0.5, 0.75], {r["column_name"]: r["quantiles"] for r in out.collect()}
+    ranks = [F.struct(F.lit(c).alias("column_name"), *[F.struct((F.avg((F.col(c) < q).cast("double"))).alias("lo"), (F.avg((F.col(c) <= q).cast("double"))).alias("hi")).alias(f"p{i}") for i, q in enumerate(found[c])]) for c in PRICES]
+    exact = items.agg(*[s.alias(f"s{i}") for i, s in enumerate(ranks)]).select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(PRICES))])))
+    ok = [((F.col(f"p{i}.lo") <= p + 0.01) & (F.col(f"p{i}.hi") >= p - 0.01)).alias(f"p{int(100 * p)}_ok") for i, p in enumerate(probs)]
+    return out.join(exact, "column_name").select("column_name", "count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), "min", "max", *ok)
+
+
 def _range_sql() -> str:
     parts = [
         f"""SELECT '{c}' AS index_name, CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value,
