@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellscore.functions.columns import clip, grid_mean, round_half_even
+from wellscore.operators.features import band_advice
 from wellscore.spec import DEFAULT_DRIVER_MAX, DEFAULT_DRIVER_MIN, DEFAULT_SPEC, FEATURE_LABELS, Spec
 
 
@@ -104,22 +105,10 @@ def profile_text(features: list[str], labels: dict[str, str] | None = None) -> C
     return F.concat_ws("\n", *lines)
 
 
-# Fixed tips per band (own wording); an unknown band gets the Moderate tip.
-BAND_TIPS = {
-    "Low": "Stress looks manageable; keep protecting sleep and social time.",
-    "Moderate": "Signs of moderate strain; tackle the top stressors and recovery habits.",
-    "High": "High strain; please reach out to a counsellor or someone you trust soon.",
-}
-
-
-def static_advice(score: Column, band: Column, drivers: Column) -> Column:
-    tip = F.when(band == "Low", F.lit(BAND_TIPS["Low"])).when(band == "High", F.lit(BAND_TIPS["High"])).otherwise(F.lit(BAND_TIPS["Moderate"]))
-    names = F.array_join(F.transform(drivers, lambda d: d["label"]), ", ")
-    names = F.when(F.size(drivers) > 0, names).otherwise(F.lit("several factors"))
-    return F.concat(
-        F.lit("[static advice]\n\n"), tip, F.lit("\n\nMain contributors: "), names,
-        F.lit(".\nScore: "), score.cast("string"), F.lit("/100 | Risk: "), band,
-    )
+def static_advice(score: Column, band: Column, drivers: Column, texts: dict[str, str] | None = None) -> Column:
+    """Three lines: band and score, the drivers' labels (or none), the caller's text for the band (``BAND_TEXTS`` by default)."""
+    names = F.when(F.size(drivers) > 0, F.array_join(F.transform(drivers, lambda d: d["label"]), ", ")).otherwise(F.lit("none"))
+    return F.concat(F.lit("Band "), band, F.lit(", score "), score.cast("string"), F.lit(" of 100\nDrivers: "), names, F.lit("\n"), band_advice(band, texts))
 
 
 def two_digits(c: Column) -> Column:

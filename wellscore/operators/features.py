@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellscore.functions.columns import clip, grid_mean, inv, norm, round_half_even, weighted_sum
-from wellscore.spec import DEFAULT_SPEC, Spec
+from wellscore.spec import BAND_TEXTS, DEFAULT_SPEC, Spec
 
 
 def norm_columns(spec: Spec = DEFAULT_SPEC, invert: bool = True) -> dict[str, Column]:
@@ -157,16 +157,10 @@ def risk_band(c: Column, low: float = 33.0, moderate: float = 66.0) -> Column:
     return F.when(c <= F.lit(low), F.lit("Low")).when(c <= F.lit(moderate), F.lit("Moderate")).when(c.isNotNull(), F.lit("High"))
 
 
-# Fixed advice line per band (own wording).
-BAND_ADVICE = {
-    "Low": "Indicators are in a healthy range; keep current habits.",
-    "Moderate": "Moderate strain; work on sleep, activity and support.",
-    "High": "High strain; talk to a counsellor and reduce workload.",
-}
-
-
-def band_advice(band: Column) -> Column:
-    return F.when(band == "Low", F.lit(BAND_ADVICE["Low"])).when(band == "Moderate", F.lit(BAND_ADVICE["Moderate"])).when(band == "High", F.lit(BAND_ADVICE["High"]))
+def band_advice(band: Column, texts: dict[str, str] | None = None) -> Column:
+    """The caller's text for the band (``BAND_TEXTS`` by default); null without a band or a text for it."""
+    texts = BAND_TEXTS if texts is None else texts
+    return F.element_at(F.create_map(*[F.lit(x) for kv in texts.items() for x in kv]), band)
 
 
 def score_features(df: DataFrame, spec: Spec = DEFAULT_SPEC) -> DataFrame:
@@ -187,14 +181,14 @@ def formula_score(df: DataFrame, spec: Spec = DEFAULT_SPEC, frozen: tuple[float,
     )
 
 
-def scored_record(df: DataFrame, spec: Spec = DEFAULT_SPEC, score_col: str = "burnout_score", id_col: str = "respondent_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def scored_record(df: DataFrame, spec: Spec = DEFAULT_SPEC, score_col: str = "burnout_score", id_col: str = "respondent_id", keep: tuple[str, ...] = (), texts: dict[str, str] | None = None) -> DataFrame:
     """Nested scored record per row: score, band, advice, input struct, indices, and the columns to ``keep``."""
     band = risk_band(F.col(score_col), spec.band_low, spec.band_moderate)
     return df.select(
         F.col(id_col),
         F.col(score_col).alias("burnout_score"),
         band.alias("risk_level"),
-        band_advice(band).alias("advice"),
+        band_advice(band, texts).alias("advice"),
         F.struct(*[F.col(f) for f in spec.features]).alias("input_features"),
         *[F.col(i) for i in spec.indices],
         *[F.col(c) for c in keep],

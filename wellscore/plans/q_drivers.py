@@ -11,7 +11,7 @@ from wellscore.plans import sqlspec as S
 from wellscore.plans.q_report import _engineered
 from wellscore.plans.registry import query
 from wellscore.sources import fixtures as fx
-from wellscore.spec import DEFAULT_SPEC, FEATURE_LABELS
+from wellscore.spec import BAND_TEXTS, DEFAULT_SPEC, FEATURE_LABELS
 
 SPEC = DEFAULT_SPEC
 FOLLOWUP_QUESTION = "How can I keep my sleep steady during exam weeks?"
@@ -103,14 +103,13 @@ def q_profile_text(spark, sf):
 
 
 def _tip_sql() -> str:
-    t = drv.BAND_TIPS
+    t = BAND_TEXTS
     return f"CASE WHEN risk_level = 'Low' THEN '{t['Low']}' WHEN risk_level = 'High' THEN '{t['High']}' ELSE '{t['Moderate']}' END"
 
 
 def _advice_sql() -> str:
     return f"""{_drivers_text_cte()}
-SELECT b.respondent_id, '[static advice]' || {NL} || {NL} || {_tip_sql()} || {NL} || {NL} || 'Main contributors: ' || coalesce(d.names, 'several factors')
-       || '.' || {NL} || 'Score: ' || CAST(b.burnout_score AS VARCHAR) || '/100 | Risk: ' || b.risk_level AS advice
+SELECT b.respondent_id, 'Band ' || b.risk_level || ', score ' || CAST(b.burnout_score AS VARCHAR) || ' of 100' || {NL} || 'Drivers: ' || coalesce(d.names, 'none') || {NL} || {_tip_sql()} AS advice
 FROM banded b LEFT JOIN dtext d USING (respondent_id)"""
 
 

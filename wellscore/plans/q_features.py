@@ -11,7 +11,7 @@ from wellscore.plans import sqlspec as S
 from wellscore.plans.registry import query
 from wellscore.session import scratch_path
 from wellscore.sources import fixtures as fx
-from wellscore.spec import DEFAULT_SPEC, INDEX_TERMS, INTERACTIONS
+from wellscore.spec import BAND_TEXTS, DEFAULT_SPEC, INDEX_TERMS, INTERACTIONS
 
 SPEC = DEFAULT_SPEC
 
@@ -130,7 +130,7 @@ def q_risk_band(spark, sf):
 
 
 def _scored_record_sql() -> str:
-    adv = feat.BAND_ADVICE
+    adv = BAND_TEXTS
     advice = f"CASE WHEN risk_level = 'Low' THEN '{adv['Low']}' WHEN risk_level = 'Moderate' THEN '{adv['Moderate']}' ELSE '{adv['High']}' END"
     inputs = " || ',' || ".join(f"CAST({f} AS VARCHAR)" for f in SPEC.features)
     idx = ", ".join(SPEC.indices)

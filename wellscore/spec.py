@@ -265,6 +265,9 @@ OPTION_BANKS: dict[str, list[tuple[str, str | None, list[int]]]] = {
     ],
 }
 
+# Default text per band where the caller gives none.
+BAND_TEXTS = {"Low": "No action suggested.", "Moderate": "Look at the drivers listed first.", "High": "Arrange a conversation about support."}
+
 # Fixed section order used when bank B is shown by section (empty sections kept).
 BANK_B_SECTION_ORDER = ["Mind", "Health", "Home", "School", "Friends"]
 DEFAULT_SECTION = "General"
