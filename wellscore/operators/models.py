@@ -213,6 +213,16 @@ def in_threads(spark: SparkSession, jobs: list, run, parallelism: int = 8) -> li
         return pool.map(inheritable_thread_target(spark)(run), jobs, chunksize=1)
 
 
+#: Rows per task of a tree fit. A boosting round is a chain of small jobs: below this many rows their
+#: cost is the starting of tasks, and the fits that run at the same time fill the cores.
+TREE_ROWS = 100_000
+
+
+def compact(df: DataFrame, rows: int, rows_per_task: int = TREE_ROWS) -> DataFrame:
+    """``df`` in no more partitions than ``rows`` needs; larger partitions stay as they are (no shuffle)."""
+    return df.coalesce(max(1, -(-rows // rows_per_task)))
+
+
 def cv_r2(
     train: DataFrame, features: list[str], ests: dict, key: str = "respondent_id", folds: int = 5, label: str = TARGET_COL, parallelism: int = 8
 ) -> dict[str, list[float]]:
@@ -226,7 +236,7 @@ def cv_r2(
     linear = linear_cv_r2(folded, features, label, folds) if len(trees) < len(ests) else []
     out = {name: linear for name in ests if name not in trees}
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    f = assembler.transform(folded).select("features", label, FOLD).persist()
+    f = compact(assembler.transform(folded).select("features", label, FOLD), train.count()).persist()
 
     def one(job: tuple[str, int]) -> float:
         name, k = job
@@ -245,7 +255,7 @@ def cv_r2(
 def fit_models(train: DataFrame, names: list[str], cfg: ModelConfig = FULL, parallelism: int = 4) -> dict[str, PipelineModel]:
     """The named models, fitted on the train part at the same time."""
     features, ests = available_features(train), estimators(cfg)
-    kept = train.select(*features, TARGET_COL).persist()
+    kept = compact(train.select(*features, TARGET_COL), train.count()).persist()
 
     def fit(name: str) -> PipelineModel:
         return fit_linear(kept, features) if isinstance(ests[name], LinearRegression) else make_pipeline(features, ests[name]).fit(kept)
