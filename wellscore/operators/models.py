@@ -224,7 +224,7 @@ def compact(df: DataFrame, rows: int, rows_per_task: int = TREE_ROWS) -> DataFra
 
 
 def cv_r2(
-    train: DataFrame, features: list[str], ests: dict, key: str = "respondent_id", folds: int = 5, label: str = TARGET_COL, parallelism: int = 8
+    train: DataFrame, features: list[str], ests: dict, key: str = "respondent_id", folds: int = 5, label: str = TARGET_COL, parallelism: int = 16
 ) -> dict[str, list[float]]:
     """R^2 of every estimator and fold: fit on the other folds, score the held-out one (``with_folds``).
 
