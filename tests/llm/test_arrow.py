@@ -218,3 +218,24 @@ def test_op7_host_prior_and_markup_decide_short_texts(spark):
     t = spark.createDataFrame(rows, "id long, text string, said string, host string")
     p = {r.row.id: (r.lang, r.prob) for r in op7_language.identify(t, langs, model, F.col("text"), F.col("said"), F.col("host")).collect()}
     assert p[1000][0] == "fr"
+
+
+def test_op7_declared_tags_are_read_whole(spark):
+    from pyspark.sql import functions as F
+
+    said = [("eng", "eng"), ("SPA", "spa"), ("zh-cn", "zh-cn"), ("zh_TW", "zh-tw"), ("zh-Hant-HK", "zh"), ("eng-GB", "eng"), ("en", None), ("english", None), ("", None), (None, None), (" spa ", "spa")]
+    t = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(said)], "id long, said string, want string")
+    got = t.select("said", "want", op7_language.declared_label(F.col("said"), ["eng", "spa", "zh", "zh-cn", "zh-tw"]).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+    both = t.limit(1).select(op7_language.declared_label(F.lit("en"), ["EN", "en"]), op7_language.declared_label(F.lit("En"), ["EN", "en"])).first()
+    assert tuple(both) == ("en", "EN")  # a label itself, else the first by name
+
+
+def test_op7_three_letter_labels_are_evidence(spark):
+    from pyspark.sql import functions as F
+
+    d = spark.createDataFrame([(i, f"the house {i} of the river", "eng") for i in range(30)] + [(100 + i, f"la casa {i} del rio", "spa") for i in range(30)], "doc_id long, text string, lang string")
+    langs, model = op7_language.train(d)
+    t = d.union(spark.createDataFrame([(200, "", "eng"), (201, "", "spa-MX")], d.schema))
+    got = {r.row.doc_id: (r.lang, r.prob) for r in op7_language.identify(t, langs, model, F.col("text"), F.col("lang"), F.lit(None).cast("string")).collect()}
+    assert got[200][0] == "eng" and got[201][0] == "spa" and min(got[200][1], got[201][1]) > 0.9

@@ -4,7 +4,8 @@ Posterior over languages = host prior x P(declared language | language) x text l
   text      hashed byte-trigram multinomials, fitted on at most `max_train` / languages
             labelled documents of each language, one at least; a text counts as at most
             `cap` independent trigrams.
-  declared  the markup's language attribute (or the lang column); how reliable it is comes
+  declared  the markup's language attribute (or the lang column), read whole and matched with the
+            labels by tag (declared_label); how reliable it is comes
             from a grouped count of declared against text-only decisions over all rows.
   host      counts of text-only decisions, smoothed from all rows to address suffix to
             registered domain to host. These are grouped aggregations with map-side sums, so
@@ -126,13 +127,21 @@ def host_parts(host: Column) -> tuple[Column, Column]:
     return F.substring_index(host, ".", -2), F.when(host.contains("."), F.substring_index(host, ".", -1)).otherwise("")
 
 
+def declared_label(declared: Column, langs: list[str]) -> Column:
+    """The label that a declared tag names, null if none: the tag itself, else the longest label that it starts with up to a hyphen (en of en-GB), any case, _ as -."""
+    norm = lambda c: F.replace(F.lower(c), F.lit("_"), F.lit("-"))
+    labels = F.array(*[F.struct(F.concat(norm(F.lit(x)), F.lit("-")).alias("start"), F.lit(x).alias("name")) for x in sorted(langs, key=lambda x: (-len(x), x))])
+    tag = F.concat(norm(F.trim(declared)), F.lit("-"))
+    return F.coalesce(F.when(declared.isin(langs), declared), F.get(F.filter(labels, lambda x: F.startswith(tag, x["start"])), F.lit(0))["name"])
+
+
 def identify(rows: DataFrame, langs: list[str], model: np.ndarray, text: Column, declared: Column, host: Column, cap: int = CAP, smooth: float = SMOOTH, min_prob: float = MIN_PROB) -> DataFrame:
     """One row per input row: row (all its columns), text_lang, lang, prob, accepted."""
     if not langs:
         return rows.select(F.struct("*").alias("row"), F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("prob"), F.lit(False).alias("accepted"))
     width = len(langs)
     names = F.array(*[F.lit(x) for x in langs])
-    known = F.when(F.lower(F.substring(declared, 1, 2)).isin(langs), F.lower(F.substring(declared, 1, 2)))
+    known = declared_label(declared, langs)
     host = F.coalesce(F.lower(host), F.lit(""))
     best = F.when(F.col("_n") > 0, F.array_position("_ll", F.array_max("_ll")) - 1)
     votes = with_text_evidence(rows.select(known.alias("declared"), host.alias("host"), F.coalesce(text, F.lit("")).alias("_t")), model, cap)
@@ -176,7 +185,7 @@ def identify_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(page_id, host, declared, text_lang, lang, prob, accepted) of every page; the text model is fitted on documents."""
     langs, model = train(documents)
     p = table_rows(pages, page_id="page_id", url="url", html="html")
-    declared = F.nullif(F.regexp_extract("html", r"""(?i)<html\b[^>]*\blang\s*=\s*["']?([A-Za-z]{2})""", 1), F.lit(""))
+    declared = F.nullif(F.regexp_extract("html", r"""(?i)<html\b[^>]*\blang\s*=\s*["']?([A-Za-z0-9]+(?:[-_][A-Za-z0-9]+)*)""", 1), F.lit(""))
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
     out = identify(p, langs, model, page_text(F.col("html")), declared, host)
     return out.select("row.page_id", F.nullif(F.lower(F.regexp_extract("row.url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit("")).alias("host"), "text_lang", "lang", F.round("prob", 9).alias("prob"), "accepted")
