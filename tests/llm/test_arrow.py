@@ -239,3 +239,12 @@ def test_op7_three_letter_labels_are_evidence(spark):
     t = d.union(spark.createDataFrame([(200, "", "eng"), (201, "", "spa-MX")], d.schema))
     got = {r.row.doc_id: (r.lang, r.prob) for r in op7_language.identify(t, langs, model, F.col("text"), F.col("lang"), F.lit(None).cast("string")).collect()}
     assert got[200][0] == "eng" and got[201][0] == "spa" and min(got[200][1], got[201][1]) > 0.9
+
+
+def test_op1_words_are_judged_whole():
+    """Words that are alike for 300 characters differ by what follows; features stay short."""
+    same = "ab1-" * 100
+    one, two = (op1_pii.features([same + tail])[0] for tail in ("", "x@9"))
+    assert one != two and "at=True" in two and "at=False" in one
+    assert op1_pii.features(["1" * 15 + "a" * 400 + "2" * 3])[0][2] == "digits=18"
+    assert max(len(f) for w in ("ab1-" * 50_000, "9" * 100_000) for f in op1_pii.features([w])[0]) < 60

@@ -4,7 +4,7 @@ The base patterns (base_spans) give email, ip, card and phone spans. The field l
 that hold a digit, @ or + with one of the four kinds or none; any other word is none by
 definition, so the chain falls apart into runs of such words, each decoded exactly by
 Viterbi in numpy batches of equally long runs. Its features are shapes of the word and of
-its neighbours, its training table is at most `max_runs` runs from `max_docs` documents (those
+its neighbours, its training table is at most `max_runs` runs (`max_words` words of each) from `max_docs` documents (those
 with the least hashes of doc_id) labelled by the base patterns. Words that it labels and no
 base span touches become additional spans; base spans always stay.
 
@@ -18,6 +18,7 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from wellscore.llm.common import slices, table_rows, text_bytes, word_spans
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_DOCS, MAX_RUNS = 4000, 6000
+MAX_DOCS, MAX_RUNS, MAX_WORDS = 4000, 6000, 30
 
 _AT = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -91,20 +92,25 @@ def runs(buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, list[str], list[t
 
 
 def shape(word: str) -> str:
-    """Digits by number up to 4 and letters by class; at most 40 characters."""
-    s = re.sub(r"[0-9]+", lambda m: "9" * min(len(m[0]), 4), word[:200])
+    """Digits by number up to 4 and runs of letters by class, of the whole word."""
+    s = re.sub(r"[0-9]+", lambda m: "9" * min(len(m[0]), 4), word)
     s = re.sub(r"[A-Z]+", "A", s)
-    return re.sub(r"[a-z]+|[^\x00-\x7f]+", "a", s)[:40]
+    return re.sub(r"[a-z]+|[^\x00-\x7f]+", "a", s)
+
+
+def named(core: str) -> str:
+    """A shape's name in features: itself up to 40 characters, else its hash, so that a feature's size is bounded."""
+    return core if len(core) <= 40 else hashlib.md5(core.encode()).hexdigest()
 
 
 def features(words: list[str]) -> list[list[str]]:
-    s = [shape(w) for w in words]
-    core = [x.strip("!\"#$%&'*,./:;<=>?[]^_`{|}~") for x in s]
+    bare = [shape(w).strip("!\"#$%&'*,./:;<=>?[]^_`{|}~") for w in words]
+    core = [named(x) for x in bare]
     out = []
     for i, w in enumerate(words):
-        digits = sum(map(str.isdigit, w[:200]))
+        digits = sum(map(str.isdigit, w))
         out.append([
-            "bias", f"core={core[i]}", f"digits={min(digits, 20)}", f"at={'@' in w}", f"dots={min(w.count('.'), 4)}", f"head={core[i][:1]}",
+            "bias", f"core={core[i]}", f"digits={min(digits, 20)}", f"at={'@' in w}", f"dots={min(w.count('.'), 4)}", f"head={bare[i][:1]}",
             f"before={core[i - 1] if i else ''}", f"after={core[i + 1] if i + 1 < len(words) else ''}", f"run={min(len(words), 5)}.{min(i, 4)}",
         ])
     return out
@@ -190,8 +196,8 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return (m + np.log(np.exp(x - m).sum(axis, keepdims=True))).squeeze(axis)
 
 
-def labelled_runs(documents: DataFrame, max_docs: int = MAX_DOCS, max_runs: int = MAX_RUNS) -> DataFrame:
-    """The training table: words and labels (0: none, else 1 + kind) of at most max_runs runs."""
+def labelled_runs(documents: DataFrame, max_docs: int = MAX_DOCS, max_runs: int = MAX_RUNS, max_words: int = MAX_WORDS) -> DataFrame:
+    """The training table: words and labels (0: none, else 1 + kind) of at most max_runs runs, max_words of each."""
     d = table_rows(documents, doc_id="doc_id", text="text").filter("text IS NOT NULL")
     ids = d.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).select(F.col("doc_id").alias("k")).distinct()
     d = d.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("k"))).select("text")
@@ -207,8 +213,8 @@ def labelled_runs(documents: DataFrame, max_docs: int = MAX_DOCS, max_runs: int
                 for r, words, at in runs(part, own):
                     if r not in spans:
                         spans[r] = base_spans(part[own[r] : own[r + 1]].tobytes().decode())
-                    found.append(words[:30])
-                    said.append([next((1 + k for k, s, e in spans[r] if s < q and p < e), 0) for p, q in at[:30]])
+                    found.append(words[:max_words])
+                    said.append([next((1 + k for k, s, e in spans[r] if s < q and p < e), 0) for p, q in at[:max_words]])
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), pa.array(said, pa.list_(pa.int32()))], ["words", "labels"])
 
     t = d.mapInArrow(label, "words array<string>, labels array<int>")
@@ -216,8 +222,14 @@ def labelled_runs(documents: DataFrame, max_docs: int = MAX_DOCS, max_runs: int
 
 
 def fit(documents: DataFrame, **how) -> Field:
-    rows = labelled_runs(documents, **how).collect()  # at most max_runs
-    return Field(1 + len(KINDS)).fit([(features(r["words"]), r["labels"]) for r in rows])
+    def name(batches):
+        for b in batches:
+            x = pa.array([features(w) for w in b.column(0).to_pylist()], pa.list_(pa.list_(pa.string())))
+            yield pa.RecordBatch.from_arrays([x, b.column(1)], ["features", "labels"])
+
+    # at most max_runs rows of max_words words, whose features are short however long the words are
+    rows = labelled_runs(documents, **how).mapInArrow(name, "features array<array<string>>, labels array<int>").collect()
+    return Field(1 + len(KINDS)).fit([(r["features"], r["labels"]) for r in rows])
 
 
 def find(documents: DataFrame, field: Field) -> DataFrame:
