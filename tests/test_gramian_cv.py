@@ -73,3 +73,11 @@ def test_linear_folds_leave_missing_rows_out_and_take_small_tables(spark):
     df = md.with_folds(spark.createDataFrame(rows, f"respondent_id long, x double, {TARGET_COL} double"))
     assert md.linear_cv_r2(df, ["x"]) == pytest.approx([1.0] * 5)
     assert md.linear_cv_r2(df.limit(0), ["x"]) == [None] * 5
+
+
+def test_tree_rows_are_coalesced_but_never_split(spark):
+    from wellscore.operators.models import compact
+
+    df = spark.range(0, 1000, 1, 8)
+    assert [compact(df, n, 100).rdd.getNumPartitions() for n in (0, 100, 250, 1000)] == [1, 1, 3, 8]
+    assert compact(df, 250, 100).agg({"id": "sum"}).first()[0] == 499_500
