@@ -1,12 +1,15 @@
 """Benchmark decontamination by template canonicalisation (DataFrame operations only).
 
-Both sides become words: letters and digits, lower case, decimal points joined. A word that
-starts with a digit is the placeholder number, a title-case word that follows another word
-or a comma is a name, a word of the unit list is a unit. Windows of W template words are
-hashed and hash-joined; windows with fewer than half literal words say too little and aren't
-used. For matched windows with placeholders the slots must be consistent: within a document,
-item text and alignment (position in the document less position in the item), each benchmark
-value stands for one document value. A clash in one alignment leaves the others as they are.
+Both sides become words: runs of letters and numbers, lower case; "48kg" is two words, and a
+number keeps its marks ("3.5", "1,000"). A number or number word is the placeholder number, a
+title-case word is a name wherever it stands unless it is one of the listed function words, a
+word of the unit list is a unit. Windows of W template words are hashed and hash-joined;
+windows with fewer than half literal words say too little and aren't used. For matched windows
+with placeholders the slots must be one-to-one: within a document, item text and alignment
+(position in the document less position in the item), each benchmark value stands for one
+document value and each document value for one benchmark value ("1,000" and "1000", "twelve"
+and "12" are the same value, 3.5 and 35 aren't). A clash in one alignment leaves the others as
+they are.
 
 A document is contaminated by an item if at least min(min_windows, all usable windows of the
 item) distinct windows of it are found. An item shorter than W words is one window of its
@@ -30,20 +33,36 @@ from wellscore.llm.common import table_rows, written
 WINDOW, MIN_WINDOWS = 8, 6
 # Unit words
 UNITS = "kg g mg lb lbs oz t km m cm mm mi ft in yd l ml cl dl gal s sec ms min h hr hrs hours minutes seconds days weeks months years usd eur gbp dollars euros pounds cents percent mph kmh w kw kwh v a hz khz mhz ghz kb mb gb tb".split()
+# Number words
+NUMBERS = {w: str(n) for n, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty".split())}
+NUMBERS |= {"thirty": "30", "forty": "40", "fifty": "50", "sixty": "60", "seventy": "70", "eighty": "80", "ninety": "90", "hundred": "100", "thousand": "1000", "million": "1000000"}
+# Function words that are no names when they open a sentence
+OPENERS = (
+    "a an the this that these those there here it its he she we you they his her our your their my each every all some any no both after before at by for from in of on to with "
+    "during since until while when where why who whom whose which what how if then so but and or nor as because although is are was were do does did has have had can could will would "
+    "should may might must let find give given calculate compute write name not now today yesterday tomorrow"
+).split()
 NAME = "\u0001"
 
 
 def words(text: Column) -> Column:
-    """Words in order; a name keeps the mark before it."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"([\p{L}\p{N},;:] )(\p{Lu}\p{Ll})", f"$1{NAME}$2")
-    t = F.regexp_replace(t, r"([0-9])[.,]([0-9])", "$1$2")
-    t = F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{N}}{NAME}]+", " ")
-    return F.array_remove(F.split(t, " "), "")
+    """Words in order; a title-case word keeps the mark before it."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"(^|[^\p{L}\p{N}])(\p{Lu}\p{Ll})", f"$1{NAME}$2")
+    return F.regexp_extract_all(F.lower(t), F.lit(rf"{NAME}?\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}+)*"), F.lit(0))
 
 
 def template(w: Column) -> Column:
-    head = F.substring(w, 1, 1)
-    return F.when(head.between("0", "9"), "<number>").when(head == NAME, "<name>").when(w.isin(UNITS), "<unit>").otherwise(w)
+    head, bare = F.substring(w, 1, 1), F.ltrim(w, F.lit(NAME))
+    kind = F.when(head.between("0", "9") | bare.isin(list(NUMBERS)), "<number>").when(head != NAME, F.when(w.isin(UNITS), "<unit>").otherwise(w))
+    return kind.otherwise(F.when(bare.isin(OPENERS), bare).otherwise("<name>"))
+
+
+def value(w: Column) -> Column:
+    """What the word of a slot stands for, however it is written."""
+    bare = F.ltrim(w, F.lit(NAME))
+    digits = F.when(w.rlike(r"^[0-9]{1,3}(,[0-9]{3})+(\.[0-9]+)?$"), F.replace(w, F.lit(","))).otherwise(F.replace(w, F.lit(","), F.lit(".")))
+    said = F.element_at(F.create_map(*[F.lit(x) for kv in NUMBERS.items() for x in kv]), bare)
+    return F.coalesce(said, digits)
 
 
 def _windows(w: Column, size: int) -> Column:
@@ -83,12 +102,17 @@ def hits(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, min_win
         found = part if found is None else found.unionByName(part)
     found = written(found, "hits")
     key = ["doc_id", "text_hash", "item_id"]
-    # slots: only the documents with a matched window that has placeholders are read again
     place = [*key, "item_hash", "shift"]
     check = found.filter(F.size("slots") > 0).select(*place, "pos", "slots").withColumnsRenamed({"doc_id": "k1", "text_hash": "k2"})
-    said = docs.join(check, F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_hash") == F.col("k2")))
-    said = said.select(*place, F.explode(F.transform("slots", lambda s: F.struct(s["value"].alias("b"), F.get(F.col("o"), F.col("pos") + s["at"]).alias("d")))).alias("v")).select(*place, "v.b", "v.d")
-    bad = said.groupBy(*place, "b").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select(*place).distinct()
+    # slots: only the documents with a matched window that has placeholders become words again
+    texts = table_rows(documents, doc_id="doc_id", text="text").withColumn("text_hash", F.xxhash64("text"))
+    mine = F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_hash") == F.col("k2"))
+    said = texts.join(check.select("k1", "k2").distinct(), mine, "left_semi").select("doc_id", "text_hash", words(F.col("text")).alias("o"))
+    said = written(said, "slots").join(check, mine)
+    pair = F.transform("slots", lambda s: F.struct(value(s["value"]).alias("b"), value(F.get(F.col("o"), F.col("pos") + s["at"])).alias("d")))
+    said = said.select(*place, F.explode(pair).alias("v")).select(*place, "v.b", "v.d").distinct()
+    clash = lambda one, other: said.groupBy(*place, one).agg(F.count(other).alias("n")).filter("n > 1").select(*place)
+    bad = clash("b", "d").unionByName(clash("d", "b")).distinct()
     bad = bad.toDF("k1", "k2", "k3", "k4", "k5")
     same = F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_hash") == F.col("k2")) & F.col("item_id").eqNullSafe(F.col("k3")) & (F.col("item_hash") == F.col("k4")) & (F.col("shift") == F.col("k5"))
     loose = found.join(bad, same, "left")
@@ -117,30 +141,44 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, **how) -> DataFram
     return d.select("row.*")
 
 
+_QUOTED = {k: ", ".join(f"'{w}'" for w in ws) for k, ws in (("units", UNITS), ("numbers", NUMBERS), ("openers", OPENERS))}
+_SLOTS = "('<number>', '<name>', '<unit>')"
+
+
 def _sql_words(text: str) -> str:
+    marked = rf"regexp_replace(coalesce({text}, ''), '(^|[^\p{{L}}\p{{N}}])(\p{{Lu}}\p{{Ll}})', '\1' || chr(1) || '\2', 'g')"
+    return rf"regexp_extract_all(lower({marked}), '\x01?\p{{L}}+|\p{{N}}+(?:[.,]\p{{N}}+)*')"
+
+
+def _sql_template(ws: str) -> str:
+    bare = "ltrim(w, chr(1))"
     return (
-        rf"""list_filter(string_split(regexp_replace(lower(regexp_replace(regexp_replace(coalesce({text}, ''), '([\p{{L}}\p{{N}},;:] )(\p{{Lu}}\p{{Ll}})', '\1' || chr(1) || '\2', 'g'), """
-        rf"""'([0-9])[.,]([0-9])', '\1\2', 'g')), '[^\p{{L}}\p{{N}}\x01]+', ' ', 'g'), ' '), lambda x: x <> '')"""
+        f"list_transform({ws}, lambda w: CASE WHEN w[1] BETWEEN '0' AND '9' OR {bare} IN ({_QUOTED['numbers']}) THEN '<number>' WHEN w[1] <> chr(1) THEN CASE WHEN w IN ({_QUOTED['units']}) THEN '<unit>' ELSE w END "
+        f"WHEN {bare} IN ({_QUOTED['openers']}) THEN {bare} ELSE '<name>' END)"
     )
 
 
-_UNITS = ", ".join(f"'{u}'" for u in UNITS)
+def _sql_value(w: str) -> str:
+    said = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in NUMBERS.items())
+    return rf"CASE ltrim({w}, chr(1)) {said} ELSE CASE WHEN regexp_matches({w}, '^[0-9]{{1,3}}(,[0-9]{{3}})+(\.[0-9]+)?$') THEN replace({w}, ',', '') ELSE replace({w}, ',', '.') END END"
+
+
 SQL = rf"""
-WITH cb AS (SELECT item_id, o, list_transform(o, lambda w: CASE WHEN w[1] BETWEEN '0' AND '9' THEN '<number>' WHEN w[1] = chr(1) THEN '<name>' WHEN w IN ({_UNITS}) THEN '<unit>' ELSE w END) AS c
-            FROM (SELECT DISTINCT item_id, {_sql_words('text')} AS o FROM benchmark) WHERE len(o) > 0),
-bi AS (SELECT item_id, o, c, least({WINDOW}, len(o)) AS size, unnest(range(0, len(o) - least({WINDOW}, len(o)) + 1)) AS ipos FROM cb),
-bw AS (SELECT item_id, size, o[ipos + 1 : ipos + size] AS val, c[ipos + 1 : ipos + size] AS win FROM bi),
-bu AS (SELECT *, array_to_string(win, ' ') AS wh FROM bw WHERE size - len(list_filter(win, lambda x: x IN ('<number>', '<name>', '<unit>'))) >= ceil(size / 2)),
+WITH cb AS (SELECT item_id, item, o, {_sql_template('o')} AS c FROM (SELECT DISTINCT item_id, text AS item, {_sql_words('text')} AS o FROM benchmark) WHERE len(o) > 0),
+bi AS (SELECT item_id, item, o, c, least({WINDOW}, len(o)) AS size, unnest(range(0, len(o) - least({WINDOW}, len(o)) + 1)) AS ipos FROM cb),
+bw AS (SELECT item_id, item, size, ipos, o[ipos + 1 : ipos + size] AS val, c[ipos + 1 : ipos + size] AS win FROM bi),
+bu AS (SELECT *, array_to_string(win, ' ') AS wh FROM bw WHERE size - len(list_filter(win, lambda x: x IN {_SLOTS})) >= ceil(size / 2)),
 need AS (SELECT item_id, count(DISTINCT wh) AS need FROM bu GROUP BY item_id),
-d AS (SELECT doc_id, o, list_transform(o, lambda w: CASE WHEN w[1] BETWEEN '0' AND '9' THEN '<number>' WHEN w[1] = chr(1) THEN '<name>' WHEN w IN ({_UNITS}) THEN '<unit>' ELSE w END) AS c
-      FROM (SELECT doc_id, {_sql_words('text')} AS o FROM documents)),
+d AS (SELECT doc_id, o, {_sql_template('o')} AS c FROM (SELECT doc_id, {_sql_words('text')} AS o FROM documents)),
 dw AS (SELECT doc_id, size, unnest(range(0, len(c) - size + 1)) AS pos, unnest(list_transform(range(0, len(c) - size + 1), lambda i: array_to_string(c[i + 1 : i + size], ' '))) AS wh
        FROM d, (SELECT DISTINCT size FROM bu)),
-f AS (SELECT dw.doc_id, item_id, bu.wh, win, val, d.o[pos + 1 : pos + bu.size] AS dval FROM dw JOIN bu ON bu.size = dw.size AND bu.wh = dw.wh JOIN d ON d.doc_id = dw.doc_id),
-v AS (SELECT doc_id, item_id, unnest(range(1, len(win) + 1)) AS i, win, val, dval FROM f),
-bad AS (SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, item_id, val[i] AS b FROM v WHERE win[i] IN ('<number>', '<name>', '<unit>') GROUP BY ALL HAVING count(DISTINCT dval[i]) > 1)),
-n AS (SELECT f.doc_id, f.item_id, count(DISTINCT wh) AS n FROM f LEFT JOIN bad ON bad.doc_id = f.doc_id AND bad.item_id = f.item_id
-      WHERE bad.item_id IS NULL OR len(list_filter(win, lambda x: x IN ('<number>', '<name>', '<unit>'))) = 0 GROUP BY ALL),
+f AS (SELECT dw.doc_id, item_id, item, pos - ipos AS shift, bu.wh, win, val, d.o[pos + 1 : pos + bu.size] AS dval FROM dw JOIN bu ON bu.size = dw.size AND bu.wh = dw.wh JOIN d ON d.doc_id = dw.doc_id),
+u AS (SELECT doc_id, item_id, item, shift, unnest(win) AS kind, unnest(val) AS b, unnest(dval) AS d FROM f),
+v AS (SELECT DISTINCT doc_id, item_id, item, shift, {_sql_value('b')} AS b, {_sql_value('d')} AS d FROM u WHERE kind IN {_SLOTS}),
+bad AS (SELECT doc_id, item_id, item, shift FROM v GROUP BY doc_id, item_id, item, shift, b HAVING count(*) > 1
+        UNION SELECT doc_id, item_id, item, shift FROM v GROUP BY doc_id, item_id, item, shift, d HAVING count(*) > 1),
+n AS (SELECT f.doc_id, f.item_id, count(DISTINCT wh) AS n FROM f LEFT JOIN bad USING (doc_id, item_id, item, shift)
+      WHERE bad.item_id IS NULL OR len(list_filter(win, lambda x: x IN {_SLOTS})) = 0 GROUP BY ALL),
 h AS (SELECT doc_id, count(*) AS n_items, max(n) AS m, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM n JOIN need USING (item_id) WHERE n >= least({MIN_WINDOWS}, need) GROUP BY doc_id)
 SELECT documents.doc_id, h.n_items IS NOT NULL AS contaminated, coalesce(h.n_items, 0) AS n_items, coalesce(m, 0) AS most_windows, coalesce(ids, '') AS item_ids
 FROM documents LEFT JOIN h USING (doc_id)
