@@ -4,7 +4,8 @@ A source with n rows and share w of the target gets the mean repetition rate
 w * target / n. Each document draws its count by inverting the Poisson distribution at a
 uniform number hashed from (seed, document), is exploded by that count, and all copies are
 shuffled globally by a hash of (seed, document, copy). A mean above 32 is a sum of
-independent parts of at most 32 each, so the inversion is exact at any rate.
+independent parts of at most 32 each, so the inversion is exact at any rate; a part is a row
+of its own before its copies are made, and `copy` numbers them part by part (with gaps).
 
 Nothing depends on partitioning, so a lost executor recomputes the same copies.
 
@@ -21,6 +22,10 @@ from pyspark.sql import functions as F
 from wellscore.llm.common import written
 
 PART = 32.0
+# copies of part p are numbered from PER_PART * (p - 1) + 1; a part's distribution ends below that
+PER_PART = 128
+# parts of one row that one task explodes
+RUN = 1024
 
 
 def _uniform(seed: int, part: Column, key: Column) -> Column:
@@ -56,10 +61,18 @@ def replicate(documents: DataFrame, weights: dict[str, float] | None = None, tar
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text")) if "text" in cols else F.lit(""), F.lit(""))
     r = written(rates(documents, weights, target), "rates").withColumnRenamed("source", "to")
     d = documents.select(F.struct("*").alias("row"), F.col("source").alias("s"), key.alias("k")).join(r, F.col("s").eqNullSafe(F.col("to")))
+    # rows of many parts are dealt out in runs of RUN parts before anything is exploded, so no task makes more copies of a row than those of one run
+    few = d.withColumn("first", F.lit(1))
+    if not r.filter(F.col("parts") > RUN).isEmpty():
+        many = d.filter(F.col("parts") > RUN).withColumn("first", F.explode(F.sequence(F.lit(1), F.col("parts"), F.lit(RUN))))
+        few = few.filter(F.col("parts") <= RUN).unionByName(many.repartition("k", "first"))
+    d = few.withColumn("part", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + (RUN - 1), F.col("parts")))))
     # the last value of the table ends the count: beyond it u can't lie but for rounding
-    draw = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda a, j: a + F.size(F.filter(F.col("cdf"), lambda c: c <= _uniform(seed, j, F.col("k")))))
-    d = d.select("row", "k", draw.alias("count")).filter("count > 0").select("row", "k", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
-    d = d.select("row", F.col("copy").cast("long").alias("copy"), F.md5(F.concat_ws(":", F.lit(f"{seed}:shuffle"), "k", F.col("copy").cast("string"))).alias("shuffle_key"))
+    draw = F.size(F.filter(F.col("cdf"), lambda c: c <= F.col("u")))
+    d = d.withColumn("u", _uniform(seed, F.col("part"), F.col("k"))).select("row", "k", "part", draw.alias("count")).filter("count > 0")
+    d = d.select("row", "k", "part", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("i"))
+    d = d.select("row", "k", (F.lit(PER_PART) * (F.col("part").cast("long") - 1) + F.col("i")).alias("copy"))
+    d = d.select("row", "copy", F.md5(F.concat_ws(":", F.lit(f"{seed}:shuffle"), "k", F.col("copy").cast("string"))).alias("shuffle_key"))
     return d.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
@@ -70,9 +83,9 @@ r AS (SELECT source, greatest(1, CAST(ceil(lam / 32.0) AS BIGINT)) AS parts, lam
 m AS (SELECT source, parts, lam / parts AS mean FROM r),
 k AS (SELECT source, parts, mean, unnest(generate_series(0, CAST(ceil(mean + 12 * sqrt(mean) + 20) AS BIGINT))) AS k FROM m),
 c AS (SELECT source, k, sum(exp(-mean + CASE WHEN k = 0 THEN 0 ELSE k * ln(mean) END - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c FROM k),
-u AS (SELECT d.doc_id, d.source, j, CAST(CAST('0x' || substr(md5('9:' || j || ':' || coalesce(CAST(d.doc_id AS VARCHAR), md5(d.text), '')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
-      FROM (SELECT documents.*, unnest(generate_series(1, m.parts)) AS j FROM documents JOIN m ON documents.source IS NOT DISTINCT FROM m.source) d),
-q AS (SELECT doc_id, u.source, count(c.k) AS n FROM u LEFT JOIN c ON u.source IS NOT DISTINCT FROM c.source AND c.c <= u.u GROUP BY doc_id, u.source),
-x AS (SELECT doc_id, source, unnest(generate_series(1, n)) AS copy FROM q WHERE n > 0)
+u AS (SELECT d.rid, d.doc_id, d.source, j, CAST(CAST('0x' || substr(md5('9:' || j || ':' || coalesce(CAST(d.doc_id AS VARCHAR), md5(d.text), '')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
+      FROM (SELECT documents.*, unnest(generate_series(1, m.parts)) AS j FROM (SELECT *, row_number() OVER () AS rid FROM documents) documents JOIN m ON documents.source IS NOT DISTINCT FROM m.source) d),
+q AS (SELECT rid, doc_id, u.source, j, count(c.k) AS n FROM u LEFT JOIN c ON u.source IS NOT DISTINCT FROM c.source AND c.c <= u.u GROUP BY rid, doc_id, u.source, j),
+x AS (SELECT doc_id, source, 128 * (j - 1) + unnest(generate_series(1, n)) AS copy FROM q WHERE n > 0)
 SELECT doc_id, source, copy, md5('9:shuffle:' || doc_id || ':' || copy) AS shuffle_key FROM x
 """
