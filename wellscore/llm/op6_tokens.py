@@ -272,15 +272,17 @@ def _filesystem(uri: str):
 # ---- operator ------------------------------------------------------------------------------
 
 
-def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2, frame_bytes: int = FRAME_BYTES, literal: bool = True) -> tuple[str, DataFrame]:
-    """Write files and index; (folder, index). width: bytes of an id, 2 if all ids are below 65,536, else 4.
+def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2, frame_bytes: int = FRAME_BYTES, literal: bool = True, stored_order: bool = False) -> tuple[str, DataFrame]:
+    """Write files and index; (folder, index). stored_order: documents follow each other as they lie in the table, one file per
+    partition that is read, with no shuffle; otherwise by ascending doc_id. width: bytes of an id, 2 if all ids are below 65,536, else 4.
     literal: special tokens in a text are plain text."""
     spark = documents.sparkSession
     folder = fresh(spark, "tokens")
     root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     d = table_rows(documents, doc_id="doc_id", text="text").withColumn("text", F.coalesce("text", F.lit("")))
-    d = d.withColumns({"h": F.xxhash64("text"), "i": F.monotonically_increasing_id()})
-    d = d.repartitionByRange("doc_id", "h", "i").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
+    if not stored_order:
+        d = d.withColumns({"h": F.xxhash64("text"), "i": F.monotonically_increasing_id()})
+        d = d.repartitionByRange("doc_id", "h", "i").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
     kind = documents.schema["doc_id"].dataType.simpleString()
     dtype = {2: "<u2", 4: "<u4"}[width]
 
@@ -349,6 +351,6 @@ def read(folder: str, index: DataFrame, width: int = 2, ids: bool = False) -> Da
     return out.join(F.broadcast(before) if totals.count() <= 1_000_000 else before, F.col("part") == F.col("p")).select("doc_id", (F.col("at") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * ids)
 
 
-def encoded(documents: DataFrame, tokenizer: str, literal: bool = True) -> DataFrame:
+def encoded(documents: DataFrame, tokenizer: str, literal: bool = True, stored_order: bool = False) -> DataFrame:
     """Write all documents and read them back: doc_id, start, n_tokens, ids_crc32."""
-    return read(*write(documents, tokenizer, literal=literal))
+    return read(*write(documents, tokenizer, literal=literal, stored_order=stored_order))
