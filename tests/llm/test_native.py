@@ -3,7 +3,9 @@
 import re
 from collections import Counter
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import EDGE, SF
 from tests.oracle_compare import compare, duck
@@ -65,6 +67,41 @@ def test_op2_clash_in_one_alignment_leaves_the_others(spark):
     assert {r.doc_id or 0: r.item_ids for r in got} == {1: "1", 2: "2,3", 3: "3", 4: "1", 0: "2,3"}
 
 
+def test_op2_names_at_sentence_starts_number_words_decimals_and_units(spark):
+    sold = "Natalia sold 48 clips. Natalia sold 24 more. Ben sold 12 caps. How many things did Natalia and Ben sell altogether in those two weeks?"
+    tank = "A tank holds 3.5 litres of water and a second tank holds 35 litres of water, so the pair of tanks holds far more water than 4kg of sand"
+    bench = spark.createDataFrame([(1, sold), (2, tank)], "item_id long, text string")
+    other = sold.replace("Natalia", "Robert").replace("Ben", "Olga").replace("48", "seventeen").replace("24", "5").replace("12", "1,000")
+    rows = [
+        (1, other),
+        (2, other.replace("Robert sold 5", "Walter sold 5")),  # one name became two
+        (3, other.replace("Olga", "Robert")),  # two names became one
+        (4, tank.replace("3.5", "6").replace("35", "nine").replace("4kg", "2 lb")),
+        (5, tank.replace("3.5", "6").replace("35", "6")),
+        (6, tank.replace("3.5 litres", "35 litres")),
+        (7, tank),
+        (8, sold.replace("two weeks", "2 weeks")),
+    ]
+    got = op2_decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {r.doc_id for r in got if r.item_ids == "1"} == {1, 8}
+    assert {r.doc_id for r in got if r.item_ids == "2"} >= {4, 7}
+    windows = {r.doc_id: r.most_windows for r in got}
+    assert windows[5] < windows[4] and windows[6] < windows[7]
+    con = duckdb.connect()
+    for name, t in (("documents", rows), ("benchmark", [(1, sold), (2, tank)])):
+        con.execute(f"CREATE TABLE {name} ({'doc_id' if name == 'documents' else 'item_id'} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", t)
+    assert sorted(con.execute(op2_decontaminate.SQL).fetchall()) == sorted(tuple(r) for r in got)
+
+
+def test_op9_deals_rows_of_many_parts(spark):
+    t = spark.createDataFrame([(1, "a", "s0"), (2, "b", "s1"), (3, "c", "s1"), (3, "c", "s1")], "doc_id long, text string, source string")
+    rows = op9_mix.replicate(t, target=80_000).select("row.doc_id", "copy", "shuffle_key")  # s0: 1,250 parts of one row
+    n = {r.doc_id: (r["count"], r.distinct, r.keys) for r in rows.groupBy("doc_id").agg(F.count("*").alias("count"), F.countDistinct("copy").alias("distinct"), F.countDistinct("shuffle_key").alias("keys")).collect()}
+    assert abs(n[1][0] - 40_000) < 1200 and n[1][0] == n[1][1] == n[1][2], n
+    assert n[3][0] == 2 * n[3][1], n  # repeated rows draw alike
+
+
 def test_op2_edges(spark, edge):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     assert op2_decontaminate.contaminated(edge, bench).count() == len(EDGE)
