@@ -4,7 +4,7 @@ language     rejects documents without a language that the evidence supports (7)
 dedup        keeps one document of each group of near duplicates (4)
 decontaminate  drops documents that hold benchmark items (2)
 mix          replicates documents so that all sources have equal shares (9)
-tokens       writes token files and reads them back (6): doc_id, start, n_tokens, ids_crc32
+tokens       writes token files in the order of the mix and reads them back (6): doc_id, start, n_tokens, ids_crc32
 
 Every stage but the last returns the columns it was given. Null, empty and repeated rows have
 the results that the operators' docstrings define.
@@ -36,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op6_tokens.encoded(docs, vocabulary(), literal=False)
+    return op6_tokens.encoded(docs, vocabulary(), literal=False, stored_order=True)
 
 
 STAGES = [("language", language), ("dedup", dedup), ("decontaminate", decontaminate), ("mix", mix), ("tokens", tokens)]
