@@ -104,10 +104,11 @@ def hits(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, min_win
     key = ["doc_id", "text_hash", "item_id"]
     place = [*key, "item_hash", "shift"]
     check = found.filter(F.size("slots") > 0).select(*place, "pos", "slots").withColumnsRenamed({"doc_id": "k1", "text_hash": "k2"})
-    # slots: only the documents with a matched window that has placeholders become words again
+    # slots: only the documents with a matched window that has placeholders become words again; they grow
+    # with the corpus, so the join is a merge by key at every size
     texts = table_rows(documents, doc_id="doc_id", text="text").withColumn("text_hash", F.xxhash64("text"))
     mine = F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_hash") == F.col("k2"))
-    said = texts.join(check.select("k1", "k2").distinct(), mine, "left_semi").select("doc_id", "text_hash", words(F.col("text")).alias("o"))
+    said = texts.join(check.select("k1", "k2").distinct().hint("merge"), mine, "left_semi").select("doc_id", "text_hash", words(F.col("text")).alias("o"))
     said = written(said, "slots").join(check, mine)
     pair = F.transform("slots", lambda s: F.struct(value(s["value"]).alias("b"), value(F.get(F.col("o"), F.col("pos") + s["at"])).alias("d")))
     said = said.select(*place, F.explode(pair).alias("v")).select(*place, "v.b", "v.d").distinct()
