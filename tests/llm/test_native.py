@@ -1,5 +1,6 @@
 """op2, op3, op8, op9: against DuckDB or a brute-force version, and on edge cases."""
 
+import math
 import re
 from collections import Counter
 
@@ -48,6 +49,37 @@ def test_op8_without_trusted_documents(spark, docs):
         assert {r.score for r in rows} == {0.0} and all(r.kept != r.base_failed for r in rows)
 
 
+def brute_ratio(rows, good):
+    """Mean log ratio of words and neighbouring pairs, add-one smoothed over the buckets; exact grams in place of hashes."""
+    grams = {}
+    for i, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        grams[i] = [*w, *zip(w, w[1:])]
+    raw, target = Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if i in good:
+            target.update(g)
+    b = op8_quality.BUCKETS
+    nr, nt = b + raw.total(), b + target.total()
+    return {i: sum(math.log((target[x] + 1) / nt * nr / (raw[x] + 1)) for x in g) / len(g) for i, g in grams.items()}
+
+
+def test_op8_scores_match_brute_force(spark):
+    rows = [
+        (1, "the rain in the north falls on the plain and the plain is green after the rain has gone"),
+        (2, "the green plain in the north is dry and no rain falls on the plain before the spring is here"),
+        (3, "buy now buy now cheap cheap pills click here click here buy cheap pills now and win win win"),
+        (4, "rain"),
+        (5, "a text that shares nothing with any other one of them"),
+    ]
+    labels = spark.createDataFrame([(1, 1), (2, 1), (2, 0), (3, 0), (5, 1), (None, 1)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in op8_quality.judged(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
+    want = brute_ratio(rows, {1, 5})  # document 2 has a bad label too
+    assert {i: r.score for i, r in got.items()} == pytest.approx(want, abs=1e-5)
+    assert {i for i, r in got.items() if r.kept} == {i for i, s in want.items() if s >= op8_quality.THRESHOLD and i != 4}
+
+
 def test_op2_finds_reparameterised_and_needs_consistent_slots(spark):
     bench = spark.createDataFrame([(1, "The farmer named Alice buys 12 apples at the market, then Alice sells 7 apples again for the same old price per kg"), (2, "short item"), (3, None), (None, "")], "item_id long, text string")
     swap = "Intro words come first here. The farmer named Robert buys 31 apples at the market, then Robert sells 9 apples again for the same old price per lb and so on"
