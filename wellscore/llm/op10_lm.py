@@ -2,12 +2,11 @@
 
 Model: n-grams up to `order`, counted in the training documents, Dirichlet-smoothed:
     p(w | c) = (count(c w) + strength * p(w | shorter c)) / (count(c) + strength),
-ending in the add-one unigram. As an automaton: a state for every context seen in training,
-an arc for every n-gram seen, with its log probability, and from every state a failure arc
-to the state of the shorter context that costs log(strength / (count + strength)). The state
-after a word is the longest seen context that ends there, so one left-to-right pass over a
-text follows, for every word, the arc of the state or the failure arcs down to a state that
-has one; the pass runs on numpy arrays over all texts of a block at once.
+ending in the add-one unigram. An automaton of this model has a state for every context seen in
+training, an arc for every n-gram seen, and from every state a failure arc to the shorter
+context that costs log(strength / (count + strength)). That automaton isn't built here: the
+sums that its traversal would give are computed elementwise from looked-up counts, on numpy
+arrays over all texts of a block at once (README names this as a departure from the method).
 
 Counting and lookup follow blocks.py: a block asks once for each of its distinct n-grams, with
 its own training counts; ranges of keys sum the counts over blocks and answer those that
@@ -90,7 +89,7 @@ def total_counts(keys: np.ndarray, cols: list[np.ndarray]) -> tuple[np.ndarray,
 
 
 class Automaton:
-    """Arcs (sorted n-gram keys, training counts) for the texts of one block."""
+    """Training counts of the n-grams of one block, and the scores they give; no states or arcs are built."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, total: int, types: int, texts: int, strength: float):
         self.keys, self.counts = keys, counts
@@ -111,10 +110,9 @@ class Automaton:
         if len(n):
             first[np.cumsum(n) - n] = True
         for k in range(1, order):
-            # times the state was visited in training: the k-gram that ends one token earlier
+            # times the context was seen in training: the k-gram that ends one token earlier
             state = np.concatenate([[0], seen[k - 1][:-1]]) if len(tok) else seen[k - 1]
             state = np.where(first, self.texts, state)
-            # an arc's weight if the n-gram was seen; otherwise the failure arc's, times what follows it
             p = (seen[k] + self.strength * p) / (state + self.strength)
         return np.log10(p), np.log10(base), seen[0]
 
