@@ -273,52 +273,60 @@ def answers_end_to_end(answers: DataFrame, bank: DataFrame, frozen: tuple[float,
 # --- answered questions by section (A6, A7, A9 over the answers) ----------------------
 
 
-def _answered_questions(answers: DataFrame, bank: DataFrame) -> DataFrame:
-    """Distinct (respondent, question) pairs of the bank that were answered.
+#: Questions per long of a respondent's answered ones.
+BITS = 63
 
-    Deduplicating first bounds every later per-respondent list by the number of
-    questions in the bank, however many times a respondent answered.
-    """
+
+def _questions(bank: DataFrame) -> list:
+    """The bank's (q_pos, feature, section) in order, sections carried forward. Banks are small."""
     q = section_fill(bank).select("q_pos", "feature", F.coalesce("section_filled", F.lit(DEFAULT_SECTION)).alias("section"))
-    a = answers.select("respondent_id", "feature").distinct()
-    return a.join(F.broadcast(q), "feature", "inner")
+    return sorted(q.collect(), key=lambda r: (r["q_pos"] is not None, r["q_pos"], r["feature"] is not None, r["feature"]))
+
+
+def _answered_questions(answers: DataFrame, questions: list) -> DataFrame:
+    """Per respondent the answered questions, bit i % 63 of the long b<i // 63> being question i.
+
+    A respondent's answers are reduced to these longs before the one shuffle, however many there are,
+    and respondents whose answers match no question keep a row."""
+    words = max(1, -(-len(questions) // BITS))
+    masks: dict[str, list[int]] = {}
+    for i, q in enumerate(questions):
+        if q["feature"] is not None:
+            masks.setdefault(q["feature"], [0] * words)[i // BITS] |= 1 << (i % BITS)
+    names = [f"b{w}" for w in range(words)]
+    of_feature = answers.sparkSession.createDataFrame([(f, *m) for f, m in masks.items()], "feature string, " + ", ".join(f"{b} bigint" for b in names))
+    a = answers.select("respondent_id", "feature").join(F.broadcast(of_feature), "feature", "left")
+    return a.groupBy("respondent_id").agg(*[F.coalesce(F.bit_or(b), F.lit(0).cast("bigint")).alias(b) for b in names])
+
+
+def _section(section: str, questions: list) -> dict:
+    """Of the section's questions in the bits: how many were answered, the first position, the features in order."""
+    hits = [(q, F.col(f"b{i // BITS}").bitwiseAND(F.lit(1 << (i % BITS)).cast("bigint")) != 0) for i, q in enumerate(questions) if q["section"] == section]
+    return {
+        "n_answered": sum((F.when(hit, 1).otherwise(0) for _, hit in hits), F.lit(0)).cast("bigint"),
+        "first_pos": F.array_min(F.array(*[F.when(hit, F.lit(q["q_pos"])).cast("int") for q, hit in hits])),
+        "features": F.concat_ws(",", *[F.when(hit, F.lit(q["feature"])) for q, hit in hits]),
+    }
 
 
 def answered_by_section(answers: DataFrame, bank: DataFrame) -> DataFrame:
     """Per respondent and (carried-forward) section: answered questions in order."""
-    aq = _answered_questions(answers, bank)
-    return aq.groupBy("respondent_id", "section").agg(
-        F.count(F.lit(1)).alias("n_answered"),
-        F.min("q_pos").alias("first_pos"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("q_pos", "feature"))), lambda s: s["feature"]), ",").alias("features"),
-    )
+    questions = _questions(bank)
+    slots = [F.struct(F.lit(s).alias("section"), *[c.alias(n) for n, c in _section(s, questions).items()]) for s in dict.fromkeys(q["section"] for q in questions)]
+    kind = "array<struct<section:string,n_answered:bigint,first_pos:int,features:string>>"
+    answered = F.filter(F.array(*slots).cast(kind), lambda s: s["n_answered"] > 0)
+    return _answered_questions(answers, questions).select("respondent_id", F.inline(answered))
 
 
 def answered_by_section_ordered(answers: DataFrame, bank: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Fixed section order per respondent, empty sections kept (0 answered, empty list).
 
-    One ``groupBy(respondent)`` with a conditional count and list per section,
-    then one row per section by a generator: no join of respondents with a
-    section grid. Respondents whose answers match no question still appear.
+    One row per section by a generator over the respondent's answered questions: no join of respondents
+    with a section grid. Respondents whose answers match no question still appear.
     """
-    order = order or BANK_B_SECTION_ORDER
-    q = section_fill(bank).select("q_pos", "feature", F.coalesce("section_filled", F.lit(DEFAULT_SECTION)).alias("section"))
-    a = answers.select("respondent_id", "feature").distinct().join(F.broadcast(q), "feature", "left")
-    aggs = []
-    for i, s in enumerate(order):
-        hit = F.col("section") == F.lit(s)
-        aggs.append(F.count(F.when(hit, 1)).alias(f"n{i}"))
-        aggs.append(F.array_sort(F.collect_list(F.when(hit, F.struct("q_pos", "feature")))).alias(f"f{i}"))
-    g = a.groupBy("respondent_id").agg(*aggs)
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("section_order"),
-                F.lit(s).alias("section"),
-                F.col(f"n{i}").cast("bigint").alias("n_answered"),
-                F.array_join(F.transform(F.col(f"f{i}"), lambda x: x["feature"]), ",").alias("features"),
-            )
-            for i, s in enumerate(order)
-        ]
-    )
-    return g.select("respondent_id", F.inline(slots))
+    questions = _questions(bank)
+    slots = []
+    for i, s in enumerate(order or BANK_B_SECTION_ORDER):
+        of = _section(s, questions)
+        slots.append(F.struct(F.lit(i).alias("section_order"), F.lit(s).alias("section"), of["n_answered"].alias("n_answered"), of["features"].alias("features")))
+    return _answered_questions(answers, questions).select("respondent_id", F.inline(F.array(*slots)))
