@@ -85,3 +85,48 @@ def test_linear_model_is_exact_on_collinear_columns(spark):
     assert worst < 1e-9 and io.model_features(model) == ["a", "b", "c", "d"]
     with pytest.raises(ValueError, match="no complete row"):
         md.fit_linear(df.limit(0), ["a"])
+
+
+class CountedState:
+    """A value state and its handle in memory, counting the calls that a task would send to the state store."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, 0, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+
+def test_a_batch_of_answers_costs_three_state_calls_and_state_is_freed():
+    from types import SimpleNamespace
+
+    from wellscore.streaming.sheets import SheetProcessor
+
+    state, p, ttl = CountedState(), SheetProcessor(20, 1_000_000), 1_000_000
+    p.init(state)
+    rows = lambda qs, us: [{"us": us, "event_id": q, "question": q, "value": q + 1} for q in qs]
+    assert list(p.handleInputRows((7,), iter(rows(range(15), 5_000)), None)) == [] and state.calls <= 3
+    state.calls = 0
+    done = list(p.handleInputRows((7,), iter(rows(range(15, 20), 6_000) + rows([3], 7_000)), None))
+    assert state.calls <= 3 and [r["n_answers"] for r in done] == [20] and [done[0][f"q{q}"] for q in range(20)] == list(range(1, 21))
+    while state.timers:  # an open sheet of one answer, then nothing: the timer is set again until the state is free
+        at = state.timers.pop()
+        assert at <= (7_000 + ttl) // 1000 + 1
+        p.handleExpiredTimer((7,), None, SimpleNamespace(getExpiryTimeInMs=lambda at=at: at))
+    assert state.value is None
