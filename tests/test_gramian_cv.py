@@ -81,3 +81,21 @@ def test_tree_rows_are_coalesced_but_never_split(spark):
     df = spark.range(0, 1000, 1, 8)
     assert [compact(df, n, 100).rdd.getNumPartitions() for n in (0, 100, 250, 1000)] == [1, 1, 3, 8]
     assert compact(df, 250, 100).agg({"id": "sum"}).first()[0] == 499_500
+
+
+def test_a_forest_reads_more_partitions_than_boosting(spark, monkeypatch):
+    from wellscore.operators import models as md
+
+    seen = {}
+
+    class Recorded:
+        def __init__(self, est):
+            self.est = est
+
+        def fit(self, df):
+            seen[type(self.est).__name__] = (df.rdd.getNumPartitions(), df.count())
+
+    monkeypatch.setattr(md, "make_pipeline", lambda features, est: Recorded(est))
+    df = spark.range(0, 35_000, 1, 8).selectExpr("id AS anxiety_level", f"id * 0.5D AS {md.TARGET_COL}")
+    md.fit_models(df, ["RandomForest", "GradientBoosting"])
+    assert seen == {"RandomForestRegressor": (4, 35_000), "GBTRegressor": (1, 35_000)}
