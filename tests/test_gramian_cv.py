@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from wellscore.operators import models as md
@@ -99,3 +99,28 @@ def test_a_forest_reads_more_partitions_than_boosting(spark, monkeypatch):
     df = spark.range(0, 35_000, 1, 8).selectExpr("id AS anxiety_level", f"id * 0.5D AS {md.TARGET_COL}")
     md.fit_models(df, ["RandomForest", "GradientBoosting"])
     assert seen == {"RandomForestRegressor": (3, 35_000), "GBTRegressor": (1, 35_000)}
+
+
+def test_fits_of_a_fold_read_a_written_table_by_their_own_rows(spark, monkeypatch):
+    seen, compact = [], md.compact
+
+    class Recorded(RandomForestRegressor):
+        def fit(self, df, params=None):
+            seen.append((df.count(), df.rdd.getNumPartitions(), self.getCacheNodeIds(), "InMemoryRelation" in df._jdf.queryExecution().toString()))
+            return super().fit(df, params)
+
+    monkeypatch.setattr(md, "compact", lambda df, rows: compact(df, rows, 100))
+    df = spark.range(0, 120, 1, 8).selectExpr("id AS respondent_id", "id % 10 AS x", f"id % 10 * 3.0D AS {TARGET_COL}")
+    r2 = md.cv_r2(df, ["x"], {"forest": Recorded(labelCol=TARGET_COL, numTrees=3, seed=1)})
+    assert seen == [(96, 1, True, False)] * 5 and min(r2["forest"]) > 0.8
+
+
+def test_node_ids_are_kept_by_small_forests_only_and_change_no_tree(spark):
+    forest = RandomForestRegressor(labelCol=TARGET_COL, numTrees=5, maxDepth=6, seed=3)
+    assert [md.keeping_nodes(forest, n).getCacheNodeIds() for n in (md.NODE_IDS // 5, md.NODE_IDS // 5 + 1)] == [True, False]
+    df = spark.range(0, 600, 1, 2).selectExpr("id % 37 AS a", "id % 11 AS b", f"(id % 37) * (id % 11) * 1.0D AS {TARGET_COL}")
+    df = md.make_pipeline(["a", "b"], forest).getStages()[0].transform(df).withColumnRenamed("raw_features", "features")
+    walked, kept = forest.fit(df), md.keeping_nodes(forest, 600).fit(df)
+    assert kept.getCacheNodeIds() and kept.toDebugString.splitlines()[1:] == walked.toDebugString.splitlines()[1:]
+    linear = LinearRegression()
+    assert md.keeping_nodes(linear, 10).uid == linear.uid
