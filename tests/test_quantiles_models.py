@@ -48,6 +48,28 @@ def test_stored_is_built_again_for_new_input(spark, tmp_path):
     assert stored(spark, "t", str(tmp_path), build).count() == 5
 
 
+def test_engineered_rows_are_built_from_written_respondents_by_compiled_methods(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from wellscore.operators import features as feat
+    from wellscore.plans import q_report
+    from wellscore.plans import stored as st_module
+    from wellscore.session import METHOD_LIMIT
+    from wellscore.sources import fixtures as fx
+
+    seen, engineer, before = [], feat.engineer, spark.conf.get(METHOD_LIMIT)
+
+    def recorded(df, spec):
+        seen.append((int(spark.conf.get(METHOD_LIMIT)) <= 8000, all("/respondents-" in f for f in df.inputFiles())))
+        return engineer(df, spec)
+
+    monkeypatch.setattr(st_module, "_MEMO", {})
+    monkeypatch.setattr(feat, "engineer", recorded)
+    got = q_report._engineered(spark, SF_SMALL)
+    assert seen == [(True, True)] and spark.conf.get(METHOD_LIMIT) == before
+    want = engineer(fx.respondents(spark, SF_SMALL))
+    assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
 def test_stream_slices_of_many_files(spark):
     rows = spark.range(30000).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 7).alias("ts"))
     path, files = st.write_event_files(spark, rows, rows_per_file=1500)
