@@ -248,3 +248,48 @@ def test_op1_words_are_judged_whole():
     assert one != two and "at=True" in two and "at=False" in one
     assert op1_pii.features(["1" * 15 + "a" * 400 + "2" * 3])[0][2] == "digits=18"
     assert max(len(f) for w in ("ab1-" * 50_000, "9" * 100_000) for f in op1_pii.features([w])[0]) < 60
+
+
+def test_small_batches_bound_what_a_worker_gets_and_change_no_result(spark, docs, edge, monkeypatch):
+    import pyarrow as pa
+
+    from wellscore.llm import common
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    before = spark.conf.get(common.BATCH_LIMIT)
+    long = spark.range(0, 400, 1, 1).selectExpr("repeat('x', 50000) AS text")
+    got = [r.n for r in common.written(long.mapInArrow(sizes, "n long"), "sizes", small=True).collect()]
+    assert sum(got) > 400 * 50_000 and max(got) < common.BATCH_BYTES + 200_000
+    assert spark.conf.get(common.BATCH_LIMIT) == before
+
+    some = docs.limit(200).localCheckpoint().select("doc_id", "text")
+    tables = some.unionByName(edge.select("doc_id", "text")).coalesce(2)
+    results = []
+    for limit in (common.BATCH_BYTES, 20_000):
+        monkeypatch.setattr(common, "BATCH_BYTES", limit)
+        monkeypatch.setattr(op6_tokens, "SLICE_BYTES", min(limit, op6_tokens.SLICE_BYTES))
+        linked = op4_minhash.classes(tables).select("doc_id", "class_id", "n_copies").collect()
+        coded = op6_tokens.encoded(tables, vocabulary()).collect()
+        results.append((sorted(map(str, linked)), sorted(map(str, coded))))
+    assert results[0] == results[1]
+
+
+def test_op6_worker_memory_does_not_hold_many_times_its_batch():
+    """Encoding a batch in slices of SLICE_BYTES takes far less than slices of 4 MB did (250 MB)."""
+    import tracemalloc
+
+    from wellscore.llm.common import slices
+
+    text = b"alpha beta gamma delta " * 350_000
+    offs = np.arange(0, len(text) + 1, 2300)
+    buf = np.frombuffer(text, np.uint8)[: offs[-1]]
+    enc = op6_tokens.Encoder(vocabulary(), False)
+    tracemalloc.start()
+    for lo, hi in slices(offs, op6_tokens.SLICE_BYTES):
+        enc.encode(buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6, peak

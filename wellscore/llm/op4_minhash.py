@@ -161,7 +161,7 @@ def run_sets(want: DataFrame, nodes: DataFrame, documents: DataFrame, words: int
                 out += [h[cut[i] : cut[i + 1]].tobytes() for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([b.column(0), binary(out)], ["node", "runs"])
 
-    return written(text.mapInArrow(sets, "node string, runs binary").dropDuplicates(["node"]), "runs")
+    return written(text.mapInArrow(sets, "node string, runs binary").dropDuplicates(["node"]), "runs", small=True)
 
 
 def verified(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
@@ -182,7 +182,7 @@ def verified(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
 
     joined = pairs.join(runs.select(F.col("node").alias("b"), F.col("runs").alias("rb")), "b").join(runs.select(F.col("node").alias("a"), F.col("runs").alias("ra")), "a")
-    return written(joined.select("a", "b", "ra", "rb").mapInArrow(compare, "a string, b string"), "links")
+    return written(joined.select("a", "b", "ra", "rb").mapInArrow(compare, "a string, b string"), "links", small=True)
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def prefix_pairs(runs: DataFrame, own: DataFrame, similarity: float, counters: i
                 place.append(np.arange(n))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(run) if run else [], pa.int64()), pa.array(node, pa.string()), pa.array(size, pa.int64()), pa.array(np.concatenate(place) if place else [], pa.int64())], ["run", "node", "n", "i"])
 
-    t = written(runs.mapInArrow(first, "run long, node string, n long, i long").join(own, "node"), "prefixes")
+    t = written(runs.mapInArrow(first, "run long, node string, n long, i long").join(own, "node"), "prefixes", small=True)
     some = t.groupBy("run").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("run")
     t = t.join(some, "run")
     x = t.toDF("run", *(f"x{c}" for c in t.columns[1:]))
@@ -249,7 +249,7 @@ def merged(own: DataFrame, links: DataFrame) -> DataFrame:
 
 def classes(documents: DataFrame, words: int = WORDS, bands: int = BANDS, size: int = ROWS, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document row: doc_id, node, class_id (least doc_id of its near duplicates), n_copies of its exact text."""
-    sketch = written(sketches(documents, words, bands, size), "sketches")
+    sketch = written(sketches(documents, words, bands, size), "sketches", small=True)
     nodes = written(sketch.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.max("n").alias("n"), F.max("keys").alias("keys")), "nodes")
     member = nodes.select("node", "n", F.explode("keys").alias("bucket"))
     shared = member.groupBy("bucket").count().filter("count > 1").select("bucket")

@@ -29,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellscore.llm.common import BYTE_ID, fresh, mix, powers, prefix_ids, slices, table_rows, text_bytes
+from wellscore.llm.common import BYTE_ID, fresh, mix, powers, prefix_ids, slices, small_batches, table_rows, text_bytes
 
 MAGIC, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 1 << 18
+#: Bytes of text encoded at a time: a worker holds some 50 bytes for each.
+SLICE_BYTES = 1 << 20
 
 
 # ---- files ---------------------------------------------------------------------------------
@@ -301,7 +303,7 @@ def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2,
             if out is None and len(offs) > 1:
                 out = Writer(fs.open_output_stream(temp), frame_bytes)
             counts = []
-            for lo, hi in slices(offs, 1 << 22):
+            for lo, hi in slices(offs, SLICE_BYTES):
                 ids, n = enc.encode(buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
                 if len(ids) and int(ids.max()) >= 1 << (8 * width):
                     raise ValueError("an id needs more bytes")
@@ -319,7 +321,8 @@ def write(documents: DataFrame, tokenizer: str, end_id: int = 0, width: int = 2,
             fs.move(temp, f"{base}/data/{part:06d}.zst")
 
     fields = f"doc_id {kind}, part int, seq long, at long, n_tokens long"
-    d.mapInArrow(put, fields).write.parquet(f"{folder}/index")
+    with small_batches(spark):
+        d.mapInArrow(put, fields).write.parquet(f"{folder}/index")
     return folder, spark.read.schema(fields).parquet(f"{folder}/index")
 
 

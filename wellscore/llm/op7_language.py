@@ -145,7 +145,7 @@ def identify(rows: DataFrame, langs: list[str], model: np.ndarray, text: Column,
     host = F.coalesce(F.lower(host), F.lit(""))
     best = F.when(F.col("_n") > 0, F.array_position("_ll", F.array_max("_ll")) - 1)
     votes = with_text_evidence(rows.select(known.alias("declared"), host.alias("host"), F.coalesce(text, F.lit("")).alias("_t")), model, cap)
-    votes = written(votes.groupBy("host", "declared", best.cast("int").alias("best")).agg(F.count("*").alias("n")).filter("best IS NOT NULL"), "votes")
+    votes = written(votes.groupBy("host", "declared", best.cast("int").alias("best")).agg(F.count("*").alias("n")).filter("best IS NOT NULL"), "votes", small=True)
     # declared against text-only: at most (languages + 1) x languages rows
     seen = np.ones((width, width))
     for r in votes.filter("declared IS NOT NULL").groupBy("declared", "best").agg(F.sum("n").alias("n")).collect():
