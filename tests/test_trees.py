@@ -106,3 +106,18 @@ def test_missing_features_go_right_and_missing_labels_are_refused(spark, tmp_pat
         tr.GBTRegressor(labelCol=TARGET_COL).fit(table.withColumn(TARGET_COL, F.when(F.col("x") > 1, F.lit(None)).otherwise(F.col(TARGET_COL))))
     with pytest.raises(ValueError, match="no row"):
         tr.RandomForestRegressor(labelCol=TARGET_COL, featureSubsetStrategy="all").fit(table.limit(0))
+
+
+def test_a_forest_of_more_rows_than_a_task_holds_has_the_same_trees(rows, monkeypatch):
+    params = {"labelCol": TARGET_COL, "numTrees": 5, "maxDepth": 7, "minInstancesPerNode": 2, "featureSubsetStrategy": "all", "seed": 42}
+    whole = tr.RandomForestRegressor(**params).fit(rows)
+    monkeypatch.setattr(tr, "LOCAL_ROWS", 400)
+    monkeypatch.setattr(ml.RandomForestRegressor, "_fit", None)
+    parts = tr.RandomForestRegressor(**params).fit(rows)
+    assert parts.totalNumNodes == whole.totalNumNodes
+    assert predictions(parts, rows) == pytest.approx(predictions(whole, rows), abs=1e-9)
+    assert parts.featureImportances.toArray() == pytest.approx(whole.featureImportances.toArray(), abs=1e-9)
+    shallow = {**params, "maxDepth": 1, "numTrees": 2}
+    assert [t.numNodes for t in tr.RandomForestRegressor(**shallow).fit(rows).trees] == [3, 3]
+    flat = rows.withColumn(TARGET_COL, F.lit(7.0))
+    assert set(predictions(tr.RandomForestRegressor(**params).fit(flat), flat)) == {7.0}

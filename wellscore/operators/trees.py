@@ -175,6 +175,7 @@ class Tree:
         self.layout, self.depth, self.min_rows, self.tried, self.rng = layout, depth, min_rows, tried, rng
         self.feature, self.cut, self.left, self.right = [np.array([-1])], [np.array([np.nan])], [np.array([-1])], [np.array([-1])]
         self.gain, self.stats = [np.array([-1.0])], []
+        self.largest = math.inf  # the weight of its largest node
         self.start, self.k, self.levels = 0, 1, []  # the first node of the last level, its nodes, and the splits so far
 
     def values(self) -> np.ndarray:
@@ -214,6 +215,8 @@ class Tree:
         self.right[-1] = np.where(grows, first + 2 * born + 1, -1)
         self.cut[-1] = np.array([self.layout.cuts[i][j] if g else np.nan for i, j, g in zip(f.tolist(), b.tolist(), grows.tolist(), strict=True)])
         self.levels.append(self._level(f, b, grows, born))
+        ln = hist[0][np.arange(self.k), f].cumsum(1)[np.arange(self.k), b] if self.k else n
+        self.largest = float(np.maximum(ln, n - ln)[grows].max(initial=0.0))
         self.start, self.k = first, 2 * int(grows.sum())
         for held, none in ((self.feature, -1), (self.left, -1), (self.right, -1), (self.gain, -1.0), (self.cut, np.nan)):
             held.append(np.full(self.k, none))
@@ -235,8 +238,8 @@ class Tree:
         return Level(code, right, child)
 
     def table(self) -> dict[str, np.ndarray]:
-        """All nodes in the order of their ids."""
-        n, s, ss = np.concatenate(self.stats, axis=1)
+        """All nodes in the order of their ids, those of a level not yet counted as empty ones."""
+        n, s, ss = np.concatenate([*self.stats, np.zeros((3, sum(map(len, self.feature)) - sum(x.shape[1] for x in self.stats)))], axis=1)
         n1 = np.maximum(n, 1e-300)
         out = {"feature": self.feature, "cut": self.cut, "left": self.left, "right": self.right, "gain": self.gain}
         return {c: np.concatenate(x) for c, x in out.items()} | {"prediction": s / n1, "impurity": np.maximum(ss / n1 - (s / n1) ** 2, 0.0), "n": n, "s": s, "ss": ss}
@@ -390,6 +393,131 @@ def grown(spark: SparkSession, plan: Plan, path: str, units: list[range]) -> Dat
     return spark.range(0, len(units), 1, len(units)).mapInArrow(run, f"treeID int, nodeData {NODE}")
 
 
+def blocks_of(batches, layout: Layout):
+    """(id, binned rows, labels) of every block of a task."""
+    for b in batches:
+        for block, n, codes, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            yield block, Rows(layout, np.frombuffer(codes, np.uint16).reshape(len(layout.codes), n)), np.frombuffer(y)
+
+
+#: Nodes that a task counts for at a time, over all trees of a wave; nodes whose counts are shuffled as one value.
+WAVE_NODES = 256
+CHUNK = 8
+
+
+def down(levels: list[Level], rows: Rows) -> np.ndarray:
+    """The node of every row in the level after ``levels``."""
+    node = np.zeros(rows.n, np.int64)
+    for lo in range(0, rows.n, PART_ROWS):
+        for level in levels:
+            node[lo : lo + PART_ROWS] = level.move(rows, lo, node[lo : lo + PART_ROWS])
+    return node
+
+
+def count_level(table: DataFrame, plan: Plan, trees: dict[int, Tree]) -> None:
+    """One pass over all blocks that counts the last level of every tree: its stats and, unless it's full, its splits."""
+    todo = {t: (tree.levels, tree.k, tree.full()) for t, tree in trees.items()}
+    layout, bins = plan.layout, plan.layout.bins
+
+    def count(batches):
+        sums = {t: Sums(layout, k, False, last) for t, (_, k, last) in todo.items()}
+        for block, rows, y in blocks_of(batches, layout):
+            for t, (levels, _, _) in todo.items():
+                w = bootstrap(plan.seed, t, block, rows.n).astype(float)
+                node = down(levels, rows)
+                for lo in range(0, rows.n, sums[t].part):
+                    part = slice(lo, lo + sums[t].part)
+                    sums[t].add(rows, lo, node[part], y[part] * w[part], y[part], w[part])
+        for t, (_, k, _) in todo.items():
+            flat = np.concatenate([sums[t].stats[:, :k].T, sums[t].histograms().transpose(1, 0, 2, 3).reshape(k, -1)], axis=1)
+            at = range(0, k, CHUNK)
+            cols = [pa.array([t] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array([flat[i : i + CHUNK].tobytes() for i in at], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["tree", "at", "sums"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py()) for x in t.column("sums"))
+        return pa.table({"tree": t.column("tree")[:1], "at": t.column("at")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+    fields = "tree int, at int, sums binary"
+    got = table.mapInArrow(count, fields).groupBy("tree", "at").applyInArrow(add, fields).collect()
+    for t, tree in trees.items():
+        flat = np.frombuffer(b"".join(r["sums"] for r in sorted((r for r in got if r["tree"] == t), key=lambda r: r["at"]))).reshape(tree.k, -1)
+        tree.stats.append(flat[:, :3].T.copy())
+        if not tree.full():
+            tree.split(flat[:, 3:].reshape(tree.k, 2, len(layout.cuts), bins).transpose(1, 0, 2, 3))
+
+
+def forest_wave(table: DataFrame, plan: Plan, numbers: range, path: str) -> tuple[DataFrame, DataFrame | None]:
+    """Nodes of some trees of a forest whose rows are too many for a task.
+
+    Their first levels are counted by all tasks. When no node has more rows than a task holds, the rows of every node
+    are sent to one task, which grows what is below it. Returns the first nodes and those below."""
+    spark, layout = table.sparkSession, plan.layout
+    trees = {t: plan.tree(t) for t in numbers}
+    growing = dict(trees)
+    while growing:
+        count_level(table, plan, growing)
+        growing = {t: tree for t, tree in growing.items() if not (tree.full() and len(tree.stats) > len(tree.levels)) and tree.k and tree.largest > LOCAL_ROWS}
+    cut = {t: tree.levels for t, tree in trees.items() if tree.k and len(tree.stats) == len(tree.levels)}
+    firsts = [(t, tree.table(), tree.start if t in cut else None) for t, tree in trees.items()]
+
+    def send(batches):
+        for block, rows, y in blocks_of(batches, layout):
+            for t, levels in cut.items():
+                w, node = bootstrap(plan.seed, t, block, rows.n), down(levels, rows)
+                held = np.flatnonzero((w > 0) & (node < levels[-1].child.max(initial=0)))
+                held = held[np.argsort(node[held], kind="stable")]
+                nodes, at = np.unique(node[held], return_index=True)
+                parts = np.split(held, at[1:]) if len(held) else []
+                blobs = [pa.array([f(p) for p in parts], pa.binary()) for f in (lambda p: rows.codes[:, p].tobytes(), lambda p: y[p].tobytes(), lambda p: w[p].tobytes())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), t), pa.int32()), pa.array(nodes, pa.int32()), pa.array(np.full(len(nodes), block)), *blobs], ["tree", "node", "block", "codes", "y", "w"])
+
+    def below(t: pa.Table) -> pa.Table:
+        number, node = t.column("tree")[0].as_py(), t.column("node")[0].as_py()
+        got = sorted(t.select(["block", "codes", "y", "w"]).to_pylist(), key=lambda r: r["block"])
+        y = np.concatenate([np.frombuffer(r["y"]) for r in got])
+        rows = Rows(layout, np.concatenate([np.frombuffer(r["codes"], np.uint16).reshape(len(layout.codes), -1) for r in got], axis=1))
+        rows.separate()
+        tree = Tree(layout, plan.depth - len(cut[number]), plan.min_rows, plan.tried, np.random.default_rng([plan.seed, number, node + 1]))
+        grow(tree, rows, y, np.concatenate([np.frombuffer(r["w"], np.uint8) for r in got]).astype(float))
+        nodes = pa.Table.from_batches([node_batch(number, tree.table())])
+        size = len(nodes)
+        return nodes.append_column("node", pa.array(np.full(size, node), pa.int32())).append_column("size", pa.array(np.full(size, size), pa.int32()))
+
+    fields = f"treeID int, nodeData {NODE}"
+    batches = [node_batch(t, {c: x[:start] for c, x in nodes.items()}) for t, nodes, start in firsts]
+    top = spark.createDataFrame(pa.Table.from_batches(batches), spark.createDataFrame([], fields).schema)
+    if not cut:
+        return top, None
+    sent = table.mapInArrow(send, "tree int, node int, block long, codes binary, y binary, w binary")
+    sent.groupBy("tree", "node").applyInArrow(below, f"{fields}, node int, size int").write.parquet(path)
+    grown_below = spark.read.schema(f"{fields}, node int, size int").parquet(path)
+    sizes = {(r["treeID"], r["node"]): r["size"] for r in grown_below.where("nodeData.id = 0").select("treeID", "node", "size").collect()}
+    offset = {}
+    for t in cut:
+        free = trees[t].start + trees[t].k
+        for node in range(trees[t].k):
+            offset[t, node] = (trees[t].start + node, free)
+            free += sizes[t, node] - 1
+    rows = [(t, node, root, free) for (t, node), (root, free) in offset.items()]
+    at = F.broadcast(spark.createDataFrame(rows, "treeID int, node int, root int, free int"))
+    new = lambda c: F.when(F.col(f"nodeData.{c}") < 0, -1).when(F.col(f"nodeData.{c}") == 0, F.col("root")).otherwise(F.col(f"nodeData.{c}") + F.col("free") - 1).cast("int")
+    data = F.col("nodeData").withField("leftChild", new("leftChild")).withField("rightChild", new("rightChild")).withField("id", new("id"))
+    return top, grown_below.join(at, ["treeID", "node"]).select("treeID", data.alias("nodeData"))
+
+
+def forest_nodes(spark: SparkSession, plan: Plan, path: str, n: int) -> DataFrame:
+    """(treeID, nodeData) of a forest over more rows than a task holds, some trees at a time."""
+    table = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
+    each = max(1, min(8, WAVE_NODES * LOCAL_ROWS // (4 * n)))
+    out = None
+    for i, t in enumerate(range(0, plan.trees, each)):
+        for part in forest_wave(table, plan, range(t, min(t + each, plan.trees)), f"{path}/below-{i}"):
+            if part is not None:
+                out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _json(est, kind: str, uid: str, more: dict) -> str:
     values = lambda of: {p.name: v for p, v in of.items()}
     head = {"class": f"org.apache.spark.ml.regression.{kind}", "timestamp": 0, "sparkVersion": "4.1.2", "uid": uid}
@@ -448,12 +576,13 @@ class RandomForestRegressor(ml.RandomForestRegressor):
             return super()._fit(dataset)
         spark, path = dataset.sparkSession, scratch_path(dataset.sparkSession, "forest")
         rows, layout, n, features = binned(dataset, self)
-        if n > LOCAL_ROWS:
-            return super()._fit(dataset)
         plan = Plan(layout, self.getSeed() & (2**63 - 1), self.getMaxDepth(), self.getMinInstancesPerNode(), self.getNumTrees(), tried(self, features))
         write_blocks(rows, layout, f"{path}/blocks")
         each = -(-plan.trees // (4 * spark.sparkContext.defaultParallelism))
-        nodes = grown(spark, plan, f"{path}/blocks", [range(t, min(t + each, plan.trees)) for t in range(0, plan.trees, each)])
+        if n > LOCAL_ROWS:
+            nodes = forest_nodes(spark, plan, path, n)
+        else:
+            nodes = grown(spark, plan, f"{path}/blocks", [range(t, min(t + each, plan.trees)) for t in range(0, plan.trees, each)])
         saved(self, "RandomForestRegressionModel", nodes, [1.0] * plan.trees, features, f"{path}/model")
         return ml.RandomForestRegressionModel.load(f"{path}/model")
 
