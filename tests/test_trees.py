@@ -42,6 +42,15 @@ def test_boosting_grows_the_trees_of_spark_ml(rows):
     assert got.treeWeights == want.treeWeights and got.extractParamMap().keys() == {got.getParam(p.name) for p in want.extractParamMap()}
 
 
+def test_bins_of_many_rows_are_those_of_spark_ml(spark):
+    df = spark.range(0, 12_000, 1, 3).selectExpr("sqrt(id % 4001) AS x", "id % 7 AS z", f"round(sqrt(id % 4001) * (id % 7), 2) AS {TARGET_COL}")
+    table = VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(df)
+    params = {"labelCol": TARGET_COL, "maxIter": 2, "maxDepth": 3, "seed": 42}
+    want, got = ml.GBTRegressor(**params).fit(table), tr.GBTRegressor(**params).fit(table)
+    shape = lambda m: [line.split("Predict")[0] for line in m.toDebugString.splitlines()[1:]]
+    assert shape(got) == shape(want)
+
+
 def test_a_forest_is_as_good_as_that_of_spark_ml_and_always_the_same(rows):
     params = {"labelCol": TARGET_COL, "numTrees": 12, "maxDepth": 8, "minInstancesPerNode": 2, "featureSubsetStrategy": "all", "seed": 42}
     want, got = ml.RandomForestRegressor(**params).fit(rows), tr.RandomForestRegressor(**params).fit(rows)
